@@ -38,9 +38,11 @@ class QualityPipeline:
             S.REJECTED_AT: F.when(hit, F.lit(position)).otherwise(F.col(S.REJECTED_AT)),
         }).drop("_was_rejected")
 
-    def metrics(self, processed: DataFrame) -> DataFrame:
+    def metrics(self, processed: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         """``operator, op_pos, processed, rejected``, one row per operator label, zeros kept.
 
+        ``by`` names columns to count separately for.
+
         One scan: every count is a conditional count of the same aggregate; operators that
         share a label share a row.
         """
@@ -64,7 +66,7 @@ class QualityPipeline:
         if not rows:
             empty = "operator string, op_pos int, processed bigint, rejected bigint"
             return processed.sparkSession.createDataFrame([], empty)
-        return processed.agg(*counts).select(F.inline(F.array(*rows)))
+        return processed.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*rows)))
 
 
 @dataclass
