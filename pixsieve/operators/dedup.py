@@ -10,7 +10,8 @@ rounds over the whole table:
 
 * rows with the same vector form one group (found by content hash, pre-aggregated), and all
   vector products are between groups, so exact copies cost one vector however many there are;
-* groups without neighbours and without copies survive and leave at once;
+* groups without neighbours and without copies survive and leave at once; copies without other
+  neighbours are settled by a running maximum, cut into bounded chunks;
 * a kept row is certain to be alive up to its first undecided better neighbour, and a row can
   be decided as soon as its first kept neighbour is certain and no earlier undecided row could
   come before it. Every round decides all such rows. Among copies in no particular order of
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
@@ -34,6 +35,8 @@ from pixsieve.operators import similarity as sim
 from pixsieve.session import scratch_path, write_table
 
 TAIL_ROWS = 2000
+CHUNK_ROWS = 1_000_000
+INFINITE = float("inf")
 _PAIR_LAYOUT = (
     "duplicate_idx bigint, kept_idx bigint, similarity double, "
     "duplicate_quality double, kept_quality double"
@@ -77,8 +80,35 @@ class _Growing:
         return self.spark.read.schema(f"{self.layout}, part int").parquet(self.path).drop("part")
 
 
+def _settle_copies(members: DataFrame) -> DataFrame:
+    """The rule for groups of equal vectors that neighbour nothing else, without rounds.
+
+    There the kept row is always the first one with the highest quality so far. A group is cut
+    into chunks of ``CHUNK_ROWS`` row numbers: windows run inside a chunk and over the bests of
+    the chunks, so no task holds a group.
+    """
+    cut = members.withColumn("chunk", F.floor(F.col("idx") / CHUNK_ROWS))
+    # NaN wins against nothing, and nothing wins against a NaN that came first.
+    rank = F.when(~F.isnan("q"), F.col("q")).when(F.col("idx") == F.col("gid"), INFINITE).otherwise(-INFINITE)
+    standing = cut.withColumn("s", F.struct(rank.alias("rank"), (-F.col("idx")).alias("neg"), "q"))
+    bests = standing.groupBy("gid", "chunk").agg(F.max("s").alias("best"))
+    chunks = Window.partitionBy("gid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = bests.select("gid", "chunk", F.max("best").over(chunks).alias("before"))
+    inside = Window.partitionBy("gid", "chunk").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    holder = F.greatest("before", F.max("s").over(inside))
+    held = standing.join(before, ["gid", "chunk"]).withColumn("h", holder).filter("h is not null")
+    return _pairs_of(held.select(
+        "idx", "q", (-F.col("h.neg")).alias("k"), F.col("h.q").alias("q_k"),
+        F.lit(1.0).alias("similarity"),
+        F.when(_beats(F.col("q"), F.col("h.q")), "wins").otherwise("loses").alias("fate"),
+    ))
+
+
 def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows: int):
-    """Contested groups with their vectors, and their rows."""
+    """Contested groups with their vectors, and their rows.
+
+    A group is ``alone`` if it has copies but no other neighbours.
+    """
     units = write_table(
         sim.unit_vectors(df, vector, threshold).withColumn("key", F.sha2("unit", 256)), "units"
     )
@@ -93,7 +123,7 @@ def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows
     contested = write_table(
         vectors.join(nearest, "gid", "left")
         .filter(F.col("nbr").isNotNull() | (F.col("copies") > 1))
-        .withColumn("lb", F.least("gid", "nbr"))
+        .withColumns({"lb": F.least("gid", "nbr"), "alone": F.col("nbr").isNull()})
         .withColumn("parts", _hot_parts(F.col("copies"), rows)).drop("nbr"),
         "contested",
     )
@@ -103,8 +133,8 @@ def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows
         "salt", F.pmod(F.xxhash64("idx"), F.coalesce("parts", F.lit(1))).cast("int")
     ).drop("parts")
     members = write_table(
-        salted.join(_salted(contested.select("key", "gid", "parts", "lb")), ["key", "salt"])
-        .select("idx", "q", "gid", "salt", "lb"),
+        salted.join(_salted(contested.select("key", "gid", "parts", "lb", "alone")), ["key", "salt"])
+        .select("idx", "q", "gid", "salt", "lb", "alone"),
         "members",
     )
     return contested, members
@@ -120,23 +150,26 @@ def _active(contested: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def _kept_near(groups: DataFrame, edges: DataFrame, kept: DataFrame) -> DataFrame:
-    """Per group the kept rows its members may be matched to (one null row if there are none)."""
-    near = edges.join(kept, edges.other == kept.w).select(
-        "gid", "k", "q_k", "similarity", "dead"
-    )
-    return groups.join(near, "gid", "left")
+def _kept_near(edges: DataFrame, kept: DataFrame) -> DataFrame:
+    """Per group the kept rows its members may be matched to.
+
+    A kept row may neighbour very many groups; the adaptive skew join splits the edge side.
+    """
+    return edges.join(kept, edges.other == kept.w).drop("other", "w")
 
 
 def _decide(state: _Tables, edges: DataFrame) -> DataFrame:
     """One row per undecided row with its fate: fresh, wins, loses or waits."""
-    near = _kept_near(state.groups, edges, state.kept)
     usable = (F.col("k") < F.col("idx")) & (F.col("dead").isNull() | (F.col("dead") > F.col("idx")))
-    met = state.undecided.join(_salted(near), ["gid", "salt"])
-    horizon = met.filter(usable & F.col("dead").isNull() & _beats(F.col("q"), F.col("q_k"))).groupBy("k").agg(
-        F.min("idx").alias("until")
+    alive = _kept_near(edges, state.kept.filter("dead is null")).join(
+        state.groups.select("gid", "parts"), "gid"
     )
-    known = near.join(horizon, "k", "left")
+    threats = state.undecided.join(_salted(alive), ["gid", "salt"]).filter(
+        (F.col("k") < F.col("idx")) & _beats(F.col("q"), F.col("q_k"))
+    )
+    horizon = threats.groupBy("k").agg(F.min("idx").alias("until"))
+    near = _kept_near(edges, state.kept.join(horizon, "k", "left"))
+    known = state.groups.join(near, "gid", "left")
     match = F.min(F.when(usable, F.struct("k", "q_k", "similarity", "until", "dead"))).alias("m")
     best = (
         state.undecided.join(_salted(known), ["gid", "salt"])
@@ -185,10 +218,13 @@ def _next_groups(
 ) -> DataFrame:
     """Groups that still have undecided rows, with ``lb`` moved up where its row is decided."""
     first = undecided.groupBy("gid").agg(F.min("idx").alias("value"))
-    groups = write_table(state.groups.join(first, "gid"), "groups")
-    stale = write_table(
-        groups.join(undecided.select(F.col("idx").alias("lb")), "lb", "left_anti"), "stale"
+    pending = undecided.select(F.col("idx").alias("_idx"))
+    groups = write_table(
+        state.groups.join(first, "gid").join(pending, F.col("lb") == F.col("_idx"), "left")
+        .select("gid", "parts", "lb", "value", F.col("_idx").isNull().alias("stale")),
+        "groups",
     )
+    stale = groups.filter("stale")
     if stale.isEmpty():
         return groups.select("gid", "parts", "lb")
     remaining = contested.select("gid", "unit", "home", "outer").join(
@@ -213,7 +249,7 @@ def _replay_tail(undecided: DataFrame, contested: DataFrame, near: DataFrame, th
     rows = undecided.join(contested.select("gid", "unit"), "gid").select(
         F.lit(0).alias("one"), "idx", "q", "gid", "unit"
     )
-    kept = near.filter("k is not null").select(
+    kept = near.select(
         F.lit(0).alias("one"), "gid", "k", "q_k", "similarity", "dead"
     )
 
@@ -225,6 +261,8 @@ def _replay_tail(undecided: DataFrame, contested: DataFrame, near: DataFrame, th
         strips = list(sim.products(matrix, matrix, threshold))
         near = np.concatenate([s for _, s, _ in strips])
         similar = np.concatenate([h for _, _, h in strips])
+        every = np.arange(len(matrix))
+        sim.itself(near, similar, every, every, threshold)
         earlier: dict[int, list] = {}
         dead: dict[int, float] = {}
         for r in kept.sort_values("k").itertuples():
@@ -284,15 +322,20 @@ def find_duplicates(
         F.col(order).cast("bigint").alias("idx"), quality.cast("double").alias("q"),
         F.col(vector).alias("vector"),
     )
+    if threshold > 1:
+        return spark.createDataFrame([], _PAIR_LAYOUT)
     contested, members = _prepare(items, "vector", threshold, block, cell_rows)
     # Tables that grow by a part each round.
     found = _Growing(spark, "pairs", _PAIR_LAYOUT)
     edges = _Growing(spark, "edges", "gid bigint, other bigint, similarity double")
     compared = _Growing(spark, "compared", "gid bigint")
 
+    if threshold > 0:
+        found.add(_settle_copies(members.filter("alone")))
+        contested, members = contested.filter("not alone"), members.filter("not alone")
     # The first row of a neighbourhood has nothing before it and is kept.
     state = _Tables(
-        undecided=members.filter("idx <> lb").drop("lb"),
+        undecided=members.filter("idx <> lb").drop("lb", "alone"),
         groups=contested.select("gid", "parts", "lb"),
         kept=members.filter("idx = lb").select(
             F.col("idx").alias("k"), F.col("gid").alias("w"), F.col("q").alias("q_k"),
@@ -312,7 +355,9 @@ def find_duplicates(
                 _active(contested, state.groups), _active(contested, fresh), threshold, block
             )
         )
-        near = _kept_near(state.groups, edges.table(), state.kept)
+        near = _kept_near(edges.table(), state.kept).join(
+            state.groups.select("gid"), "gid", "left_semi"
+        )
         if left <= tail_rows and near.limit(20 * tail_rows + 1).count() <= 20 * tail_rows:
             found.add(_replay_tail(state.undecided, contested, near, threshold))
             break

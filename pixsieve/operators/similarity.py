@@ -126,6 +126,15 @@ def products(
         yield start, sims, sims >= threshold
 
 
+def itself(
+    sims: np.ndarray, hits: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float
+) -> None:
+    """A vector has cosine 1 with itself, whatever rounding says; a zero vector has 0."""
+    exact = np.round(sims[i, j])
+    sims[i, j] = exact
+    hits[i, j] = exact >= threshold
+
+
 def _smallest_neighbour(threshold: float, both_sides: bool) -> Callable:
     """Per vector of a tile the smallest ``value`` among its neighbours in the tile, itself aside."""
 
@@ -159,7 +168,10 @@ def _all_pairs(threshold: float) -> Callable:
         lid, rid = left["gid"].to_numpy(), right["gid"].to_numpy()
         ids, others, sims = [], [], []
         if len(lid) and len(rid):
+            _, mine, theirs = np.intersect1d(lid, rid, return_indices=True)
             for start, sim, hits in products(_matrix(left["unit"]), _matrix(right["unit"]), threshold):
+                here = (mine >= start) & (mine < start + len(sim))
+                itself(sim, hits, mine[here] - start, theirs[here], threshold)
                 i, j = np.nonzero(hits)
                 ids.append(lid[start + i])
                 others.append(rid[j])
