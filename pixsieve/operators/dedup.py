@@ -17,15 +17,17 @@ rounds over the whole table:
   come before it. Every round decides all such rows. Among copies in no particular order of
   quality the number of rounds grows with the logarithm of the group size.
 
+Each round also replays the next ``tail_rows`` undecided rows in input order in one bounded
+task. That ends small inputs at once, and bounds the rounds when every row beats the one before.
+
 Rows are never paired with each other, only with rows that were kept. Every round ends in
-written tables, so lineage stays short and a lost executor costs one stage. When few rows are
-left (counted, at most ``tail_rows``) they are replayed in one bounded task.
+written tables, so lineage stays short and a lost executor costs one stage.
 """
 
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +36,8 @@ from pixsieve.functions import quality_score
 from pixsieve.operators import similarity as sim
 from pixsieve.session import scratch_path, write_table
 
-TAIL_ROWS = 2000
+TAIL_ROWS = 20_000
+NEAR_PER_ROW = 20
 CHUNK_ROWS = 1_000_000
 INFINITE = float("inf")
 _PAIR_LAYOUT = (
@@ -207,16 +210,17 @@ def _next_kept(kept: DataFrame, decided: DataFrame) -> DataFrame:
         F.col("idx").alias("k"), F.col("gid").alias("w"), F.col("q").alias("q_k"),
         F.lit(None).cast("bigint").alias("dead"),
     )
-    aged = kept.join(deaths, "k", "left").select(
+    # A replayed row may be born and beaten in one go.
+    return kept.unionByName(born).join(deaths, "k", "left").select(
         "k", "w", "q_k", F.coalesce("dead", "died").alias("dead")
     )
-    return aged.unionByName(born)
 
 
 def _next_groups(
-    state: _Tables, contested: DataFrame, undecided: DataFrame, threshold: float, block: int
+    state: _Tables, contested: DataFrame, threshold: float, block: int
 ) -> DataFrame:
     """Groups that still have undecided rows, with ``lb`` moved up where its row is decided."""
+    undecided = state.undecided
     first = undecided.groupBy("gid").agg(F.min("idx").alias("value"))
     pending = undecided.select(F.col("idx").alias("_idx"))
     groups = write_table(
@@ -244,62 +248,74 @@ def _next_groups(
     )
 
 
-def _replay_tail(undecided: DataFrame, contested: DataFrame, near: DataFrame, threshold: float) -> DataFrame:
-    """The rest in one task; the caller has counted both sides."""
-    rows = undecided.join(contested.select("gid", "unit"), "gid").select(
-        F.lit(0).alias("one"), "idx", "q", "gid", "unit"
-    )
-    kept = near.select(
-        F.lit(0).alias("one"), "gid", "k", "q_k", "similarity", "dead"
+def _replay(
+    rows: DataFrame, contested: DataFrame, near: DataFrame, threshold: float
+) -> DataFrame:
+    """The rule run row by row over the next undecided rows, in one task.
+
+    The caller has bounded both inputs: ``rows`` are all undecided rows up to some row number,
+    ``near`` the kept rows that their groups neighbour.
+    """
+    given = rows.join(contested.select("gid", "unit"), "gid").select(
+        F.lit(0).alias("one"), "idx", "q", "gid", "salt", "unit"
     )
+    kept = near.select(F.lit(0).alias("two"), "gid", "k", "q_k", "similarity", "dead")
 
-    def replay(rows: pd.DataFrame, kept: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("idx")
-        vectors = rows.drop_duplicates("gid").set_index("gid")["unit"]
-        place = {gid: p for p, gid in enumerate(vectors.index)}
-        matrix = np.stack([np.frombuffer(u, dtype=np.float64) for u in vectors])
-        strips = list(sim.products(matrix, matrix, threshold))
-        near = np.concatenate([s for _, s, _ in strips])
-        similar = np.concatenate([h for _, _, h in strips])
-        every = np.arange(len(matrix))
-        sim.itself(near, similar, every, every, threshold)
+    def run(rows: pa.Table, kept: pa.Table) -> pa.Table:
+        rows = rows.sort_by("idx")
+        idx, q, gid = (rows[c].to_numpy() for c in ("idx", "q", "gid"))
+        _, firsts, place = np.unique(gid, return_index=True, return_inverse=True)
+        vectors = sim.matrix_of(rows["unit"].take(pa.array(firsts)))
         earlier: dict[int, list] = {}
         dead: dict[int, float] = {}
-        for r in kept.sort_values("k").itertuples():
-            earlier.setdefault(r.gid, []).append((r.k, r.q_k, r.similarity))
-            dead[r.k] = np.inf if pd.isna(r.dead) else r.dead
-        new_places: list[int] = []
-        new_rows: list[tuple] = []
-        alive: list[bool] = []
-        out: list[tuple] = []
-        for row in rows.itertuples():
-            here = place[row.gid]
-            old = next(
-                (e for e in earlier.get(row.gid, []) if e[0] < row.idx and dead[e[0]] > row.idx),
-                None,
-            )
-            hits = np.nonzero(similar[here, new_places] & np.array(alive, dtype=bool))[0]
-            match, slot = old, None
-            if len(hits) and (old is None or new_rows[hits[0]][0] < old[0]):
-                slot = hits[0]
-                match = (*new_rows[slot], near[here, new_places[slot]])
-            if match is not None:
-                other, quality, similarity = match
-                if row.q > quality:
-                    out.append((other, row.idx, similarity, quality, row.q))
-                    if slot is None:
-                        dead[other] = row.idx
-                    else:
-                        alive[slot] = False
-                else:
-                    out.append((row.idx, other, similarity, row.q, quality))
+        for old in kept.sort_by("k").to_pylist():
+            earlier.setdefault(old["gid"], []).append((old["k"], old["q_k"], old["similarity"]))
+            dead[old["k"]] = np.inf if old["dead"] is None else old["dead"]
+        born = np.empty(0, dtype=int)       # rows of this task that were kept and still are
+        fates, matches = [], []
+        for start in range(0, len(idx), sim.STRIP):
+            here = np.arange(start, min(start + sim.STRIP, len(idx)))
+            rivals = np.concatenate([born, here])
+            ((_, sims, hits),) = sim.products(vectors[place[here]], vectors[place[rivals]], threshold)
+            i, j = np.nonzero(place[here][:, None] == place[rivals][None, :])
+            sim.itself(sims, hits, i, j, threshold)
+            standing = np.zeros(len(rivals), dtype=bool)
+            standing[:len(born)] = True
+            for r, row in enumerate(here):
+                match, slot = None, None
+                found = np.flatnonzero(hits[r] & standing)
+                if len(found):
+                    slot = found[0]
+                    match = (idx[rivals[slot]], q[rivals[slot]], sims[r, slot])
+                for old in earlier.get(gid[row], ()):
+                    if old[0] < idx[row] and dead[old[0]] > idx[row]:
+                        if match is None or old[0] < match[0]:
+                            match, slot = old, None
+                        break
+                matches.append(match)
+                if match is not None and not q[row] > match[1]:
+                    fates.append("loses")
                     continue
-            new_places.append(here)
-            new_rows.append((row.idx, row.q))
-            alive.append(True)
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _PAIR_LAYOUT.split(", ")])
-
-    return rows.groupBy("one").cogroup(kept.groupBy("one")).applyInPandas(replay, _PAIR_LAYOUT)
+                fates.append("fresh" if match is None else "wins")
+                standing[len(born) + r] = True
+                if slot is not None:
+                    standing[slot] = False
+                elif match is not None:
+                    dead[match[0]] = idx[row]
+            born = rivals[standing]
+        none = (None, None, None)
+        k, q_k, cosine = zip(*(m or none for m in matches))
+        return rows.select(["idx", "q", "gid", "salt"]).append_column(
+            "k", pa.array(k, pa.int64())
+        ).append_column("q_k", pa.array(q_k, pa.float64())).append_column(
+            "similarity", pa.array(cosine, pa.float64())
+        ).append_column("fate", pa.array(fates, pa.string()))
+
+    layout = (
+        "idx bigint, q double, gid bigint, salt int, k bigint, q_k double, similarity double, "
+        "fate string"
+    )
+    return given.groupBy("one").cogroup(kept.groupBy("two")).applyInArrow(run, layout)
 
 
 def find_duplicates(
@@ -342,36 +358,50 @@ def find_duplicates(
             F.lit(None).cast("bigint").alias("dead"),
         ),
     )
-    while True:
-        left = state.undecided.count()
-        if left == 0:
-            break
+
+    def compare_new() -> None:
+        """Pairs of active groups with groups that have their first kept row."""
         fresh = compared.add(
             state.kept.select(F.col("w").alias("gid")).distinct()
             .join(compared.table(), "gid", "left_anti")
         )
-        edges.add(
-            sim.similar_pairs(
-                _active(contested, state.groups), _active(contested, fresh), threshold, block
+        edges.add(sim.similar_pairs(
+            _active(contested, state.groups), _active(contested, fresh), threshold, block
+        ))
+
+    def settle(decided: DataFrame, undecided: DataFrame) -> None:
+        found.add(_pairs_of(decided))
+        state.kept = write_table(_next_kept(state.kept, decided), "kept")
+        state.undecided = undecided
+
+    while left := state.undecided.count():
+        compare_new()
+        last = _last_of_next(state.undecided, left, tail_rows)
+        ahead = state.undecided.filter(F.col("idx") <= last)
+        near = _kept_near(edges.table(), state.kept).join(ahead.select("gid"), "gid", "left_semi")
+        most = NEAR_PER_ROW * tail_rows
+        if tail_rows > 0 and near.limit(most + 1).count() <= most:
+            settle(
+                write_table(_replay(ahead, contested, near, threshold), "replayed"),
+                state.undecided.filter(F.col("idx") > last),
             )
-        )
-        near = _kept_near(edges.table(), state.kept).join(
-            state.groups.select("gid"), "gid", "left_semi"
-        )
-        if left <= tail_rows and near.limit(20 * tail_rows + 1).count() <= 20 * tail_rows:
-            found.add(_replay_tail(state.undecided, contested, near, threshold))
-            break
+            if left <= tail_rows:
+                break
+            compare_new()
+        state.groups = _next_groups(state, contested, threshold, block)
         decided = write_table(_decide(state, edges.table()), "decided")
-        found.add(_pairs_of(decided))
-        undecided = decided.filter("fate = 'waits'").select("idx", "q", "gid", "salt")
-        state = _Tables(
-            undecided=undecided,
-            groups=_next_groups(state, contested, undecided, threshold, block),
-            kept=write_table(_next_kept(state.kept, decided), "kept"),
-        )
+        waiting = decided.filter("fate = 'waits'").select("idx", "q", "gid", "salt")
+        settle(decided, waiting)
     return found.table()
 
 
+def _last_of_next(undecided: DataFrame, left: int, tail_rows: int) -> int:
+    """Row number up to which there are at most ``tail_rows`` undecided rows."""
+    rows = undecided if left <= tail_rows else undecided.orderBy("idx").limit(tail_rows)
+    last = rows.agg(F.max("idx")).first()[0]
+    return -1 if last is None else last
+
+
 def duplicate_pairs(df: DataFrame, found: DataFrame, order: str = S.ROW_INDEX) -> DataFrame:
     """The report of rejected samples, with sample ids in place of row numbers."""
     ids = df.select(F.col(order).alias("_row"), "sample_id")

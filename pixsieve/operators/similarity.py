@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 8192
 CELL_ROWS = 65536
 MAX_PIVOTS = 512
-_STRIP = 512
+STRIP = 512
 _SLACK = 1e-9
 _TILE = ["cell", "a", "b", "gid", "value", "unit"]
 
@@ -30,7 +30,7 @@ def _binary(matrix: np.ndarray) -> pa.Array:
     )
 
 
-def _matrix(column) -> np.ndarray:
+def matrix_of(column) -> np.ndarray:
     values = column.to_pylist()
     return np.frombuffer(b"".join(values), dtype=np.float64).reshape(len(values), -1)
 
@@ -91,7 +91,7 @@ def assign_cells(vectors: DataFrame, pivots: np.ndarray, threshold: float) -> Da
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            closeness = _matrix(batch.column("unit")) @ pivots.T
+            closeness = matrix_of(batch.column("unit")) @ pivots.T
             home = closeness.argmax(axis=1)
             best = closeness[np.arange(len(home)), home]
             near = best[:, None] - closeness <= reach * gaps[home]
@@ -116,14 +116,15 @@ def products(
     A product within rounding of the threshold is summed again in one fixed order, so a pair
     gets the same answer in every tile it is looked at.
     """
-    for start in range(0, len(a), _STRIP):
-        strip = a[start:start + _STRIP]
+    for start in range(0, len(a), STRIP):
+        strip = a[start:start + STRIP]
         sims = strip @ b.T
-        close = np.abs(sims - threshold) < _SLACK
-        if close.any():
-            i, j = np.nonzero(close)
+        hits = sims >= threshold - _SLACK
+        if hits.any():
+            i, j = np.nonzero(hits & (sims < threshold + _SLACK))
             sims[i, j] = (strip[i] * b[j]).sum(axis=1)
-        yield start, sims, sims >= threshold
+            hits[i, j] = sims[i, j] >= threshold
+        yield start, sims, hits
 
 
 def itself(
@@ -146,9 +147,11 @@ def _smallest_neighbour(threshold: float, both_sides: bool) -> Callable:
         if len(lid) and len(rid):
             _, mine, theirs = np.intersect1d(lid, rid, return_indices=True)
             seen = np.zeros(len(rid), dtype=bool)
-            for start, _, hits in products(_matrix(left["unit"]), _matrix(right["unit"]), threshold):
+            for start, _, hits in products(matrix_of(left["unit"]), matrix_of(right["unit"]), threshold):
                 here = (mine >= start) & (mine < start + len(hits))
                 hits[mine[here] - start, theirs[here]] = False
+                if not hits.any():
+                    continue
                 rows = np.nonzero(hits.any(axis=1))[0]
                 ids.append(lid[start + rows])
                 values.append(rval[hits[rows].argmax(axis=1)])
@@ -169,7 +172,7 @@ def _all_pairs(threshold: float) -> Callable:
         ids, others, sims = [], [], []
         if len(lid) and len(rid):
             _, mine, theirs = np.intersect1d(lid, rid, return_indices=True)
-            for start, sim, hits in products(_matrix(left["unit"]), _matrix(right["unit"]), threshold):
+            for start, sim, hits in products(matrix_of(left["unit"]), matrix_of(right["unit"]), threshold):
                 here = (mine >= start) & (mine < start + len(sim))
                 itself(sim, hits, mine[here] - start, theirs[here], threshold)
                 i, j = np.nonzero(hits)
