@@ -118,7 +118,10 @@ def l2_normalize(spark, sf_dir):
 
 def quality_score(spark, sf_dir):
     scored = ops.BlurFilter(100.0, fx.features(spark, sf_dir)).process(fx.samples(spark, sf_dir))
-    scored = scored.withColumn("clip_score", fn.cosine("image_embedding", "text_embedding"))
+    scored = scored.withColumns({
+        "blur_score": F.round("blur_score", 3),
+        "clip_score": fn.cosine("image_embedding", "text_embedding"),
+    })
     return scored.select(
         S.ROW_INDEX, F.round(fn.resolution_score(), 6).alias("resolution"),
         F.round(fn.sharpness_score(), 6).alias("sharpness"),

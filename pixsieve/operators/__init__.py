@@ -1,9 +1,9 @@
 from pixsieve.operators.row import (
     AlignmentFilter, BlurFilter, FunctionOperator, ImageLoader, Operator, ResolutionFilter,
-    SampleValidator, resolve_image_path,
+    SampleValidator, judge, resolve_image_path,
 )
 
 __all__ = [
     "AlignmentFilter", "BlurFilter", "FunctionOperator", "ImageLoader", "Operator",
-    "ResolutionFilter", "SampleValidator", "resolve_image_path",
+    "ResolutionFilter", "SampleValidator", "judge", "resolve_image_path",
 ]

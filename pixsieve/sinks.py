@@ -49,5 +49,6 @@ def metrics_dict(metrics: DataFrame) -> dict[str, dict]:
     out = {}
     for row in metrics.collect():
         values = row.asDict()
-        out[values.pop("operator")] = {k: v for k, v in values.items() if v is not None}
+        name = values.pop("operator")
+        out[name] = {k: v for k, v in values.items() if v is not None}
     return out

@@ -54,27 +54,26 @@ def image_features(
 
 
 def _measure(batch: pa.RecordBatch, encoder) -> pa.RecordBatch:
-    paths, widths, heights, blurs, pixels, places = [], [], [], [], [], []
-    for row in range(batch.num_rows):
-        path, height, width, channels, data = (batch.column(c)[row] for c in range(5))
-        height, width = height.as_py() or -1, width.as_py() or -1
-        paths.append(path.as_py())
-        widths.append(width)
-        heights.append(height)
-        if height <= 0 or width <= 0:
-            blurs.append(None)
+    heights, widths, channels = (
+        [-1 if v is None else v for v in batch.column(c).to_pylist()] for c in (1, 2, 3)
+    )
+    blurs: list[float | None] = [None] * batch.num_rows
+    pixels, places = [], []
+    for row, data in enumerate(batch.column(4)):
+        if heights[row] <= 0 or widths[row] <= 0:
             continue
-        image = to_array(height, width, channels.as_py(), data.as_buffer())
-        blurs.append(laplacian_variance(to_gray(image)))
-        places.append(row)
-        pixels.append(image)
+        image = to_array(heights[row], widths[row], channels[row], data.as_buffer())
+        blurs[row] = laplacian_variance(to_gray(image))
+        if encoder is not None:
+            places.append(row)
+            pixels.append(image)
     vectors: list = [None] * batch.num_rows
-    if encoder is not None and pixels:
+    if pixels:
         for row, vector in zip(places, encoder.encode_images(pixels)):
             vectors[row] = np.asarray(vector, dtype=np.float64).tolist()
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(paths, pa.string()), pa.array(widths, pa.int32()),
+            batch.column(0), pa.array(widths, pa.int32()),
             pa.array(heights, pa.int32()), pa.array(blurs, pa.float64()),
             pa.array(vectors, pa.list_(pa.float64())),
         ],

@@ -1,0 +1,47 @@
+import statistics
+
+import pytest
+
+from pixsieve.plans import reports
+
+
+def test_counts_ignore_other_states(make_samples):
+    df = make_samples({"status": "accepted"}, {"status": "rejected"}, {"status": "pending"}, {"status": None})
+    assert reports.status_counts(df).first() == (1, 1)
+
+
+def test_merge(spark):
+    parts = spark.createDataFrame([("A", 3, 1), ("B", 2, 0), ("A", 4, 2)], "operator string, processed bigint, rejected bigint")
+    assert {tuple(r) for r in reports.merge_metrics(parts).collect()} == {("A", 7, 3), ("B", 2, 0)}
+
+
+def test_published_funnel(spark):
+    metrics = spark.createDataFrame(
+        [("ResolutionFilter", 0, 1000, 191), ("BlurFilter", 1, 809, 34), ("CLIPAlignmentOperator", 2, 775, 104)],
+        "operator string, op_pos int, processed bigint, rejected bigint",
+    )
+    dedup = spark.createDataFrame([(671, 7, 664)], "input_samples bigint, duplicates_removed bigint, output_samples bigint")
+    rows = reports.curation_funnel(metrics, dedup).orderBy("stage_pos").collect()
+    assert [(r.stage, r.remaining, r.removed) for r in rows] == [
+        ("Input", 1000, 0), ("ResolutionFilter", 809, 191), ("BlurFilter", 775, 34),
+        ("CLIPAlignmentOperator", 671, 104), ("SemanticDedup", 664, 7),
+    ]
+
+
+def test_rollup_medians(spark):
+    runs = [
+        (samples, executor, run, float((run * 37 + samples) % 11 + 1), run % samples, samples - run % samples)
+        for samples, executor, count in ((100, "one", 3), (100, "two", 4), (500, "one", 1), (500, "two", 61))
+        for run in range(1, count + 1)
+    ]
+    df = spark.createDataFrame(runs, "samples bigint, executor string, run bigint, seconds double, accepted bigint, rejected bigint")
+    rows = {(r.samples, r.executor): r for r in reports.run_rollup(df.repartition(5)).collect()}
+    for key, row in rows.items():
+        group = [r for r in runs if r[:2] == key]
+        assert row.runs == len(group)
+        assert row.median_time == pytest.approx(statistics.median(r[3] for r in group))
+        assert row.median_throughput == pytest.approx(statistics.median(r[0] / r[3] for r in group))
+        assert (row.accepted, row.rejected) == group[-1][4:]
+    assert len(rows) == 4
+    speed = {(r.samples, r.executor): r.speedup for r in reports.speedup(reports.run_rollup(df), "one").collect()}
+    assert speed[(100, "one")] == 1.0

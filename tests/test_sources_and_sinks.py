@@ -1,0 +1,177 @@
+import json
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pixsieve import schema as S
+from pixsieve import sinks, sources
+from pixsieve.operators import BlurFilter, ImageLoader
+from pixsieve.plans.manifest_builder import build_manifest
+
+from conftest import png
+
+
+def manifest(path: Path, lines) -> str:
+    path.write_text("\n".join(lines), encoding="utf-8")
+    return str(path)
+
+
+def test_manifest_rules(spark, tmp_path):
+    record = {"source": "x", "image_id": 5, "image_path": "a.jpg", "image_url": "u", "width": 3, "height": 4, "text": "é t"}
+    lines = [
+        json.dumps(record, ensure_ascii=False), "", " \t ", "  " + json.dumps({"text": None, "image_path": "b"}) + "\r",
+        json.dumps({"image_path": "c", "width": 7}),
+    ]
+    path = manifest(tmp_path / "m.jsonl", lines)
+    df = sources.load_samples(spark, {"input": {"source": "VISUAL_genome", "path": path}})
+    assert df.columns == [S.ROW_INDEX, *S.SAMPLE_COLUMNS]
+    rows = df.orderBy(S.ROW_INDEX).collect()
+    assert [r.sample_id for r in rows] == ["vg_000001", "vg_000004", "vg_000005"]
+    assert [(r.scene, r.image_prompt) for r in rows] == [("é t", "é t"), (None, None), ("", "")]
+    first = rows[0].asDict()
+    assert (first["character"], first["visual_style"], first["status"], first["dialogue"]) == (
+        "visual_genome", "real_image", "pending", "",
+    )
+    assert (first["width"], first["height"], first["blur_score"]) == (3, 4, None)
+    assert rows[2].width == 7 and rows[2].height is None
+
+
+def test_manifest_with_a_broken_line_fails(spark, tmp_path):
+    path = manifest(tmp_path / "m.jsonl", ['{"text": "a"}', '{"text": '])
+    with pytest.raises(Exception):
+        sources.read_manifest(spark, path).collect()
+
+
+def test_unknown_source(spark):
+    with pytest.raises(ValueError, match="Unknown input source: other"):
+        sources.load_samples(spark, {"input": {"source": "Other", "path": "x"}})
+
+
+def test_line_numbers_over_many_splits_and_files(spark, tmp_path):
+    (tmp_path / "a").write_text("".join(f"a{i}\n" for i in range(1, 4001)))
+    (tmp_path / "b").write_text("".join(f"b{i}\n" for i in range(1, 11)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = sources.index_lines(spark, str(tmp_path))
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 3
+        rows = {r.row_idx: r.value for r in lines.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == {i: f"a{i}" if i <= 4000 else f"b{i - 4000}" for i in range(1, 4011)}
+
+
+def test_dense_index(spark):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5003).alias("k"))
+    rows = sources.dense_index(df, ["k"], "n").orderBy("n").collect()
+    assert [r.n for r in rows] == list(range(1, 5001))
+    assert [r.k for r in rows] == sorted(r.k for r in rows)
+
+
+@pytest.fixture(scope="module")
+def image_dir(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("images with space")
+    rng = np.random.default_rng(1)
+    for name, channels in (("gray.png", 1), ("rgb.png", 3), ("rgba.png", 4)):
+        pixels = rng.integers(0, 256, (6, 5, channels)).astype(np.uint8)
+        (folder / name).write_bytes(png(5, 6, channels, pixels.tobytes()))
+    (folder / "flat+one.png").write_bytes(png(5, 6, 3, bytes(90)))
+    (folder / "text.jpg").write_text("not an image")
+    return folder
+
+
+def test_images_are_decoded_and_measured(spark, image_dir):
+    images = sources.read_images(spark, str(image_dir), base_dir=str(image_dir))
+    features = {r.path: r for r in sources.image_features(images).collect()}
+    assert set(features) == {"gray.png", "rgb.png", "rgba.png", "flat+one.png", "text.jpg"}
+    for name in ("gray.png", "rgb.png", "rgba.png"):
+        assert (features[name].decoded_width, features[name].decoded_height) == (5, 6)
+        assert features[name].decoded_blur > 0
+    assert features["flat+one.png"].decoded_blur == 0
+    assert features["text.jpg"].decoded_height == -1 and features["text.jpg"].decoded_blur is None
+
+
+def test_loader_and_blur_on_files(spark, image_dir, make_samples):
+    images = sources.read_images(spark, str(image_dir), base_dir=str(image_dir))
+    features = sources.image_features(images)
+    df = make_samples(*[{"image_path": p} for p in ("rgb.png", "none.png", "text.jpg", "flat+one.png")])
+    loaded = ImageLoader(features).process(df)
+    out = BlurFilter(1.0).process(loaded).orderBy("row_idx").collect()
+    assert [(r.status, r.reject_reason, r.width) for r in out] == [
+        ("accepted", None, 5), ("rejected", "missing_image", 640), ("rejected", "invalid_image", 640),
+        ("rejected", "blurry_image", 5),
+    ]
+
+
+def test_encoder_sees_decodable_images_in_batches(spark, image_dir):
+    class Shapes:
+        def encode_images(self, images):
+            return [[len(images), *i.shape] for i in images]
+
+    images = sources.read_images(spark, str(image_dir), base_dir=str(image_dir)).coalesce(1)
+    rows = sources.image_features(images, Shapes, batch_size=2).collect()
+    vectors = {r.path: r.image_embedding for r in rows}
+    assert vectors["text.jpg"] is None
+    assert vectors["rgba.png"][1:] == [6.0, 5.0, 4.0]
+    assert max(v[0] for v in vectors.values() if v) <= 2
+
+
+def test_json_arrays(spark, tmp_path):
+    metadata = [{"image_id": 1, "url": "u", "width": 2, "height": 3}, {"image_id": 2, "url": "v"}]
+    (tmp_path / "meta.json").write_text(json.dumps(metadata, indent=2))
+    rows = sources.read_image_metadata(spark, str(tmp_path / "meta.json")).orderBy("pos").collect()
+    assert [(r.image_id, r.url, r.width) for r in rows] == [(1, "u", 2), (2, "v", None)]
+    (tmp_path / "regions.json").write_text(json.dumps([{"id": 1, "regions": [{"phrase": "p", "x": 1}]}]))
+    rows = sources.read_regions(spark, str(tmp_path / "regions.json")).collect()
+    assert rows[0].regions[0].phrase == "p"
+
+
+def test_manifest_builder(spark):
+    metadata = spark.createDataFrame(
+        [(0, 7, "u7", 1, 2), (1, 1234567, "big", 3, None), (2, 3, "u3", 1, 1), (3, 4, "u4", 1, 1), (4, 5, "u5", 1, 1), (5, 6, "u6", 1, 1)],
+        "pos bigint, image_id bigint, url string, width int, height int",
+    )
+    regions = spark.createDataFrame(
+        [(0, 7, [("old",)]), (1, 1234567, [("  big one ",), ("x",)]), (2, 3, []), (3, 4, [(" \t",)]),
+         (4, 7, [("new",)]), (5, 5, [("five",)]), (6, 6, [("six",)])],
+        "pos bigint, id bigint, regions array<struct<phrase:string>>",
+    )
+    files = spark.createDataFrame([("d/vg_000007.jpg",), ("d/vg_1234567.jpg",), ("d/vg_000006.jpg",)], "path string")
+    out = build_manifest(metadata, regions, files, image_dir="d/", limit=2).orderBy("pos").collect()
+    assert [(r.image_id, r.text, r.image_path, r.height) for r in out] == [
+        (7, "new", "d/vg_000007.jpg", 2), (1234567, "big one", "d/vg_1234567.jpg", None),
+    ]
+    everything = build_manifest(metadata, regions, limit=None)
+    assert {r.image_id for r in everything.collect()} == {7, 1234567, 5, 6}
+
+
+def read_lines(folder: Path) -> list[str]:
+    return [line for part in sorted(folder.glob("part-*")) for line in part.read_text("utf-8").splitlines()]
+
+
+def test_samples_are_written_in_order_with_nulls(spark, make_samples, tmp_path):
+    df = make_samples(*[{"sample_id": f"s{i}", "scene": "ü"} for i in range(50)]).repartition(5)
+    sinks.save_samples(df, str(tmp_path / "out"))
+    sinks.save_samples(df, str(tmp_path / "out"))
+    lines = read_lines(tmp_path / "out")
+    records = [json.loads(line) for line in lines]
+    assert [r["sample_id"] for r in records] == [f"s{i}" for i in range(50)]
+    assert list(records[0]) == S.SAMPLE_COLUMNS
+    assert records[0]["reject_reason"] is None and '"scene":"ü"' in lines[0]
+    sinks.save_samples(df, str(tmp_path / "table"), format="parquet")
+    assert spark.read.parquet(str(tmp_path / "table")).schema.fieldNames() == S.SAMPLE_COLUMNS
+
+
+def test_metrics_with_dedup(spark, tmp_path):
+    layout = "operator string, processed bigint, rejected bigint"
+    metrics = spark.createDataFrame([("ImageLoader", 5, 1), ("SemanticDedup", 9, 9)], layout)
+    dedup = spark.createDataFrame([(4, 1, 3)], "input_samples bigint, duplicates_removed bigint, output_samples bigint")
+    merged = sinks.with_dedup_metrics(metrics, dedup)
+    assert sinks.metrics_dict(merged) == {
+        "ImageLoader": {"processed": 5, "rejected": 1},
+        "SemanticDedup": {"input_samples": 4, "duplicates_removed": 1, "output_samples": 3},
+    }
+    sinks.save_metrics(merged, str(tmp_path / "m"))
+    assert len(read_lines(tmp_path / "m")) == 2
+    assert sinks.with_dedup_metrics(None, dedup).count() == 1
