@@ -1,7 +1,9 @@
 import json
+import sys
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
@@ -13,6 +15,8 @@ from pixsieve.plans.curate import caption_raw, curate
 from pixsieve.plans.reports import annotation_counts
 from pixsieve.standins import LetterEncoder, SizeCaptioner, open_bytes
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def captioner():
     return SizeCaptioner(bad_remainder=7, modulus=50)
