@@ -379,3 +379,4 @@ SELECT sample_id, image_path,
 FROM u""",
     "stream_quality": _CHAIN + f" SELECT {_VERDICT}, rejected_by FROM c",
 }
+ORACLE_SQL["image_source"] = ORACLE_SQL["blur_score"]

@@ -1,5 +1,6 @@
 """One query per operator, over the given tables or data that Spark derives from them."""
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +94,17 @@ def blur_score(spark, sf_dir):
     )
 
 
+def image_source(spark, sf_dir):
+    """The same images written as PNG files, decoded by the image source."""
+    folder = scratch_path(spark, "images")
+    fx.write_image_files(fx.images(spark, sf_dir), folder)
+    base = re.sub("^file:/+", "/", folder)
+    images = sources.read_images(spark, f"{folder}/img", base_dir=base)
+    return sources.image_features(images).select(
+        "path", "decoded_width", "decoded_height", _r("decoded_blur", "blur_score")
+    )
+
+
 def blur_filter(spark, sf_dir):
     operator = ops.BlurFilter(100.0, fx.features(spark, sf_dir))
     return operator.process(fx.samples(spark, sf_dir)).select(*VERDICT, _r("blur_score"))
@@ -519,7 +531,7 @@ def stream_quality(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        validator, resolve_image_path, image_loader, resolution_filter, blur_score, blur_filter,
+        validator, resolve_image_path, image_loader, resolution_filter, blur_score, image_source, blur_filter,
         cosine_alignment, alignment_filter, l2_normalize, quality_score, quality_pipeline,
         configured_pipeline, custom_operator, accepted_samples, canonical_projection,
         manifest_source, row_index, format_ids, strip_text, prefix_sample, ordered_samples,

@@ -4,6 +4,13 @@ The tables hold vectors and texts but no images, so every vector stands for an i
 third vector gets a near copy, and missing values are spread over the ids.
 """
 
+import re
+import struct
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +129,40 @@ def images(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def png_bytes(height: int, width: int, gray: bytes) -> bytes:
+    """A gray PNG without line filters."""
+    lines = b"".join(b"\0" + gray[y * width:(y + 1) * width] for y in range(height))
+    header = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+    chunks = ((b"IHDR", header), (b"IDAT", zlib.compress(lines)), (b"IEND", b""))
+    return b"\x89PNG\r\n\x1a\n" + b"".join(
+        struct.pack(">I", len(body)) + tag + body + struct.pack(">I", zlib.crc32(tag + body))
+        for tag, body in chunks
+    )
+
+
+def write_image_files(images: DataFrame, folder: str) -> int:
+    """One PNG per row in a shared folder, written by the tasks; broken images get no PNG bytes.
+
+    A task that is run again writes the same files. Returns the number of files.
+    """
+    uri = re.sub("^file:/+", "file:///", folder if ":" in folder else f"file://{folder}")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for row in batch.to_pylist():
+                target = f"{root}/{row['path']}"
+                system.create_dir(target.rsplit("/", 1)[0])
+                broken = row["height"] < 0
+                body = b"no image" if broken else png_bytes(row["height"], row["width"], row["data"])
+                with system.open_output_stream(target) as out:
+                    out.write(body)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
+
+    rows = images.select("path", "height", "width", "data")
+    return rows.mapInArrow(write, "files bigint").agg(F.sum("files")).first()[0]
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The image table with the size that the id declares instead of 8 x 8."""
     width, height = declared_size()

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pixsieve.schema import REJECTED
+
 NAN = float("nan")
 
 
@@ -15,6 +17,10 @@ def missing(c) -> Column:
     return F.coalesce(_col(c), F.lit("")) == ""
 
 
+def is_rejected(status="status") -> Column:
+    return F.coalesce(_col(status), F.lit("")) == REJECTED
+
+
 def strip(c) -> Column:
     """Trim every kind of white space, not only spaces."""
     return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")

@@ -7,8 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pixsieve.functions import missing
-from pixsieve.operators.row import is_rejected
+from pixsieve.functions import is_rejected, missing
 
 
 def encode_texts(

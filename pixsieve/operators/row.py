@@ -10,16 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
-from pixsieve.functions import cosine, missing
+from pixsieve.functions import cosine, is_rejected, missing
+from pixsieve.operators.encode import encode_texts
 
 Rule = tuple[Column, str]
 _FAIL = "_fail"
 
 
-def is_rejected() -> Column:
-    return F.coalesce(F.col("status"), F.lit("")) == S.REJECTED
-
-
 def judge(
     df: DataFrame,
     rules: Sequence[Rule],
@@ -209,7 +206,8 @@ class AlignmentFilter(Operator):
     """Cosine of the image and the text vector against a threshold.
 
     A NaN cosine is not below the threshold, so it is accepted. A sample without an image
-    vector stops the run, or with ``on_error="reject"`` is rejected as an invalid image.
+    vector stops the run, or with ``on_error="reject"`` is rejected as an invalid image. With
+    ``make_encoder`` the text vectors are made here, for the rows that are still alive.
     """
 
     label = S.ALIGNMENT_LABEL
@@ -221,13 +219,17 @@ class AlignmentFilter(Operator):
         image_vector: str = "image_embedding",
         text_vector: str = "text_embedding",
         on_error: str = "raise",
+        make_encoder: Callable | None = None,
     ):
         if on_error not in ("raise", "reject"):
             raise ValueError(f"on_error must be raise or reject, not {on_error}")
         self.threshold, self.model_name, self.on_error = threshold, model_name, on_error
         self.image_vector, self.text_vector = image_vector, text_vector
+        self.make_encoder = make_encoder
 
     def process(self, df: DataFrame) -> DataFrame:
+        if self.make_encoder is not None:
+            df = encode_texts(df, self.make_encoder, into=self.text_vector)
         image, text = F.col(self.image_vector), F.col(self.text_vector)
         scored = ~is_rejected() & ~missing("image_prompt")
         unusable = image.isNull() | text.isNull()

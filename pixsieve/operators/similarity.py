@@ -14,7 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 8192
+# A tile holds at most two blocks: 2 x 128 MB for vectors of 512 doubles. Larger blocks mean fewer
+# copies of each row in the shuffle, as a row goes to as many tiles as its cell has blocks.
+BLOCK_ROWS = 32768
 CELL_ROWS = 65536
 MAX_PIVOTS = 512
 STRIP = 512

@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
+from pixsieve.functions import is_rejected
 from pixsieve.operators.row import (
     AlignmentFilter, BlurFilter, ImageLoader, Operator, ResolutionFilter, SampleValidator,
-    is_rejected,
 )
 
 
@@ -77,6 +77,7 @@ class Resources:
     image_vector: str = "image_embedding"
     text_vector: str = "text_embedding"
     on_error: str = "raise"
+    make_text_encoder: Callable | None = None
 
 
 Factory = Callable[[dict, Resources], Operator]
@@ -93,6 +94,7 @@ def _alignment(params: dict, resources: Resources) -> Operator:
         "image_vector": resources.image_vector,
         "text_vector": resources.text_vector,
         "on_error": resources.on_error,
+        "make_encoder": resources.make_text_encoder,
     }
     return AlignmentFilter(**{**given, **params})
 
@@ -142,5 +144,23 @@ def build_pipeline(spec: dict, resources: Resources | None = None) -> QualityPip
     return QualityPipeline(operators)
 
 
+def encoding_limits(spec: dict) -> dict[str, float]:
+    """Minimums that an image must reach to get as far as the alignment of a spec."""
+    limits: dict[str, float] = {"min_width": 0, "min_height": 0, "min_blur": 0.0}
+    for entry in spec["pipeline"]["operators"]:
+        if not entry.get("enabled", True):
+            continue
+        if entry["name"] == "clip_alignment":
+            break
+        given = entry.get("params", {})
+        if entry["name"] == "resolution_filter":
+            size = ResolutionFilter(**given)
+            limits["min_width"] = max(limits["min_width"], size.min_width)
+            limits["min_height"] = max(limits["min_height"], size.min_height)
+        elif entry["name"] == "blur_filter":
+            limits["min_blur"] = max(limits["min_blur"], BlurFilter(**given).threshold)
+    return limits
+
+
 def accepted(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status") == S.ACCEPTED)

@@ -32,19 +32,30 @@ def read_images(spark: SparkSession, path: str, base_dir: str = "") -> DataFrame
 
 
 def image_features(
-    images: DataFrame, make_encoder: Callable | None = None, batch_size: int = 32
+    images: DataFrame,
+    make_encoder: Callable | None = None,
+    batch_size: int = 32,
+    min_width: int = 0,
+    min_height: int = 0,
+    min_blur: float = 0.0,
 ) -> DataFrame:
     """Size, sharpness and, with an encoder, the vector of every image; the pixels stay behind.
 
     ``make_encoder()`` returns an object with ``encode_images(list of BGR arrays)``; it is
-    called once per task. Undecodable images come out with NULLs and height -1.
+    called once per task. Images below the given minimums are measured but not encoded: give the
+    thresholds of the operators that come before the alignment (``encoding_limits``), which
+    reject such images without looking at a vector. Undecodable images come out with NULLs and
+    height -1. Arrow batches are limited by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``).
     """
 
+    def encodes(width: int, height: int, blur: float) -> bool:
+        return width >= min_width and height >= min_height and not blur < min_blur
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = make_encoder() if make_encoder else None
         for batch in batches:
             for start in range(0, batch.num_rows, batch_size):
-                yield _measure(batch.slice(start, batch_size), encoder)
+                yield _measure(batch.slice(start, batch_size), encoder, encodes)
 
     return images.select(*IMAGE_COLUMNS).mapInArrow(
         measure,
@@ -53,7 +64,7 @@ def image_features(
     )
 
 
-def _measure(batch: pa.RecordBatch, encoder) -> pa.RecordBatch:
+def _measure(batch: pa.RecordBatch, encoder, encodes: Callable) -> pa.RecordBatch:
     heights, widths, channels = (
         [-1 if v is None else v for v in batch.column(c).to_pylist()] for c in (1, 2, 3)
     )
@@ -64,7 +75,7 @@ def _measure(batch: pa.RecordBatch, encoder) -> pa.RecordBatch:
             continue
         image = to_array(heights[row], widths[row], channels[row], data.as_buffer())
         blurs[row] = laplacian_variance(to_gray(image))
-        if encoder is not None:
+        if encoder is not None and encodes(widths[row], heights[row], blurs[row]):
             places.append(row)
             pixels.append(image)
     vectors: list = [None] * batch.num_rows

@@ -95,3 +95,36 @@ def test_a_cheap_chain_is_one_narrow_stage(make_samples):
     chain = pl.QualityPipeline([SampleValidator(), ResolutionFilter()])
     plan = chain.run(make_samples({}))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_only_images_that_reach_the_alignment_are_encoded(spark):
+    from pixsieve import sources
+    from pixsieve.standins import LetterEncoder
+
+    limits = pl.encoding_limits(pl.DEFAULT_SPEC)
+    assert limits == {"min_width": 512, "min_height": 512, "min_blur": 100.0}
+    early = spec({"name": "clip_alignment"}, {"name": "blur_filter"})
+    assert pl.encoding_limits(early) == {"min_width": 0, "min_height": 0, "min_blur": 0.0}
+    images = fx.images(spark, SF_DIR)
+    some = sources.image_features(images, LetterEncoder, min_blur=100.0).collect()
+    assert all((r.image_embedding is not None) == (r.decoded_blur is not None and r.decoded_blur >= 100) for r in some)
+    small = sources.image_features(images, LetterEncoder, min_width=9).filter("image_embedding is not null")
+    assert small.count() == 0
+
+
+def test_texts_are_encoded_inside_the_chain_for_alive_rows(spark, make_samples):
+    from pixsieve.standins import LetterEncoder
+
+    df = make_samples(
+        {"image_prompt": "aab", "image_embedding": [1.0] + [0.0] * 7},
+        {"image_prompt": "hh", "image_embedding": [1.0] + [0.0] * 7},
+        {"image_prompt": "aa", "sample_id": "", "image_embedding": None},
+        extra="image_embedding array<double>",
+    )
+    chain = pl.build_pipeline(
+        spec({"name": "validator"}, {"name": "clip_alignment"}), pl.Resources(make_text_encoder=LetterEncoder)
+    )
+    out = chain.run(df)
+    assert rows(out, "status", "reject_reason") == [
+        ("accepted", None), ("rejected", "low_clip_alignment"), ("rejected", "missing_sample_id"),
+    ]
