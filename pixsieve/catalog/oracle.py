@@ -247,7 +247,7 @@ n AS (SELECT vec_id, x, greatest(sqrt(list_dot_product(x, x)), 1e-12) AS norm, u
 SELECT vec_id, pos::INTEGER AS pos, round(x[pos + 1] / norm, 6) AS value FROM n""",
     "quality_score": _SAMPLES + f""", j AS (
   SELECT row_idx, width, height, cs AS clip_score,
-    CASE WHEN status0 <> 'rejected' AND decoded THEN round(blur, 3) END AS blur_score FROM s)
+    CASE WHEN status0 <> 'rejected' AND decoded THEN floor(blur * 1000 + 0.123::DOUBLE) / 1000.0::DOUBLE END AS blur_score FROM s)
 SELECT row_idx,
   round(least(coalesce(width, 0)::DOUBLE * coalesce(height, 0) / 2073600.0::DOUBLE, 1.0::DOUBLE), 6) AS resolution,
   round(least(coalesce(blur_score, 0) / 500.0::DOUBLE, 1.0::DOUBLE), 6) AS sharpness,
