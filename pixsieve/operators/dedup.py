@@ -71,7 +71,6 @@ class _Growing:
     def __init__(self, spark: SparkSession, label: str, layout: str):
         self.spark, self.layout, self.parts = spark, layout, 0
         self.path = scratch_path(spark, label)
-        self.add(spark.createDataFrame([], layout))
 
     def add(self, df: DataFrame) -> DataFrame:
         part = f"{self.path}/part={self.parts}"
@@ -80,6 +79,8 @@ class _Growing:
         return self.spark.read.schema(self.layout).parquet(part)
 
     def table(self) -> DataFrame:
+        if self.parts == 0:
+            return self.spark.createDataFrame([], self.layout)
         return self.spark.read.schema(f"{self.layout}, part int").parquet(self.path).drop("part")
 
 
@@ -347,7 +348,8 @@ def find_duplicates(
     compared = _Growing(spark, "compared", "gid bigint")
 
     if threshold > 0:
-        found.add(_settle_copies(members.filter("alone")))
+        if not contested.filter("alone").isEmpty():
+            found.add(_settle_copies(members.filter("alone")))
         contested, members = contested.filter("not alone"), members.filter("not alone")
     # The first row of a neighbourhood has nothing before it and is kept.
     state = _Tables(
@@ -381,12 +383,11 @@ def find_duplicates(
         near = _kept_near(edges.table(), state.kept).join(ahead.select("gid"), "gid", "left_semi")
         most = NEAR_PER_ROW * tail_rows
         if tail_rows > 0 and near.limit(most + 1).count() <= most:
-            settle(
-                write_table(_replay(ahead, contested, near, threshold), "replayed"),
-                state.undecided.filter(F.col("idx") > last),
-            )
+            replayed = _replay(ahead, contested, near, threshold)
             if left <= tail_rows:
+                found.add(_pairs_of(replayed))
                 break
+            settle(write_table(replayed, "replayed"), state.undecided.filter(F.col("idx") > last))
             compare_new()
         state.groups = _next_groups(state, contested, threshold, block)
         decided = write_table(_decide(state, edges.table()), "decided")
