@@ -168,9 +168,10 @@ _REGIONS = r"""
 WITH regions AS (
   SELECT doc_id AS pos, doc_id AS id, string_split(text, '. ') AS parts FROM documents
   UNION ALL
-  SELECT doc_id + 1000000000, doc_id, string_split(' ' || text, chr(10)) FROM documents WHERE doc_id % 5 = 0
+  SELECT doc_id + 1000000000, doc_id, string_split(' ' || text, chr(10)) FROM documents
+  WHERE contains(text, chr(10))
   UNION ALL
-  SELECT doc_id + 2000000000, doc_id, []::VARCHAR[] FROM documents WHERE doc_id % 11 = 4
+  SELECT doc_id + 2000000000, doc_id, []::VARCHAR[] FROM labels WHERE toxic = 1
 ),
 phrases AS (
   SELECT id, pos, len(parts)::INTEGER AS regions,
@@ -286,7 +287,8 @@ WITH t AS (SELECT conv_id, turn, regexp_replace(chr(9) || ' ' || chr(10) || text
   '^\s+|\s+$', '', 'g') AS stripped FROM conversations) SELECT * FROM t WHERE stripped <> ''""",
     "prefix_sample": _SAMPLES + " SELECT row_idx, sample_id FROM s ORDER BY row_idx LIMIT 5",
     "ordered_samples": _SAMPLES + " SELECT row_idx, id, row_number() OVER (ORDER BY id) AS position FROM s",
-    "manifest_builder": _REGIONS + " SELECT * FROM manifest WHERE image_id % 7 <> 3 ORDER BY pos LIMIT 1000",
+    "manifest_builder": _REGIONS + """
+SELECT * FROM manifest WHERE image_id IN (SELECT doc_id FROM labels) ORDER BY pos LIMIT 1000""",
     "manifest_sink": _REGIONS + """, k AS (SELECT *, row_number() OVER (ORDER BY pos) AS row_idx FROM manifest)
 SELECT row_idx, format('vg_{:06d}', row_idx) AS sample_id, text AS scene, image_path, width, height FROM k""",
     "region_source": _REGIONS + " SELECT id, regions, phrase FROM phrases",

@@ -240,7 +240,8 @@ def ordered_samples(spark, sf_dir):
 
 
 def _regions(spark, sf_dir) -> DataFrame:
-    """Sentences as regions; every fifth image has a later row, by lines, that counts instead."""
+    """Sentences as regions. Texts of several lines have a later row, by lines, that counts
+    instead, and texts marked toxic a last one without regions."""
     documents = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
 
     def rows(pos: Column, parts: Column) -> list[Column]:
@@ -250,10 +251,10 @@ def _regions(spark, sf_dir) -> DataFrame:
         ]
 
     by_sentence = documents.select(*rows(F.col("doc_id"), F.split("text", r"\. ")))
-    by_line = documents.filter("doc_id % 5 = 0").select(
+    by_line = documents.filter(F.col("text").contains("\n")).select(
         *rows(F.col("doc_id") + 1_000_000_000, F.split(F.concat(F.lit(" "), "text"), "\n"))
     )
-    empty = documents.filter("doc_id % 11 = 4").select(
+    empty = fx.table(spark, sf_dir, "labels").filter("toxic = 1").select(
         *rows(F.col("doc_id") + 2_000_000_000, F.array().cast("array<string>"))
     )
     return by_sentence.unionByName(by_line).unionByName(empty)
@@ -269,7 +270,8 @@ def _metadata(spark, sf_dir) -> DataFrame:
 
 
 def _files_at_hand(spark, sf_dir) -> DataFrame:
-    return fx.table(spark, sf_dir, "documents").filter("doc_id % 7 <> 3").select(
+    """The labelled documents stand for the images that were fetched."""
+    return fx.table(spark, sf_dir, "labels").select(
         F.concat(F.lit("data/visual_genome/images/"), fn.format_id("doc_id"), F.lit(".jpg")).alias("path")
     )
 
