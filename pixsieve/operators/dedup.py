@@ -39,6 +39,7 @@ from pixsieve.session import scratch_path, write_table
 TAIL_ROWS = 20_000
 NEAR_PER_ROW = 20
 CHUNK_ROWS = 1_000_000
+HOT_ROWS = 100_000
 INFINITE = float("inf")
 _PAIR_LAYOUT = (
     "duplicate_idx bigint, kept_idx bigint, similarity double, "
@@ -53,7 +54,7 @@ def _beats(challenger: Column, incumbent: Column) -> Column:
 
 def _hot_parts(count: Column, rows: int) -> Column:
     """Into how many parts a key of ``count`` rows is salted: 1 below a thousandth of all rows."""
-    return F.ceil(count / F.lit(max(100_000, rows // 1000))).cast("int")
+    return F.ceil(count / F.lit(max(HOT_ROWS, rows // 1000))).cast("int")
 
 
 @dataclass

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pixsieve import schema as S
 from pixsieve.functions.pixels import laplacian_variance, to_array, to_gray
 
 IMAGE_COLUMNS = ["path", "height", "width", "nChannels", "data"]
@@ -57,11 +58,7 @@ def image_features(
             for start in range(0, batch.num_rows, batch_size):
                 yield _measure(batch.slice(start, batch_size), encoder, encodes)
 
-    return images.select(*IMAGE_COLUMNS).mapInArrow(
-        measure,
-        "path string, decoded_width int, decoded_height int, decoded_blur double, "
-        "image_embedding array<double>",
-    )
+    return images.select(*IMAGE_COLUMNS).mapInArrow(measure, S.IMAGE_FEATURE_SCHEMA)
 
 
 def _measure(batch: pa.RecordBatch, encoder, encodes: Callable) -> pa.RecordBatch:
@@ -88,5 +85,5 @@ def _measure(batch: pa.RecordBatch, encoder, encodes: Callable) -> pa.RecordBatc
             pa.array(heights, pa.int32()), pa.array(blurs, pa.float64()),
             pa.array(vectors, pa.list_(pa.float64())),
         ],
-        names=["path", "decoded_width", "decoded_height", "decoded_blur", "image_embedding"],
+        names=S.IMAGE_FEATURE_SCHEMA.fieldNames(),
     )

@@ -61,6 +61,19 @@ def test_every_row_better_than_the_one_before(spark):
     assert found(spark, vectors, quality, 0.85, tail_rows=30) == greedy(vectors, quality, 0.85)
 
 
+def test_hot_groups_are_salted(spark, monkeypatch):
+    """A third of the rows are copies of one vector, with other vectors near it."""
+    monkeypatch.setattr(dd, "HOT_ROWS", 15)
+    vectors, quality = clustered(seed=6, rows=150)
+    vectors[::3] = vectors[0]
+    units = dd._prepare(
+        table(spark, vectors, quality).select(F.col("row_idx").alias("idx"), "q", "vector"),
+        "vector", 0.85, 100, 100,
+    )[1]
+    assert units.agg(F.max("salt")).first()[0] >= 3
+    assert found(spark, vectors, quality, 0.85, tail_rows=25) == greedy(vectors, quality, 0.85)
+
+
 def test_nan_and_zero(spark):
     rng = np.random.default_rng(2)
     vectors = rng.normal(size=(90, 4))
