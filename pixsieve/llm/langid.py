@@ -125,10 +125,10 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     return LanguageModel(names, prior, np.log(matrix / matrix.sum(axis=0)))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, plus ``lang_pred`` and ``score``."""
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs``, without ``text`` unless it is to be kept, plus ``lang_pred`` and ``score``."""
     kept = docs.drop("lang_pred", "score")
-    rest = [f for f in kept.schema if f.name != text]
+    rest = [f for f in kept.schema if keep_text or f.name != text]
     schema = T.StructType([*rest, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -141,6 +141,13 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     return kept.mapInArrow(run, schema)
 
 
+def in_a_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The documents that are in one of the learned languages with a score of ``least`` or more."""
+    model = train(docs.filter(~held_out(F.col("doc_id"))))
+    known = predict(docs, model, keep_text=True)
+    return known.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
+
+
 def identified(docs: DataFrame) -> DataFrame:
     """Per document: whether it was held out, its predicted language and the score."""
     own = docs.select("doc_id", "text", "lang")

@@ -65,3 +65,10 @@ def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: flo
     n, left = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size("__kept"), F.lit(0))
     counts = [F.when(F.col(text).isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(F.col(text).isNull(), 0).otherwise(n - left).cast("long").alias("n_dropped")]
     return split.select(*[F.array_join("__kept", "\n").alias(c) if c == text else F.col(c) for c in own], *counts)
+
+
+def without_boilerplate(docs: DataFrame, host: str) -> DataFrame:
+    """Documents with boilerplate lines gone; those that had nothing else go too."""
+    cleaned = drop_boilerplate(docs, host)
+    emptied = (F.col("n_dropped") > 0) & (F.trim("text", F.lit(" \t\r\n")) == "")
+    return cleaned.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

@@ -163,10 +163,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     return fit(rows[quality == 1], rows[quality == 0], sizes[0] / (sizes[0] + sizes[1]))
 
 
-def score(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
-    """``docs`` without ``text``, plus ``score`` and ``predicted``."""
+def score(docs: DataFrame, model: QualityModel, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``docs``, without ``text`` unless it is to be kept, plus ``score`` and ``predicted``."""
     kept = docs.drop("score", "predicted")
-    rest = [f for f in kept.schema if f.name != text]
+    rest = [f for f in kept.schema if keep_text or f.name != text]
     schema = T.StructType([*rest, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -180,6 +180,12 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text") -> DataFrame
     return kept.mapInArrow(run, schema)
 
 
+def of_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are predicted to be good."""
+    model = train(docs, labels.select("doc_id", "quality").filter(~held_out(F.col("doc_id"))))
+    return score(docs, model, keep_text=True).filter(F.col("predicted") == 1).select(*docs.columns)
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: whether it was held out, its score and the predicted label."""
     own = docs.select("doc_id", "text")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixsieve.llm import bpe, langid, lines, quality, sharding, topk
+from pixsieve.llm import bpe, fingerprints, html_text, langid, lines, ngram_join, packing, quality, sharding, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,10 +21,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_classes(_table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(_table(spark, sf_dir, "documents"))
 
@@ -38,6 +46,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(docs, "source").select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprinted(_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
@@ -47,13 +59,21 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.filter(F.col("vec_id") % 100 == 0), vectors)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
+    "op3_html_text": op3_html_text,
     "op4_language": op4_language,
     "op5_sharding": op5_sharding,
     "op6_line_dedup": op6_line_dedup,
+    "op7_order_minhash": op7_order_minhash,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_topk": op9_topk,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
