@@ -1,0 +1,69 @@
+import base64
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from pixsieve.llm import bpe
+from pixsieve.llm.queries import vocabulary
+
+RANKS = vocabulary("byte_bpe_multi_50k.tiktoken")
+FILE = vocabulary("byte_bpe_50k.json")
+PIECES = st.sampled_from(["'s", "'re", "'", "''", " ", "  ", "\n", "\t", " ", "　", "a", "Zu", "é", "漢", "1", "Ⅷ", "!", "'ll", "x" * 200, "😀", "́", "<|endoftext|>", "'LL"])
+TEXTS = st.lists(st.one_of(PIECES, st.text(max_size=6)), max_size=30).map("".join)
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    with open(RANKS, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), Tokenizer.from_file(FILE)
+
+
+def ids_of(data):
+    return np.frombuffer(data, "<u4").tolist()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXTS, max_size=5))
+def test_ids_are_those_of_the_libraries(libraries, texts):
+    ranks, file = libraries
+    assert [ids_of(x) for x in bpe.coder_of(RANKS).encode(texts)] == [ranks.encode_ordinary(t) for t in texts]
+    assert [ids_of(x) for x in bpe.coder_of(FILE).encode(texts)] == [file.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.decode() for x in bpe.coder_of(RANKS).decode(bpe.coder_of(RANKS).encode(texts))] == texts
+
+
+def test_every_code_point_has_the_class_of_the_library(libraries):
+    texts = ["a%sb %s\n%s" % ((chr(c),) * 3) for c in range(0x80, 0x110000, 37) if not 0xD800 <= c < 0xE000]
+    assert [ids_of(x) for x in bpe.coder_of(RANKS).encode(texts)] == [libraries[0].encode_ordinary(t) for t in texts]
+
+
+def test_long_pieces_and_a_full_cache(libraries, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 10)
+    texts = ["ab" * 900, " " * 700, "漢字" * 300, "the cat sat on the mat and then some more words came by"]
+    for _ in range(2):
+        assert [ids_of(x) for x in bpe.coder_of(RANKS).encode(texts)] == [libraries[0].encode_ordinary(t) for t in texts]
+
+
+def test_digests_of_awkward_rows(spark, awkward, libraries):
+    rows = bpe.digests(awkward, RANKS).collect()
+    texts = {r.doc_id: r.text or "" for r in awkward.collect()}
+    assert len(rows) == awkward.count()
+    for r in rows:
+        ids = libraries[0].encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+    assert bpe.digests(awkward.limit(0), RANKS).count() == 0
+
+
+def test_offsets_and_clashing_columns(spark, make_docs):
+    docs = make_docs(["hello world"]).selectExpr("doc_id", "text", "'old' AS ids", "1 AS n_tokens")
+    row = bpe.encode(docs, RANKS, offsets=True).first()
+    assert row.token_offsets[0] == 0 and row.token_offsets[-1] == 11 and len(row.token_offsets) == row.n_tokens + 1
