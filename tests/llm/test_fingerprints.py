@@ -1,0 +1,77 @@
+import hashlib
+
+import numpy as np
+
+from pixsieve.llm import fingerprints as fp
+
+
+def plain_signature(text):
+    """The same selection, one hash function at a time."""
+    odd, salt, weights = fp._constants()
+    points = [ord(c) for c in text]
+    n = max(1, len(points) - fp.KMER + 1)
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 33)) * 0xFF51AFD7ED558CCD) & mask
+        return x ^ (x >> 29)
+
+    seen, numbered = {}, []
+    for i in range(n):
+        kmer = sum((p + 1) * int(w) for p, w in zip(points[i:i + fp.KMER], weights, strict=False)) & mask
+        kmer = mix(kmer) >> 24
+        seen[kmer] = seen.get(kmer, -1) + 1
+        numbered.append(mix((kmer * 0x9E3779B97F4A7C15 + seen[kmer] * 0xC2B2AE3D27D4EB4F) & mask))
+    out = []
+    for a, s in zip(odd.ravel().tolist(), salt.ravel().tolist(), strict=True):
+        values = [((((x >> 32) ^ s) * a) & 0xFFFFFFFF, i) for i, x in enumerate(numbered)]
+        chosen = sorted(i for _, i in sorted(values)[:fp.PICKED])
+        total = len(chosen)
+        for i in chosen:
+            total = mix((total * 0x9E3779B97F4A7C15 + numbered[i]) & mask)
+        out.append(max(1, total >> 32))
+    return np.array(out, np.uint32)
+
+
+def test_signatures_equal_a_plain_order_minhash():
+    for text in ("a", "abcde", "abcdef", "abab" * 40, "The quick brown fox jumps over the lazy dog. " * 5, "日本語" * 9, "x" * 9000):
+        assert (fp.signature(text) == plain_signature(text)).all()
+    assert not fp.signature("").any()
+
+
+def test_order_matters():
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(300)]
+    text, turned = " ".join(words), " ".join(words[150:] + words[:150])
+    shuffled = " ".join(rng.permutation(words))
+    near = [fp.likeness(fp.signature(text), fp.signature(x)) for x in (text, turned, shuffled)]
+    assert near[0] == 1.0 and near[0] > near[1] > near[2]
+
+
+def test_neighbours_by_hand(spark, make_docs):
+    texts = [f"text number {i} " + "lorem ipsum dolor " * (i % 7) for i in range(41)] + [None, ""]
+    out = {r.doc_id: r for r in fp.fingerprinted(make_docs(texts)).collect()}
+    order = sorted(range(len(texts)), reverse=True)
+    for own, following in zip(order, [*order[1:], order[0]], strict=True):
+        t, u = texts[own] or "", texts[following] or ""
+        changed = t[:len(t) - len(t) // 3] + u[:len(t) // 3]
+        row = out[own]
+        assert row.n_chars == len(t) and row.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert row.fingerprint == fp.as_text(fp.signature(t)) and row.edited_fingerprint == fp.as_text(fp.signature(changed))
+        assert row.near_next == fp.likeness(fp.signature(t), fp.signature(u))
+
+
+def test_edge_cases(spark, awkward, make_docs):
+    out = fp.fingerprinted(awkward).toPandas()
+    assert len(out) == awkward.count()
+    equal = out[out.doc_id.isin([8, 9])]
+    assert equal.fingerprint.nunique() == 1
+    single = fp.fingerprinted(make_docs(["only one of them"])).first()
+    assert single.near_next == 1.0
+    assert fp.fingerprinted(awkward.limit(0)).count() == 0
+
+
+def test_edited_texts_are_nearer_than_next_ones(spark):
+    out = fp.fingerprinted(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).toPandas()
+    assert (out.near_edited > out.near_next).mean() > 0.97
+    assert 0.6 < out.near_edited.median() < 0.75

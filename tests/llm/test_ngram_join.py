@@ -1,0 +1,99 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from pixsieve.llm import ngram_join
+
+
+def words_of(text):
+    return re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def set_of(text, size):
+    w = words_of(text)
+    return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
+
+
+def by_hand(texts, size, percent):
+    """(set size, least id reachable) of every text, by comparing all pairs."""
+    sets = [set_of(t, size) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if a and 100 * common >= percent * (len(a) + len(sets[j]) - common):
+                u, v = find(i), find(j)
+                root[max(u, v)] = min(u, v)
+    return {i: (len(s), find(i)) for i, s in enumerate(sets)}
+
+
+def near_copies(seed, families=12, members=8):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(families):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(20, 120))]
+        for _ in range(rng.randint(1, members)):
+            own = list(base)
+            for _ in range(rng.randint(0, 6)):
+                own[rng.randrange(len(own))] = rng.choice(vocabulary).upper()
+            texts.append(" ".join(own))
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
+def test_classes_equal_all_pairs(spark, make_docs, size, percent):
+    texts = [*near_copies(size), "a b", "A  b", "a b c d", "", None, "x\x85y z", "a b c d e f"]
+    out = ngram_join.similar_classes(make_docs(texts), size, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == by_hand(texts, size, percent)
+
+
+def test_groups_that_one_pivot_does_not_settle(spark, make_docs, monkeypatch):
+    """Chains drift apart while neighbours stay similar; large groups go through pivot rounds."""
+    monkeypatch.setattr(ngram_join, "SMALL_GROUP", 3)
+    rng = random.Random(5)
+    own, texts = [rng.choice("abcdefghijklmnop") + str(rng.randrange(9)) for _ in range(80)], []
+    for _ in range(60):
+        for _ in range(2):
+            own[rng.randrange(len(own))] = f"n{rng.randrange(1000)}"
+        texts.append(" ".join(own))
+    shared = " ".join(f"p{i}" for i in range(60))
+    texts += [shared + f" tail{i} a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i} i{i} j{i} k{i}" for i in range(30)]
+    rng.shuffle(texts)
+    out = ngram_join.similar_classes(make_docs(texts), 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out.collect()} == by_hand(texts, 4, 85)
+
+
+def test_fragments_cover_the_global_order():
+    counts = np.random.default_rng(2).integers(0, 50, 1 << ngram_join.COUNT_BITS).astype(np.uint32)
+    cuts = ngram_join._cuts(counts, 8)
+    assert (np.diff(cuts) >= 0).all()
+    mass = defaultdict(int)
+    keys = (counts.astype(np.int64) << 40) | (np.arange(len(counts)) << 20)
+    for fragment, n in zip(np.searchsorted(cuts, keys, side="right"), counts.tolist(), strict=True):
+        mass[int(fragment)] += n
+    assert len(mass) == 8 and max(mass.values()) < 1.01 * min(mass.values())
+
+
+def test_edge_cases(spark, awkward, make_docs):
+    out = ngram_join.similar_classes(awkward).collect()
+    assert len(out) == awkward.count()
+    got = defaultdict(set)
+    for r in out:
+        got[r.doc_id].add((r.n_shingles, r.component_id))
+    assert got[0] == got[0] & {(0, 0)} and got[1] == {(0, 1)} and got[None] == {(1, None)}
+    assert got[8] == {(2, 8)} and got[9] == {(2, 8)} and got[3] == {(1, 3)}
+    assert ngram_join.similar_classes(awkward.limit(0)).count() == 0
+    kept = ngram_join.one_per_class(awkward)
+    assert kept.columns == awkward.columns
+    assert kept.count() == len({r.component_id for r in out})

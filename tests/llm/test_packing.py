@@ -1,0 +1,95 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from pixsieve.llm import packing
+from pixsieve.llm.queries import vocabulary
+
+
+def one_by_one(lengths, limits):
+    """Best fit, longest first, one piece after another: the fill of every sequence."""
+    whole, weight = limits.vector(), np.array(packing.WEIGHTS)
+    used = np.zeros((0, 3), np.int64)
+    for length in sorted(lengths, reverse=True):
+        need = np.array([length, 1, length * length])
+        fits = np.flatnonzero((whole - used >= need).all(axis=1))
+        if len(fits):
+            share = (whole - used[fits]) / whole * weight
+            cost = (share**2).sum(axis=1) if limits.rule == "norm" else -(share * (need / whole)).sum(axis=1)
+            used[fits[np.argmin(cost)]] += need
+        else:
+            used = np.vstack((used, need))
+    return sorted(map(tuple, used.tolist()))
+
+
+def fill(counts, rows):
+    used = {}
+    for length, first, last, per, sequence, begin in rows:
+        for i in range(last - first):
+            own = used.setdefault(sequence + i // per, [0, 0, 0])
+            assert own[0] == begin + (i % per) * length
+            own[0] += length
+            own[1] += 1
+            own[2] += length * length
+    return sorted(map(tuple, used.values()))
+
+
+@pytest.mark.parametrize("limits", [packing.Capacities(), packing.Capacities(documents=3), packing.Capacities(attention=300_000)])
+def test_plan_equals_best_fit_one_by_one(limits):
+    rng = random.Random(4)
+    lengths = [min(540, 1 + int(rng.expovariate(1 / 200))) for _ in range(700)] + [30] * 200
+    counts = {n: lengths.count(n) for n in lengths}
+    assert fill(counts, packing.plan(counts, limits)) == one_by_one(lengths, limits)
+
+
+def test_dot_product_rule_keeps_every_capacity():
+    limits = packing.Capacities(documents=5, attention=400_000, rule="dot")
+    counts = {600: 7, 400: 11, 250: 40, 10: 90}
+    used = fill(counts, packing.plan(counts, limits))
+    assert sum(x[1] for x in used) == sum(counts.values())
+    assert all((np.array(x) <= limits.vector()).all() for x in used)
+    with pytest.raises(ValueError):
+        packing.plan({900: 1}, limits)
+
+
+def check_pieces(rows, texts):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    by_doc = {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    for doc_id, text in texts:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID], "<u4")
+        own = sorted(by_doc[doc_id], key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(-(-len(ids) // 1024)))
+        assert [r.start for r in own] == np.cumsum([0, *[r.length for r in own]])[:-1].tolist()
+        assert all(r.length == 1024 for r in own[1:]) and sum(r.length for r in own) == len(ids)
+        assert [r.ids_crc32 for r in own] == [zlib.crc32(ids[r.start:r.start + r.length].tobytes()) for r in own]
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    for own in sequences.values():
+        own.sort(key=lambda r: r.offset)
+        assert [r.offset for r in own] == np.cumsum([0, *[r.length for r in own]])[:-1].tolist()
+        assert sum(r.length for r in own) <= 1024
+    return len(sequences)
+
+
+def test_pieces_of_all_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = packing.packed_documents(docs, vocabulary("byte_bpe_50k.json")).collect()
+    used = check_pieces(rows, [(r.doc_id, r.text) for r in docs.collect()])
+    assert used <= 1.02 * (sum(r.length for r in rows) / 1024) + 1
+
+
+def test_edge_cases(spark, awkward, make_docs):
+    texts = [None, "", "a <|endoftext|> b", "word " * 5000, "same", "same"]
+    rows = packing.packed_documents(make_docs(texts), vocabulary("byte_bpe_50k.json")).collect()
+    check_pieces(rows, list(enumerate(texts)))
+    assert packing.packed_documents(awkward, vocabulary("byte_bpe_50k.json")).agg({"length": "sum"}).first()[0] > awkward.count()
+    assert packing.packed_documents(awkward.limit(0), vocabulary("byte_bpe_50k.json")).count() == 0
+    clash = spark.createDataFrame([(1, 5, "x")], "doc_id long, length long, offset string").selectExpr("*", "0 AS piece")
+    assert packing.pack(clash).columns == ["doc_id", "length", "piece", "sequence_id", "offset"]

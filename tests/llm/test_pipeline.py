@@ -1,0 +1,54 @@
+import os
+
+import duckdb
+import pytest
+
+import corpus_pipeline
+from pixsieve.llm import langid, lines, ngram_join, packing, quality, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql_gives_the_same_rows(spark, name):
+    base = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = base.execute(queries.ORACLE_SQL[name]).df()
+    got = queries.QUERIES[name](spark, SF).toPandas()
+    assert sorted(want.columns) == sorted(got.columns)
+    columns = sorted(want.columns)
+    assert sorted(map(tuple, got[columns].values.tolist())) == sorted(map(tuple, want[columns].values.tolist()))
+
+
+def test_stages_do_what_their_operators_say(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    seen = []
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert out.columns == docs.columns
+            out = spark.createDataFrame(out.collect(), docs.schema)
+        seen.append(out)
+        docs = out
+    language, good, clean, single, packed = seen
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    first = spark.read.parquet(f"{SF}/documents.parquet")
+    assert language.count() == langid.identified(first).filter("lang_pred <> 'und' AND score >= 0.5").count()
+    assert good.count() == quality.scored(language, labels).filter("predicted = 1").count()
+    assert clean.count() == lines.drop_boilerplate(good, "source").filter("text <> ''").count()
+    assert single.count() == ngram_join.similar_classes(clean).select("component_id").distinct().count()
+    assert packed.select("doc_id").distinct().count() == single.count()
+    assert packed.groupBy("sequence_id").agg({"length": "sum"}).filter("`sum(length)` > 1024").count() == 0
+
+
+def test_pipeline_on_awkward_rows_and_on_none(spark, awkward, tmp_path):
+    for name, docs in (("odd", awkward), ("none", awkward.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        os.makedirs(folder)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(3, 1, 0), (11, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        out = corpus_pipeline.run(spark, folder)
+        assert set(out.columns) >= {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
+        assert (out.count() == 0) == (name == "none")
+        assert packing.TOKENS >= (out.agg({"length": "max"}).first()[0] or 0)
