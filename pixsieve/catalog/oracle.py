@@ -2,15 +2,17 @@
 
 _SAMPLES = r"""
 WITH RECURSIVE e AS (SELECT vec_id AS v, embedding::DOUBLE[] AS x FROM embeddings),
-ids AS (
-  SELECT v, v AS id FROM e UNION ALL SELECT v, v + 1000000000 AS id FROM e WHERE v % 3 = 0
+turns AS (
+  SELECT least((SELECT count(*) FROM embeddings), (SELECT count(*) FROM documents) // 2) AS n
 ),
+ids AS (SELECT doc_id AS id, doc_id % n AS v, doc_id // n AS turn, n FROM documents, turns),
 vec AS (
   SELECT i.id, i.v, e2.x AS x2,
-    CASE WHEN i.id = i.v THEN e.x ELSE list_transform(range(len(e.x)),
-      lambda p: e.x[p + 1] + (((i.v * 31 + p * 17) % 11) - 5) / 100.0::DOUBLE) END AS img
-  FROM ids i JOIN e ON e.v = i.v
-  JOIN e e2 ON e2.v = (i.v * 7 + 3) % (SELECT count(*) FROM embeddings)
+    CASE WHEN i.turn = 0 OR i.v % 3 = 2 THEN e.x
+      WHEN i.v % 3 = 0 THEN list_transform(range(len(e.x)),
+        lambda p: e.x[p + 1] + (((i.v * 31 + p * 17 + i.turn * 7) % 11) - 5) / 100.0::DOUBLE)
+      ELSE list_transform(range(len(e.x)), lambda p: e.x[p + 1] + i.turn * e2.x[p + 1]) END AS img
+  FROM ids i JOIN e ON e.v = i.v JOIN e e2 ON e2.v = (i.v * 7 + 3) % i.n
 ),
 vt AS (
   SELECT id, v, img,
@@ -39,7 +41,7 @@ s AS (
     r.id % 97 NOT IN (8, 9, 12) AS has_file, r.id % 97 NOT IN (8, 9, 12, 13) AS decoded,
     CASE WHEN r.id % 97 = 11 THEN 'rejected' ELSE 'pending' END AS status0,
     CASE WHEN r.id % 97 = 11 THEN 'upstream' END AS reason0
-  FROM scored r JOIN documents d ON d.doc_id = r.v % (SELECT count(*) FROM documents)
+  FROM scored r JOIN documents d ON d.doc_id = r.id
 )"""
 
 _VALIDATION = """CASE WHEN sample_id = '' THEN 'missing_sample_id'
@@ -248,12 +250,12 @@ n AS (SELECT vec_id, x, greatest(sqrt(list_dot_product(x, x)), 1e-12) AS norm, u
 SELECT vec_id, pos::INTEGER AS pos, round(x[pos + 1] / norm, 6) AS value FROM n""",
     "quality_score": _SAMPLES + f""", j AS (
   SELECT row_idx, width, height, cs AS clip_score,
-    CASE WHEN status0 <> 'rejected' AND decoded THEN floor(blur * 1000 + 0.123::DOUBLE) / 1000.0::DOUBLE END AS blur_score FROM s)
+    CASE WHEN status0 <> 'rejected' AND decoded THEN blur END AS blur_score FROM s)
 SELECT row_idx,
-  round(least(coalesce(width, 0)::DOUBLE * coalesce(height, 0) / 2073600.0::DOUBLE, 1.0::DOUBLE), 6) AS resolution,
-  round(least(coalesce(blur_score, 0) / 500.0::DOUBLE, 1.0::DOUBLE), 6) AS sharpness,
-  round(least(greatest(coalesce(clip_score, 0), 0), 1.0::DOUBLE), 6) AS alignment,
-  round({_QUALITY}, 6) AS quality FROM j""",
+  round(least(coalesce(width, 0)::DOUBLE * coalesce(height, 0) / 2073600.0::DOUBLE, 1.0::DOUBLE), 9) AS resolution,
+  round(least(coalesce(blur_score, 0) / 500.0::DOUBLE, 1.0::DOUBLE) * (500 * 4096))::BIGINT AS sharpness_units,
+  round(least(greatest(coalesce(clip_score, 0), 0), 1.0::DOUBLE), 9) AS alignment,
+  round({_QUALITY}, 9) AS quality FROM j""",
     "quality_pipeline": _CHAIN + f"""
 SELECT {_VERDICT}, sample_id, image_path, width, height, round(blur_score, 6) AS blur_score,
   round(clip_score, 6) AS clip_score, rejected_by FROM c""",
@@ -291,7 +293,7 @@ WITH t AS (SELECT conv_id, turn, regexp_replace(chr(9) || ' ' || chr(10) || text
 SELECT * FROM manifest WHERE image_id IN (SELECT doc_id FROM labels) ORDER BY pos LIMIT 1000""",
     "manifest_sink": _REGIONS + """, k AS (SELECT *, row_number() OVER (ORDER BY pos) AS row_idx FROM manifest)
 SELECT row_idx, format('vg_{:06d}', row_idx) AS sample_id, text AS scene, image_path, width, height FROM k""",
-    "region_source": _REGIONS + " SELECT id, regions, phrase FROM phrases",
+    "region_source": _REGIONS + " SELECT row_number() OVER (ORDER BY pos) AS pos, id, regions, phrase FROM phrases",
     "similarity_join": _SAMPLES + """, j AS MATERIALIZED (SELECT row_idx, img::DOUBLE[64] AS u FROM s)
 SELECT a.row_idx AS left_row, b.row_idx AS right_row, round(array_cosine_similarity(a.u, b.u), 6) AS similarity
 FROM j a JOIN j b ON a.row_idx < b.row_idx WHERE array_cosine_similarity(a.u, b.u) >= 0.95::DOUBLE""",

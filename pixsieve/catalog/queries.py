@@ -97,7 +97,7 @@ def blur_score(spark, sf_dir):
 def image_source(spark, sf_dir):
     """The same images written as PNG files, decoded by the image source."""
     folder = scratch_path(spark, "images")
-    fx.write_image_files(fx.images(spark, sf_dir), folder)
+    fx.write_files(fx.images(spark, sf_dir).drop("id", "nChannels"), folder, fx.image_body)
     base = re.sub("^file:/+", "/", folder)
     images = sources.read_images(spark, f"{folder}/img", base_dir=base)
     return sources.image_features(images).select(
@@ -130,16 +130,13 @@ def l2_normalize(spark, sf_dir):
 
 def quality_score(spark, sf_dir):
     scored = ops.BlurFilter(100.0, fx.features(spark, sf_dir)).process(fx.samples(spark, sf_dir))
-    scored = scored.withColumns({
-        # Cut to three digits off any rounding tie, so that both engines agree.
-        "blur_score": F.floor(F.col("blur_score") * 1000 + F.lit(0.123)) / F.lit(1000.0),
-        "clip_score": fn.cosine("image_embedding", "text_embedding"),
-    })
+    scored = scored.withColumn("clip_score", fn.cosine("image_embedding", "text_embedding"))
     return scored.select(
-        S.ROW_INDEX, F.round(fn.resolution_score(), 6).alias("resolution"),
-        F.round(fn.sharpness_score(), 6).alias("sharpness"),
-        F.round(fn.alignment_score(), 6).alias("alignment"),
-        F.round(fn.quality_score(), 6).alias("quality"),
+        S.ROW_INDEX, F.round(fn.resolution_score(), 9).alias("resolution"),
+        # Variances of 64 whole numbers are multiples of 1/4096, so in these units scores below 1 are whole.
+        F.round(fn.sharpness_score() * (500 * 4096)).cast("bigint").alias("sharpness_units"),
+        F.round(fn.alignment_score(), 9).alias("alignment"),
+        F.round(fn.quality_score(), 9).alias("quality"),
     )
 
 
@@ -295,14 +292,15 @@ def manifest_sink(spark, sf_dir):
 def region_source(spark, sf_dir):
     """Regions written as JSON arrays of up to 100 images and read back; the first phrase of each."""
     path = scratch_path(spark, "regions")
-    item = F.struct("id", "regions")
-    chunks = _regions(spark, sf_dir).groupBy(F.floor(F.col("pos") / 100)).agg(
-        F.to_json(F.collect_list(item)).alias("value")
+    items = F.array_sort(F.collect_list(F.struct("pos", "id", "regions")))
+    plain = F.transform(items, lambda x: F.struct(x["id"].alias("id"), x["regions"].alias("regions")))
+    chunks = _regions(spark, sf_dir).groupBy(F.floor(F.col("pos") / 100).alias("chunk")).agg(
+        F.to_json(plain).alias("value")
     )
-    chunks.select("value").write.text(path)
+    chunks.repartitionByRange("chunk").sortWithinPartitions("chunk").select("value").write.text(path)
     first = mb.first_phrase().alias("phrase")
     regions = sources.read_regions(spark, path, lines=True)
-    return regions.select("id", F.size("regions").alias("regions"), first)
+    return regions.select("pos", "id", F.size("regions").alias("regions"), first)
 
 
 # ---- similarity and dedup ------------------------------------------------------------
@@ -381,20 +379,25 @@ def _make_captioner():
 
 
 def _curated(spark, sf_dir, captions: bool = False) -> Curated:
-    """The flagship job; pixels travel in a column, as there are no files."""
+    """The flagship job; captions open pixel files by their place, inside the tasks."""
     samples, resources = fx.samples(spark, sf_dir), _resources(spark, sf_dir)
     spec = {**CURATE_SPEC, "annotation": {**CURATE_SPEC["annotation"], "enabled": captions}}
     if captions:
-        samples = _with_pixels(samples)
-    return curate(
-        samples, spec, resources, _make_captioner, {"payload": "pixels", "load": open_bytes}
-    )
+        samples = _with_pixel_files(spark, sf_dir, samples)
+    return curate(samples, spec, resources, _make_captioner, {"payload": "place", "load": _open_pixels})
+
+
+def _open_pixels(place: str) -> bytes:
+    return open_bytes(an.read_file(place))
 
 
-def _with_pixels(samples: DataFrame) -> DataFrame:
-    """Pixel bytes, empty for one row in 19."""
+def _with_pixel_files(spark: SparkSession, sf_dir: str, samples: DataFrame) -> DataFrame:
+    """``place`` of a file with the pixels of each sample, empty for one row in 19."""
+    folder = scratch_path(spark, "pixels")
     data = F.when(F.col(S.ROW_INDEX) % 19 != 0, fx.pixel_bytes(fx.pixels())).otherwise(F.lit(b""))
-    return samples.withColumn("pixels", data)
+    name = F.concat(F.pmod("id", F.lit(64)).cast("string"), F.lit("/"), F.col("id").cast("string"))
+    fx.write_files(fx.sample_vectors(spark, sf_dir).select(name.alias("path"), data.alias("data")), folder, lambda row: row["data"])
+    return samples.withColumn("place", F.concat(F.lit(f"{fx.as_uri(folder)}/"), name))
 
 
 def curate_dataset(spark, sf_dir):
@@ -496,8 +499,8 @@ def annotations_sink(spark, sf_dir):
 
 
 def caption_first(spark, sf_dir):
-    samples = _with_pixels(fx.samples(spark, sf_dir))
-    return caption_raw(samples, _make_captioner, payload="pixels", load=open_bytes)
+    samples = _with_pixel_files(spark, sf_dir, fx.samples(spark, sf_dir))
+    return caption_raw(samples, _make_captioner, payload="place", load=_open_pixels)
 
 
 # ---- streams ---------------------------------------------------------------------------
@@ -526,7 +529,8 @@ def stream_quality(spark, sf_dir):
     fx.samples(spark, sf_dir).write.parquet(source)
     layout = spark.read.parquet(source).schema
     stream = spark.readStream.schema(layout).parquet(source)
-    chain = pl.build_pipeline(pl.DEFAULT_SPEC, _resources(spark, sf_dir))
+    resources = pl.Resources(features=write_table(fx.features(spark, sf_dir), "features"))
+    chain = pl.build_pipeline(pl.DEFAULT_SPEC, resources)
     judged = streaming.quality_stream(stream, chain).select(*VERDICT, S.REJECTED_BY)
     return streaming.run_to_end(judged)
 

@@ -1,13 +1,13 @@
 """Samples, images and runs derived from the given tables by plain arithmetic.
 
-The tables hold vectors and texts but no images, so every vector stands for an image. Each
-third vector gets a near copy, and missing values are spread over the ids.
+The tables hold vectors and texts but no images, so every document is a sample whose image is a
+vector. Some vectors have copies, and missing values are spread over the ids.
 """
 
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -18,8 +18,6 @@ from pixsieve import schema as S
 from pixsieve.functions import format_id
 from pixsieve.sources.images import image_features
 
-COPY_OFFSET = 1_000_000_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,26 +34,35 @@ def _nth(rule: int, value: Column) -> Column:
     return F.when(F.col("id") % 97 == rule, value)
 
 
+def _distinct_vectors(spark: SparkSession, sf_dir: str) -> int:
+    """How many vectors the documents share: all, or half as many as there are documents."""
+    return min(table(spark, sf_dir, "embeddings").count(), table(spark, sf_dir, "documents").count() // 2)
+
+
 def sample_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id, v, row_idx, image_embedding, text_embedding``."""
+    """``id, v, row_idx, image_embedding, text_embedding``, one row per document.
+
+    Documents take the vectors in turn. From the second turn on, a third of them have near
+    copies, a third other vectors and a third exact copies.
+    """
+    n = _distinct_vectors(spark, sf_dir)
     vectors = _vectors(spark, sf_dir)
-    n = vectors.count()
     partner = vectors.select(F.col("v").alias("v2"), F.col("x").alias("x2"))
-    joined = vectors.join(partner, (F.col("v") * 7 + 3) % n == F.col("v2"))
-    copied = F.when(F.col("v") % 3 == 0, F.array("v", F.col("v") + COPY_OFFSET)).otherwise(F.array("v"))
-    rows = joined.withColumn("id", F.explode(copied))
+    ids = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), (F.col("doc_id") % n).alias("own"), F.floor(F.col("doc_id") / n).alias("turn")
+    )
+    rows = ids.join(vectors, F.col("own") == F.col("v")).join(partner, (F.col("v") * 7 + 3) % n == F.col("v2"))
     shifted = F.transform(
-        "x", lambda c, p: c + (((F.col("v") * 31 + p * 17) % 11) - 5) / F.lit(100.0)
+        "x", lambda c, p: c + (((F.col("v") * 31 + p * 17 + F.col("turn") * 7) % 11) - 5) / F.lit(100.0)
     )
-    original = F.col("id") == F.col("v")
-    rows = rows.withColumn("image_embedding", F.when(original, F.col("x")).otherwise(shifted))
+    mixed = F.zip_with("x", "x2", lambda a, b: a + F.col("turn") * b)
+    image = F.when((F.col("turn") == 0) | (F.col("v") % 3 == 2), F.col("x")).when(F.col("v") % 3 == 0, shifted).otherwise(mixed)
+    rows = rows.withColumn("image_embedding", image)
     text = F.zip_with(
         "image_embedding", "x2", lambda a, b: a + (F.col("id") % 10) / F.lit(2.0) * b
     )
-    position = F.when(original, F.col("v")).otherwise(n + F.floor(F.col("v") / 3)) + 1
     return rows.select(
-        "id", "v", position.cast("bigint").alias(S.ROW_INDEX), "image_embedding",
-        text.alias("text_embedding"),
+        "id", "v", (F.col("id") + 1).alias(S.ROW_INDEX), "image_embedding", text.alias("text_embedding"),
     )
 
 
@@ -69,8 +76,7 @@ def declared_size() -> list[Column]:
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``row_idx, id``, the sample columns, ``image_embedding`` and ``text_embedding``."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    n = documents.count()
-    rows = sample_vectors(spark, sf_dir).join(documents, F.col("v") % n == F.col("doc_id"))
+    rows = sample_vectors(spark, sf_dir).join(documents, F.col("id") == F.col("doc_id"))
     width, height = declared_size()
     none = F.lit(None)
     prompt = F.when(F.col("id") % 97 == 5, none).otherwise(
@@ -140,12 +146,21 @@ def png_bytes(height: int, width: int, gray: bytes) -> bytes:
     )
 
 
-def write_image_files(images: DataFrame, folder: str) -> int:
-    """One PNG per row in a shared folder, written by the tasks; broken images get no PNG bytes.
+def image_body(row: dict) -> bytes:
+    """A PNG; broken images get no PNG bytes."""
+    return b"no image" if row["height"] < 0 else png_bytes(row["height"], row["width"], row["data"])
+
+
+def as_uri(folder: str) -> str:
+    return re.sub("^file:/+", "file:///", folder if ":" in folder else f"file://{folder}")
+
+
+def write_files(rows: DataFrame, folder: str, body: Callable[[dict], bytes]) -> int:
+    """One file per row (``path`` and what ``body`` needs) in a shared folder, written by the tasks.
 
     A task that is run again writes the same files. Returns the number of files.
     """
-    uri = re.sub("^file:/+", "file:///", folder if ":" in folder else f"file://{folder}")
+    uri = as_uri(folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(uri)
@@ -153,13 +168,10 @@ def write_image_files(images: DataFrame, folder: str) -> int:
             for row in batch.to_pylist():
                 target = f"{root}/{row['path']}"
                 system.create_dir(target.rsplit("/", 1)[0])
-                broken = row["height"] < 0
-                body = b"no image" if broken else png_bytes(row["height"], row["width"], row["data"])
                 with system.open_output_stream(target) as out:
-                    out.write(body)
+                    out.write(body(row))
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["files"])
 
-    rows = images.select("path", "height", "width", "data")
     return rows.mapInArrow(write, "files bigint").agg(F.sum("files")).first()[0]
 
 

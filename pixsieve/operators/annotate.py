@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
+from pixsieve.models import per_worker
 from pixsieve.sources.manifest import dense_index
 
 _COLUMNS = S.ANNOTATION_SCHEMA.fieldNames()
@@ -81,16 +82,18 @@ def annotate_batches(
 
     Batches are fixed by input order, not by partitions, because a failing batch fails as a
     whole. Rows of a batch are brought together and batches run one after another inside a
-    task, which loads its captioner once. ``load`` opens the value of ``payload``.
+    task. The captioner is made once per Python worker. ``load`` opens the value of ``payload``,
+    which travels through two shuffles and should be short: a path, not pixels.
     """
     narrow = df.select(
         S.ROW_INDEX, "sample_id", F.col("image_path").alias("path"),
         F.col(payload).alias("payload"),
     )
     batched = number_batches(narrow, batch_size)
+    model = per_worker(make_captioner)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        captioner, open_batch = make_captioner(), None
+        captioner, open_batch = model(), None
         for frame in frames:
             if open_batch is not None:
                 frame = pd.concat([open_batch, frame], ignore_index=True)
@@ -133,8 +136,10 @@ def annotate_each(
             return {"sample_id": row[0], "status": S.FAILED, "error": path_required}
         return caption_batch([row], captioner, model_name, load)[0]
 
+    model = per_worker(make_captioner)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        captioner = make_captioner()
+        captioner = model()
         for frame in frames:
             rows = zip(frame["sample_id"], frame["path"], frame["payload"])
             records = [annotate(row, captioner) for row in rows]

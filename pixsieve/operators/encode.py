@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pixsieve.functions import is_rejected, missing
+from pixsieve.models import per_worker
 
 
 def encode_texts(
@@ -21,13 +22,14 @@ def encode_texts(
     """Add the vector of ``text``.
 
     ``make_encoder()`` returns an object with ``encode_texts(list of str)`` and is called once
-    per task; only the text column travels to Python. Rows that are rejected, have no text or
+    per Python worker; only the text column travels to Python. Rows that are rejected, have no text or
     fail ``when`` get NULL and never reach the encoder.
     """
+    model = per_worker(make_encoder)
 
     @F.pandas_udf("array<double>")
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = make_encoder()
+        encoder = model()
         for part in parts:
             out = pd.Series([None] * len(part), dtype=object)
             places = np.nonzero(part.notna().to_numpy())[0]

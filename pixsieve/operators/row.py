@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pixsieve import schema as S
 from pixsieve.functions import cosine, is_rejected, missing
 from pixsieve.operators.encode import encode_texts
+from pixsieve.session import write_table
 
 Rule = tuple[Column, str]
 _FAIL = "_fail"
@@ -59,15 +60,17 @@ class Operator:
         raise NotImplementedError
 
     def process_alive(self, df: DataFrame) -> DataFrame:
-        """``process`` for a chain: rows already rejected come out as they went in."""
-        before, names = "_before", df.columns
-        kept = df.withColumn(before, F.struct(*names))
-        dead = F.col(f"{before}.status") == S.REJECTED
-        out = self.process(kept)
-        restored = {
-            n: F.when(dead, F.col(f"{before}.{n}")).otherwise(F.col(n)) for n in names
-        }
-        return out.withColumns(restored).drop(before)
+        """``process`` for a chain: rows already rejected never reach it and come out as they are.
+
+        The rows are written once and read by both parts; a stream is read twice instead. A
+        column that ``process`` adds is NULL for rejected rows, one that it leaves out is gone.
+        """
+        stored = df if df.isStreaming else write_table(df, "before-operator")
+        rejected = F.coalesce(is_rejected(), F.lit(False))
+        out = self.process(stored.filter(~rejected))
+        rest = stored.filter(rejected)
+        same = [F.col(f.name) if f.name in rest.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in out.schema]
+        return out.unionByName(rest.select(*same))
 
 
 class FunctionOperator(Operator):

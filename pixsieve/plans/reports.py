@@ -63,20 +63,22 @@ def run_rollup(runs: DataFrame) -> DataFrame:
     ``runs`` has ``samples, executor, run, seconds, accepted, rejected``. The medians come from
     one distributed sort: number all rows by (group, time) and pick the middle one or two of
     each group. No group is collected, however many runs it holds. Throughput falls as time
-    grows, so its middle rows are the same.
+    grows, so its middle rows are the same. Runs without a time count as runs, but have no place among
+    the times; a group without any time has no medians.
     """
     group = ["samples", "executor"]
     ranked = dense_index(runs, [*group, "seconds", "run"], "_rank")
     totals = ranked.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("runs"), F.min("_rank").alias("_first"),
+        F.count(F.lit(1)).alias("runs"), F.count("seconds").alias("_timed"),
+        F.min(F.when(F.col("seconds").isNotNull(), F.col("_rank"))).alias("_first"),
         F.max_by("accepted", "run").alias("accepted"), F.max_by("rejected", "run").alias("rejected"),
     )
-    low = F.col("_first") + F.floor((F.col("runs") - 1) / 2)
-    high = F.col("_first") + F.floor(F.col("runs") / 2)
+    low = F.col("_first") + F.floor((F.col("_timed") - 1) / 2)
+    high = F.col("_first") + F.floor(F.col("_timed") / 2)
     middle = totals.select(
         *group, "runs", "accepted", "rejected", F.explode(F.array_distinct(F.array(low, high))).alias("_rank")
     )
-    picked = middle.join(ranked.select("_rank", "seconds"), "_rank")
+    picked = middle.join(ranked.select("_rank", "seconds"), "_rank", "left")
     return picked.groupBy(*group, "runs", "accepted", "rejected").agg(
         F.avg("seconds").alias("median_time"),
         F.avg(throughput(F.col("samples"), F.col("seconds"))).alias("median_throughput"),

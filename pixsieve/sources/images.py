@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
+from pixsieve.models import per_worker
 from pixsieve.functions.pixels import laplacian_variance, to_array, to_gray
 
 IMAGE_COLUMNS = ["path", "height", "width", "nChannels", "data"]
@@ -43,17 +44,18 @@ def image_features(
     """Size, sharpness and, with an encoder, the vector of every image; the pixels stay behind.
 
     ``make_encoder()`` returns an object with ``encode_images(list of BGR arrays)``; it is
-    called once per task. Images below the given minimums are measured but not encoded: give the
+    called once per Python worker. Images below the given minimums are measured but not encoded: give the
     thresholds of the operators that come before the alignment (``encoding_limits``), which
     reject such images without looking at a vector. Undecodable images come out with NULLs and
     height -1. Arrow batches are limited by bytes (``spark.sql.execution.arrow.maxBytesPerBatch``).
     """
+    model = per_worker(make_encoder) if make_encoder else None
 
     def encodes(width: int, height: int, blur: float) -> bool:
         return width >= min_width and height >= min_height and not blur < min_blur
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = make_encoder() if make_encoder else None
+        encoder = model() if model else None
         for batch in batches:
             for start in range(0, batch.num_rows, batch_size):
                 yield _measure(batch.slice(start, batch_size), encoder, encodes)

@@ -26,15 +26,20 @@ def index_lines(spark: SparkSession, path: str) -> DataFrame:
     """``row_idx, value``: the lines of a text file, blank ones too, numbered from 1.
 
     A file is read in splits. Lines are numbered inside their split, and the splits are put in
-    order of file name and byte offset. Several files count on from one another by name.
+    order of file name and byte offset. Several files count on from one another by name. The
+    files are read once; splits may be others in another scan.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_offset"),
         F.monotonically_increasing_id().alias("_id"),
     )
-    split = ["_file", "_offset"]
-    return _number(lines, split, S.ROW_INDEX).select(S.ROW_INDEX, "value")
+    return number_splits(lines).select(S.ROW_INDEX, "value")
+
+
+def number_splits(rows: DataFrame, name: str = S.ROW_INDEX) -> DataFrame:
+    """Dense 1-based ``name`` for rows of one scan with ``_file``, ``_offset`` and a rising ``_id``."""
+    return _number(write_table(rows, "splits"), ["_file", "_offset"], name).drop("_file", "_offset")
 
 
 def dense_index(df: DataFrame, keys: list[str], name: str = S.ROW_INDEX) -> DataFrame:

@@ -5,19 +5,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixsieve import schema as S
+from pixsieve.sources.manifest import number_splits
 
 
 def _read_array(spark: SparkSession, path: str, layout: T.StructType, lines: bool) -> DataFrame:
-    """The items of JSON arrays, with ``pos``: file order, then order in the file.
+    """The items of JSON arrays, with ``pos``: dense from 1, by file name, then order in the file.
 
     By default a file is one array over any number of lines, which is a single JSON value and
     so a single task. With ``lines`` every line is an item or an array of its own and files are
     split freely; use that form for anything large.
     """
     options = {"multiLine": not lines, "mode": "FAILFAST"}
-    return spark.read.schema(layout).options(**options).json(path).withColumn(
-        "pos", F.monotonically_increasing_id()
+    items = spark.read.schema(layout).options(**options).json(path).select(
+        *layout.fieldNames(), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_offset"), F.monotonically_increasing_id().alias("_id"),
     )
+    return number_splits(items, "pos")
 
 
 def read_image_metadata(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:

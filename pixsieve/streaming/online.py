@@ -38,7 +38,10 @@ def annotate_requests(lines: DataFrame, make_captioner: Callable, **options) ->
 
 
 def quality_stream(samples: DataFrame, chain: QualityPipeline) -> DataFrame:
-    """A chain on a stream of samples: the same column expressions, no state."""
+    """A chain on a stream of samples: the same column expressions, no state.
+
+    Every micro-batch reads the image table again, so build the chain on a written one.
+    """
     return chain.run(samples)
 
 
