@@ -17,8 +17,13 @@ rounds over the whole table:
   come before it. Every round decides all such rows. Among copies in no particular order of
   quality the number of rounds grows with the logarithm of the group size.
 
-Each round also replays the next ``tail_rows`` undecided rows in input order in one bounded
-task. That ends small inputs at once, and bounds the rounds when every row beats the one before.
+Rows of different components of the similarity graph never meet, so each round also replays the
+next ``tail_rows`` undecided rows of every component in input order, small components together, in many
+tasks of bounded size. That settles every component of up to ``tail_rows`` rows at once; a larger one takes
+at most its size divided by ``tail_rows`` rounds, however its qualities are ordered.
+
+Kept rows that died before the first undecided row of their component are forgotten, and new
+kept rows are compared once, with the groups that still have undecided rows.
 
 Rows are never paired with each other, only with rows that were kept. Every round ends in
 written tables, so lineage stays short and a lost executor costs one stage.
@@ -34,10 +39,11 @@ from pyspark.sql import functions as F
 from pixsieve import schema as S
 from pixsieve.functions import quality_score
 from pixsieve.operators import similarity as sim
+from pixsieve.operators.components import components
 from pixsieve.session import scratch_path, write_table
+from pixsieve.sources.manifest import dense_index
 
 TAIL_ROWS = 20_000
-NEAR_PER_ROW = 20
 CHUNK_ROWS = 1_000_000
 HOT_ROWS = 100_000
 INFINITE = float("inf")
@@ -61,9 +67,9 @@ def _hot_parts(count: Column, rows: int) -> Column:
 class _Tables:
     """State between rounds; each member is a written table or a plain view on one."""
 
-    undecided: DataFrame   # idx, q, gid, salt
+    undecided: DataFrame   # idx, q, gid, salt, comp, pos
     groups: DataFrame      # gid, parts, lb: no undecided neighbour row lies before lb
-    kept: DataFrame        # k, w (its group), q_k, dead (idx of the row that replaced it)
+    kept: DataFrame        # k, w (its group), q_k, dead (idx of the row that replaced it), comp
 
 
 class _Growing:
@@ -112,7 +118,8 @@ def _settle_copies(members: DataFrame) -> DataFrame:
 def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows: int):
     """Contested groups with their vectors, and their rows.
 
-    A group is ``alone`` if it has copies but no other neighbours.
+    A group is ``alone`` if it has copies but no other neighbours. ``comp`` is the component of a
+    row, ``pos`` a row number that counts through the components in input order.
     """
     units = write_table(
         sim.unit_vectors(df, vector, threshold).withColumn("key", F.sha2("unit", 256)), "units"
@@ -124,12 +131,15 @@ def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows
         sizes.select("gid", "copies"), "gid"
     )
     vectors = write_table(sim.assign_cells(representatives, pivots, threshold), "vectors")
-    nearest = sim.smallest_neighbours_within(vectors, threshold, block)
+    links = write_table(sim.neighbour_links(vectors, threshold, block), "links")
+    nearest = links.groupBy("gid").agg(F.min("nbr").alias("nbr"))
+    roots = components(links.select(F.col("gid").alias("a"), F.col("nbr").alias("b"))).withColumnRenamed("node", "gid")
     contested = write_table(
         vectors.join(nearest, "gid", "left")
         .filter(F.col("nbr").isNotNull() | (F.col("copies") > 1))
         .withColumns({"lb": F.least("gid", "nbr"), "alone": F.col("nbr").isNull()})
-        .withColumn("parts", _hot_parts(F.col("copies"), rows)).drop("nbr"),
+        .withColumn("parts", _hot_parts(F.col("copies"), rows)).drop("nbr")
+        .join(roots, "gid", "left").withColumn("comp", F.coalesce("root", "gid")).drop("root"),
         "contested",
     )
     # Keys with more than a thousandth of all rows: at most a thousand, so they broadcast.
@@ -137,11 +147,10 @@ def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows
     salted = units.select("idx", "q", "key").join(hot, "key", "left").withColumn(
         "salt", F.pmod(F.xxhash64("idx"), F.coalesce("parts", F.lit(1))).cast("int")
     ).drop("parts")
-    members = write_table(
-        salted.join(_salted(contested.select("key", "gid", "parts", "lb", "alone")), ["key", "salt"])
-        .select("idx", "q", "gid", "salt", "lb", "alone"),
-        "members",
-    )
+    members = salted.join(
+        _salted(contested.select("key", "gid", "parts", "lb", "alone", "comp")), ["key", "salt"]
+    ).select("idx", "q", "gid", "salt", "lb", "alone", "comp")
+    members = write_table(dense_index(members, ["comp", "idx"], "pos"), "members")
     return contested, members
 
 
@@ -160,7 +169,7 @@ def _kept_near(edges: DataFrame, kept: DataFrame) -> DataFrame:
 
     A kept row may neighbour very many groups; the adaptive skew join splits the edge side.
     """
-    return edges.join(kept, edges.other == kept.w).drop("other", "w")
+    return edges.join(kept, edges.other == kept.w).drop("other", "w", "comp")
 
 
 def _decide(state: _Tables, edges: DataFrame) -> DataFrame:
@@ -178,8 +187,8 @@ def _decide(state: _Tables, edges: DataFrame) -> DataFrame:
     match = F.min(F.when(usable, F.struct("k", "q_k", "similarity", "until", "dead"))).alias("m")
     best = (
         state.undecided.join(_salted(known), ["gid", "salt"])
-        .groupBy("idx", "q", "gid", "salt", "lb").agg(match)
-        .select("idx", "q", "gid", "salt", "lb", "m.k", "m.q_k", "m.similarity", "m.until", "m.dead")
+        .groupBy("idx", "q", "gid", "salt", "lb", "comp", "pos").agg(match)
+        .select("idx", "q", "gid", "salt", "lb", "comp", "pos", "m.k", "m.q_k", "m.similarity", "m.until", "m.dead")
     )
     # A row known to die later was certain up to its death.
     certain = F.col("dead").isNotNull() | F.col("until").isNull() | (F.col("until") >= F.col("idx"))
@@ -206,15 +215,18 @@ def _pairs_of(decided: DataFrame) -> DataFrame:
     )
 
 
-def _next_kept(kept: DataFrame, decided: DataFrame) -> DataFrame:
+def _next_kept(kept: DataFrame, decided: DataFrame, undecided: DataFrame) -> DataFrame:
+    """Kept rows that an undecided row may still meet: alive at the first one of their component."""
     deaths = decided.filter("fate = 'wins'").select("k", F.col("idx").alias("died"))
     born = decided.filter("fate in ('wins', 'fresh')").select(
         F.col("idx").alias("k"), F.col("gid").alias("w"), F.col("q").alias("q_k"),
-        F.lit(None).cast("bigint").alias("dead"),
+        F.lit(None).cast("bigint").alias("dead"), "comp",
     )
     # A replayed row may be born and beaten in one go.
-    return kept.unionByName(born).join(deaths, "k", "left").select(
-        "k", "w", "q_k", F.coalesce("dead", "died").alias("dead")
+    standing = kept.unionByName(born).join(deaths, "k", "left").withColumn("dead", F.coalesce("dead", "died"))
+    first = undecided.groupBy("comp").agg(F.min("idx").alias("first"))
+    return standing.join(first, "comp").filter("dead is null or dead > first").select(
+        "k", "w", "q_k", "dead", "comp"
     )
 
 
@@ -253,15 +265,17 @@ def _next_groups(
 def _replay(
     rows: DataFrame, contested: DataFrame, near: DataFrame, threshold: float
 ) -> DataFrame:
-    """The rule run row by row over the next undecided rows, in one task.
+    """The rule run row by row over the next undecided rows of each component.
 
-    The caller has bounded both inputs: ``rows`` are all undecided rows up to some row number,
-    ``near`` the kept rows that their groups neighbour.
+    The caller has bounded the rows of a ``task``, which holds whole runs of components; ``near`` are
+    the kept rows that their groups neighbour. What a task holds of different components is
+    never similar, so they can be replayed together.
     """
     given = rows.join(contested.select("gid", "unit"), "gid").select(
-        F.lit(0).alias("one"), "idx", "q", "gid", "salt", "unit"
+        "task", "idx", "q", "gid", "salt", "comp", "pos", "unit"
     )
-    kept = near.select(F.lit(0).alias("two"), "gid", "k", "q_k", "similarity", "dead")
+    tasks = rows.select("gid", "task").distinct()
+    kept = near.join(tasks, "gid").select(F.col("task").alias("for"), "gid", "k", "q_k", "similarity", "dead")
 
     def run(rows: pa.Table, kept: pa.Table) -> pa.Table:
         rows = rows.sort_by("idx")
@@ -307,17 +321,30 @@ def _replay(
             born = rivals[standing]
         none = (None, None, None)
         k, q_k, cosine = zip(*(m or none for m in matches))
-        return rows.select(["idx", "q", "gid", "salt"]).append_column(
+        return rows.select(["idx", "q", "gid", "salt", "comp", "pos"]).append_column(
             "k", pa.array(k, pa.int64())
         ).append_column("q_k", pa.array(q_k, pa.float64())).append_column(
             "similarity", pa.array(cosine, pa.float64())
         ).append_column("fate", pa.array(fates, pa.string()))
 
     layout = (
-        "idx bigint, q double, gid bigint, salt int, k bigint, q_k double, similarity double, "
-        "fate string"
+        "idx bigint, q double, gid bigint, salt int, comp bigint, pos bigint, k bigint, q_k double, "
+        "similarity double, fate string"
     )
-    return given.groupBy("one").cogroup(kept.groupBy("two")).applyInArrow(run, layout)
+    return given.groupBy("task").cogroup(kept.groupBy("for")).applyInArrow(run, layout)
+
+
+def _next_rows(undecided: DataFrame, tail_rows: int) -> DataFrame:
+    """Undecided rows with ``ahead``, whether they are among the next of their component, and ``task``.
+
+    Components that start within an eighth of ``tail_rows`` positions share a task, so a task has
+    at most 9/8 of ``tail_rows`` rows ahead.
+    """
+    first = undecided.groupBy("comp").agg(F.min("pos").alias("first"))
+    return undecided.join(first, "comp").withColumns({
+        "ahead": F.col("pos") < F.col("first") + tail_rows,
+        "task": F.floor(F.col("first") / max(1, tail_rows // 8)),
+    }).drop("first")
 
 
 def find_duplicates(
@@ -354,11 +381,11 @@ def find_duplicates(
         contested, members = contested.filter("not alone"), members.filter("not alone")
     # The first row of a neighbourhood has nothing before it and is kept.
     state = _Tables(
-        undecided=members.filter("idx <> lb").drop("lb", "alone"),
+        undecided=members.filter("idx <> lb").select("idx", "q", "gid", "salt", "comp", "pos"),
         groups=contested.select("gid", "parts", "lb"),
         kept=members.filter("idx = lb").select(
             F.col("idx").alias("k"), F.col("gid").alias("w"), F.col("q").alias("q_k"),
-            F.lit(None).cast("bigint").alias("dead"),
+            F.lit(None).cast("bigint").alias("dead"), "comp",
         ),
     )
 
@@ -369,41 +396,32 @@ def find_duplicates(
             .join(compared.table(), "gid", "left_anti")
         )
         edges.add(sim.similar_pairs(
-            _active(contested, state.groups), _active(contested, fresh), threshold, block
+            _active(contested, state.undecided), _active(contested, fresh), threshold, block
         ))
 
     def settle(decided: DataFrame, undecided: DataFrame) -> None:
         found.add(_pairs_of(decided))
-        state.kept = write_table(_next_kept(state.kept, decided), "kept")
         state.undecided = undecided
+        state.kept = write_table(_next_kept(state.kept, decided, undecided), "kept")
 
-    while left := state.undecided.count():
+    while not state.undecided.isEmpty():
         compare_new()
-        last = _last_of_next(state.undecided, left, tail_rows)
-        ahead = state.undecided.filter(F.col("idx") <= last)
-        near = _kept_near(edges.table(), state.kept).join(ahead.select("gid"), "gid", "left_semi")
-        most = NEAR_PER_ROW * tail_rows
-        if tail_rows > 0 and near.limit(most + 1).count() <= most:
-            replayed = _replay(ahead, contested, near, threshold)
-            if left <= tail_rows:
-                found.add(_pairs_of(replayed))
+        if tail_rows > 0:
+            placed = write_table(_next_rows(state.undecided, tail_rows), "placed")
+            ahead = placed.filter("ahead")
+            near = _kept_near(edges.table(), state.kept).join(ahead.select("gid"), "gid", "left_semi")
+            replayed = write_table(_replay(ahead, contested, near, threshold), "replayed")
+            settle(replayed, placed.filter("not ahead").drop("ahead", "task"))
+            if state.undecided.isEmpty():
                 break
-            settle(write_table(replayed, "replayed"), state.undecided.filter(F.col("idx") > last))
             compare_new()
         state.groups = _next_groups(state, contested, threshold, block)
         decided = write_table(_decide(state, edges.table()), "decided")
-        waiting = decided.filter("fate = 'waits'").select("idx", "q", "gid", "salt")
+        waiting = decided.filter("fate = 'waits'").select("idx", "q", "gid", "salt", "comp", "pos")
         settle(decided, waiting)
     return found.table()
 
 
-def _last_of_next(undecided: DataFrame, left: int, tail_rows: int) -> int:
-    """Row number up to which there are at most ``tail_rows`` undecided rows."""
-    rows = undecided if left <= tail_rows else undecided.orderBy("idx").limit(tail_rows)
-    last = rows.agg(F.max("idx")).first()[0]
-    return -1 if last is None else last
-
-
 def duplicate_pairs(df: DataFrame, found: DataFrame, order: str = S.ROW_INDEX) -> DataFrame:
     """The report of rejected samples, with sample ids in place of row numbers."""
     ids = df.select(F.col(order).alias("_row"), "sample_id")

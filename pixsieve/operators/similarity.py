@@ -138,15 +138,41 @@ def itself(
     hits[i, j] = exact >= threshold
 
 
-def _smallest_neighbour(threshold: float, both_sides: bool) -> Callable:
-    """Per vector of a tile the smallest ``value`` among its neighbours in the tile, itself aside."""
+class _Forest:
+    """Which vectors of a tile are connected so far."""
+
+    def __init__(self, size: int):
+        self.root = np.arange(size)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Connects pairs; returns which of them were not connected before."""
+        fresh = np.zeros(len(a), dtype=bool)
+        root = self.root
+        for n, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            while root[y] != y:
+                root[y] = y = root[root[y]]
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                fresh[n] = True
+        while (root[root] != root).any():
+            root = root[root]
+        self.root = root
+        return fresh
+
+
+def _tile_links(threshold: float) -> Callable:
+    """Per vector of a tile its smallest neighbour, and what else is needed to connect the tile."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.sort_by("value"), right.sort_by("value")
+        left, right = left.sort_by("gid"), right.sort_by("gid")
         lid, rid = left["gid"].to_numpy(), right["gid"].to_numpy()
-        lval, rval = left["value"].to_numpy(), right["value"].to_numpy()
-        ids, values = [], []
+        a, b = [], []
         if len(lid) and len(rid):
+            every = np.unique(np.concatenate([lid, rid]))
+            lat, rat = np.searchsorted(every, lid), np.searchsorted(every, rid)
+            forest = _Forest(len(every))
             _, mine, theirs = np.intersect1d(lid, rid, return_indices=True)
             seen = np.zeros(len(rid), dtype=bool)
             for start, _, hits in products(matrix_of(left["unit"]), matrix_of(right["unit"]), threshold):
@@ -155,13 +181,40 @@ def _smallest_neighbour(threshold: float, both_sides: bool) -> Callable:
                 if not hits.any():
                     continue
                 rows = np.nonzero(hits.any(axis=1))[0]
+                columns = np.nonzero(hits.any(axis=0) & ~seen)[0]
+                seen[columns] = True
+                first, then = hits[rows].argmax(axis=1), hits[:, columns].argmax(axis=0)
+                a += [lid[start + rows], rid[columns]]
+                b += [rid[first], lid[start + then]]
+                forest.join(lat[start + rows], rat[first])
+                forest.join(rat[columns], lat[start + then])
+                apart = forest.root[lat[start:start + len(hits)]][:, None] != forest.root[rat][None, :]
+                i, j = np.nonzero(hits & apart)
+                more = forest.join(lat[start + i], rat[j])
+                a.append(lid[start + i[more]])
+                b.append(rid[j[more]])
+        joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b)]
+        return pa.table({"gid": joined[0].astype(np.int64), "nbr": joined[1].astype(np.int64)})
+
+    return run
+
+
+def _smallest_neighbour(threshold: float) -> Callable:
+    """Per vector of a tile the smallest ``value`` among its neighbours in the tile, itself aside."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        left, right = left.sort_by("value"), right.sort_by("value")
+        lid, rid = left["gid"].to_numpy(), right["gid"].to_numpy()
+        rval = right["value"].to_numpy()
+        ids, values = [], []
+        if len(lid) and len(rid):
+            _, mine, theirs = np.intersect1d(lid, rid, return_indices=True)
+            for start, _, hits in products(matrix_of(left["unit"]), matrix_of(right["unit"]), threshold):
+                here = (mine >= start) & (mine < start + len(hits))
+                hits[mine[here] - start, theirs[here]] = False
+                rows = np.nonzero(hits.any(axis=1))[0]
                 ids.append(lid[start + rows])
                 values.append(rval[hits[rows].argmax(axis=1)])
-                if both_sides:
-                    columns = np.nonzero(hits.any(axis=0) & ~seen)[0]
-                    seen[columns] = True
-                    ids.append(rid[columns])
-                    values.append(lval[start + hits[:, columns].argmax(axis=0)])
         joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (ids, values)]
         return pa.table({"gid": joined[0].astype(np.int64), "nbr": joined[1].astype(np.int64)})
 
@@ -234,18 +287,17 @@ def _everywhere(vectors: DataFrame, lower_only: bool) -> DataFrame:
     return vectors.withColumn("cell", F.explode(F.concat(F.array("home"), outer)))
 
 
-def smallest_neighbours_within(vectors: DataFrame, threshold: float, block: int = BLOCK_ROWS) -> DataFrame:
-    """``gid, nbr``: for every vector with a neighbour in the table, the smallest neighbour gid.
+def neighbour_links(vectors: DataFrame, threshold: float, block: int = BLOCK_ROWS) -> DataFrame:
+    """``gid, nbr``: some neighbours of every vector, the smallest gid among them.
 
-    Output is at most one row per vector and tile, never one per pair.
+    The links connect exactly what the table of all similar pairs would connect. A tile emits at
+    most three rows per vector, never one per pair.
     """
     valued = vectors.withColumn("value", F.col("gid"))
     left = valued.withColumn("cell", F.col("home"))
-    found = _meet(
-        left, _everywhere(valued, lower_only=True),
-        _smallest_neighbour(threshold, both_sides=True), "gid bigint, nbr bigint", block,
+    return _meet(
+        left, _everywhere(valued, lower_only=True), _tile_links(threshold), "gid bigint, nbr bigint", block
     )
-    return found.groupBy("gid").agg(F.min("nbr").alias("nbr"))
 
 
 def smallest_neighbours_among(
@@ -255,7 +307,7 @@ def smallest_neighbours_among(
     found = _meet(
         left.withColumns({"cell": F.col("home"), "value": F.lit(0).cast("bigint")}),
         _everywhere(right, lower_only=False),
-        _smallest_neighbour(threshold, both_sides=False), "gid bigint, nbr bigint", block,
+        _smallest_neighbour(threshold), "gid bigint, nbr bigint", block,
     )
     return found.groupBy("gid").agg(F.min("nbr").alias("nbr"))
 

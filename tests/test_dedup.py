@@ -168,7 +168,8 @@ def test_pivots_and_tiles_lose_no_pair(spark, threshold):
     expected = {(i, j) for i, j in zip(*np.nonzero(sims >= threshold)) if i != j}
     assert {(p.gid, p.other) for p in pairs if p.gid != p.other} == expected
 
-    nearest = sim.smallest_neighbours_within(cells, threshold, block=16).collect()
+    links = sim.neighbour_links(cells, threshold, block=16)
+    nearest = links.groupBy("gid").agg(F.min("nbr").alias("nbr")).collect()
     smallest = {}
     for i, j in expected:
         smallest[i] = min(j, smallest.get(i, j))
@@ -180,3 +181,67 @@ def test_vectors_of_different_lengths_are_an_error(spark):
     df = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "gid bigint, vector array<double>").coalesce(1)
     with pytest.raises(Exception, match="different lengths"):
         sim.unit_vectors(df, "vector", 0.9).collect()
+
+
+def rounds_and_edges(spark, monkeypatch, vectors, quality, tail_rows):
+    """The result, how many rounds it took and how many edges were written."""
+    counts = {"placed": 0, "edges": 0}
+    write, grow = dd.write_table, dd._Growing.add
+
+    def counted(df, label):
+        counts["placed"] += label == "placed"
+        return write(df, label)
+
+    def added(self, df):
+        part = grow(self, df)
+        if "similarity" in part.columns and "gid" in part.columns:
+            counts["edges"] += part.count()
+        return part
+
+    monkeypatch.setattr(dd, "write_table", counted)
+    monkeypatch.setattr(dd._Growing, "add", added)
+    return found(spark, vectors, quality, 0.85, tail_rows=tail_rows), counts["placed"], counts["edges"]
+
+
+def test_rising_quality_in_a_dense_cluster_takes_few_rounds(spark, monkeypatch):
+    vectors = np.random.default_rng(3).normal(size=(60, 8)) * 0.02 + 1
+    quality = np.arange(60) / 60
+    pairs, rounds, edges = rounds_and_edges(spark, monkeypatch, vectors, quality, 25)
+    assert pairs == greedy(vectors, quality, 0.85) == [(i, i + 1) for i in range(59)]
+    assert rounds <= 60 / 25 + 1
+    # Each round compares the rows that are left with the one row that is alive.
+    assert edges <= 60 * 2 * (rounds + 1)
+
+
+def test_small_components_are_settled_in_one_round(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vectors = np.repeat(rng.normal(size=(40, 32)), 5, axis=0) + rng.normal(size=(200, 32)) * 0.05
+    quality = rng.random(200)
+    order = rng.permutation(200)
+    pairs, rounds, _ = rounds_and_edges(spark, monkeypatch, vectors[order], quality, 16)
+    assert pairs == greedy(vectors[order], quality, 0.85) and rounds == 1
+
+
+def test_links_connect_what_all_pairs_connect(spark):
+    vectors, _ = clustered(seed=11, rows=150, spread=0.5)
+    units = sim.unit_vectors(table(spark, vectors, np.zeros(150)).select(F.col("row_idx").alias("gid"), "vector"), "vector", 0.8)
+    cells = dd.write_table(sim.assign_cells(units, sim.choose_pivots(units, "gid", 150, 0.8, 40), 0.8), "cells")
+
+    def roots(pairs):
+        root = list(range(150))
+        for _ in range(150):
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    every = [(r.gid, r.other) for r in sim.similar_pairs(cells, cells, 0.8, block=30).collect()]
+    links = [(r.gid, r.nbr) for r in sim.neighbour_links(cells, 0.8, block=30).collect()]
+    assert set(links) <= set(every) and roots(links) == roots(every)
+    least = {}
+    for a, b in every:
+        if a != b:
+            least[a] = min(b, least.get(a, b))
+    got = {}
+    for a, b in links:
+        got[a] = min(b, got.get(a, b))
+    assert got == least
