@@ -312,6 +312,13 @@ d AS MATERIALIZED (
     (doc_id * 37) % 11 / 11.0::DOUBLE AS q FROM counts WHERE list_sum(u) > 0)""" + _replay(
         "array_cosine_similarity(a.u, b.u)"
     ).replace("THRESHOLD", "0.9999::DOUBLE") + " SELECT * FROM found",
+    "dedup_rising": f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY doc_id) - 1 AS i, doc_id AS row_idx,
+    [1.0::DOUBLE, {', '.join(f'(doc_id * {k} % 89 + n_chars % 7) / 1000.0::DOUBLE' for k in (3, 5, 11))}]::DOUBLE[4] AS u,
+    doc_id / (SELECT count(*) FROM documents)::DOUBLE AS q FROM documents)""" + _replay(
+        "array_cosine_similarity(a.u, b.u)"
+    ).replace("THRESHOLD", "0.95::DOUBLE") + " SELECT * FROM found",
     "duplicate_pairs": _DEDUP + """
 SELECT x.sample_id AS duplicate_sample_id, y.sample_id AS kept_sample_id, similarity, duplicate_quality, kept_quality
 FROM found JOIN d x ON x.row_idx = duplicate_idx JOIN d y ON y.row_idx = kept_idx""",

@@ -350,6 +350,18 @@ def dedup_copies(spark, sf_dir):
     return _report(dd.find_duplicates(rows, 0.9999, order="doc_id", vector="vector", quality=quality))
 
 
+def dedup_rising(spark, sf_dir):
+    """All documents in one dense cluster with rising quality, cut into a few rounds."""
+    documents = fx.table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    spread = [F.lit(1.0), *[(F.col("doc_id") * k % 89 + F.col("n_chars") % 7) / F.lit(1000.0) for k in (3, 5, 11)]]
+    rows = documents.select("doc_id", F.array(*spread).alias("vector"))
+    quality = F.col("doc_id") / F.lit(documents.count())
+    found = dd.find_duplicates(
+        rows, 0.95, order="doc_id", vector="vector", quality=quality, tail_rows=documents.count() // 4 + 1
+    )
+    return _report(found)
+
+
 def duplicate_pairs(spark, sf_dir):
     passed, found = _found(spark, sf_dir)
     return dd.duplicate_pairs(passed, found).select(
@@ -543,7 +555,7 @@ QUERIES: dict[str, Query] = {
         configured_pipeline, custom_operator, accepted_samples, canonical_projection,
         manifest_source, row_index, format_ids, strip_text, prefix_sample, ordered_samples,
         manifest_builder, manifest_sink, region_source, similarity_join, semantic_dedup,
-        dedup_rounds, dedup_copies, duplicate_pairs, dedup_metrics, dedup_writeback,
+        dedup_rounds, dedup_copies, dedup_rising, duplicate_pairs, dedup_metrics, dedup_writeback,
         dedup_survivors, curate_dataset, status_counts, operator_metrics, merge_metrics,
         curation_funnel, all_metrics, dataset_sink, run_rollup, run_speedup, text_encoder,
         image_encoder, annotation_candidates, micro_batches, annotate_batch, annotation_counts,

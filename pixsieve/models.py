@@ -9,6 +9,12 @@ from pyspark import cloudpickle
 _LOADED: dict[str, Any] = {}
 
 
+def loaded(key: str, make: Callable[[], Any]) -> Any:
+    if key not in _LOADED:
+        _LOADED[key] = make()
+    return _LOADED[key]
+
+
 def per_worker(make: Callable[[], Any]) -> Callable[[], Any]:
     """A function for tasks that returns the model of ``make``, made once per worker process.
 
@@ -16,10 +22,5 @@ def per_worker(make: Callable[[], Any]) -> Callable[[], Any]:
     pickled factory, so the same factory is also shared between jobs.
     """
     key = hashlib.sha256(cloudpickle.dumps(make)).hexdigest()
-
-    def get() -> Any:
-        if key not in _LOADED:
-            _LOADED[key] = make()
-        return _LOADED[key]
-
-    return get
+    # The function that holds the models is pickled by reference, so workers share one table.
+    return lambda: loaded(key, make)

@@ -179,3 +179,35 @@ def test_quality_stream_with_metrics_per_batch(spark, make_samples, tmp_path):
     assert sorted(map(tuple, out.select(*columns).collect())) == sorted(map(tuple, batch.collect()))
     assert len(seen) == 2
     assert sum(b["ResolutionFilter"][1] for b in seen) == 5
+
+
+def test_a_model_is_made_once_per_worker(spark, make_samples, tmp_path):
+    folder = tmp_path / "made"
+    folder.mkdir()
+
+    def make():
+        import os
+        import uuid
+
+        (folder / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return LetterEncoder()
+
+    df = make_samples(*[{"image_prompt": "abc"} for _ in range(40)]).repartition(20)
+    for _ in range(2):
+        encode_texts(df, make).agg(F.count("text_embedding")).collect()
+    made = [p.name.split("-")[0] for p in folder.iterdir()]
+    assert made and len(made) == len(set(made))
+
+
+def test_a_chain_on_a_stream_of_several_batches(spark, make_samples, tmp_path):
+    source = str(tmp_path / "in")
+    for part in range(3):
+        make_samples(*[{"sample_id": f"{part}-{i}", "image_path": f"{i}.png"} for i in range(4)]).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    features = spark.createDataFrame([("1.png", 600, 600, 50.0)], "path string, decoded_width int, decoded_height int, decoded_blur double")
+    seen = []
+    spec = {"pipeline": {"operators": [{"name": "validator"}, {"name": "image_loader"}]}}
+    chain = pl.build_pipeline(spec, pl.Resources(features=features))
+    out = streaming.run_to_end(streaming.quality_stream(stream, chain), str(tmp_path / "out"), lambda df, n: seen.append(df.count()))
+    assert len(seen) >= 3 and sum(seen) == 12
+    assert out.filter("reject_reason is null").count() == 3

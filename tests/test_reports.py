@@ -45,3 +45,11 @@ def test_rollup_medians(spark):
     assert len(rows) == 4
     speed = {(r.samples, r.executor): r.speedup for r in reports.speedup(reports.run_rollup(df), "one").collect()}
     assert speed[(100, "one")] == 1.0
+
+
+def test_runs_without_a_time_have_no_place_among_the_times(spark):
+    rows = [(10, "a", 1, None, 1, 9), (10, "a", 2, 4.0, 2, 8), (10, "a", 3, 2.0, 3, 7), (10, "b", 1, None, 4, 6)]
+    runs = spark.createDataFrame(rows, "samples long, executor string, run long, seconds double, accepted long, rejected long")
+    out = {r.executor: r for r in reports.run_rollup(runs).collect()}
+    assert (out["a"].runs, out["a"].median_time, out["a"].median_throughput, out["a"].accepted) == (3, 3.0, 3.75, 3)
+    assert (out["b"].runs, out["b"].median_time, out["b"].accepted) == (1, None, 4)

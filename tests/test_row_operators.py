@@ -2,6 +2,7 @@ import math
 
 import pytest
 
+from pixsieve.operators.row import FunctionOperator
 from pixsieve.operators import (
     AlignmentFilter, BlurFilter, ImageLoader, ResolutionFilter, SampleValidator, resolve_image_path,
 )
@@ -116,3 +117,15 @@ def test_alignment_without_a_vector_stops_or_rejects(make_samples):
         AlignmentFilter().process(df).select("status").collect()
     with pytest.raises(ValueError):
         AlignmentFilter(on_error="ignore")
+
+
+def test_rejected_rows_never_reach_a_user_function(make_samples):
+    """Not even one that fails on them; columns it adds are null for them."""
+    def strict(df):
+        check = F.when(F.col("sample_id") == "bad", F.raise_error(F.lit("saw a rejected row")).cast("int")).otherwise(F.length("image_prompt"))
+        return df.withColumn("size", check).select("row_idx", "sample_id", "image_prompt", "status", "reject_reason", "size")
+
+    df = make_samples({"sample_id": "bad", "status": "rejected", "reject_reason": "before"}, {"sample_id": "good", "image_prompt": "abc"})
+    rows = {r.sample_id: r for r in FunctionOperator("Strict", strict).process_alive(df).collect()}
+    assert rows["good"]["size"] == 3 and rows["good"].status == "pending"
+    assert rows["bad"]["size"] is None and (rows["bad"].status, rows["bad"].reject_reason) == ("rejected", "before")

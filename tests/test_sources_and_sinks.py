@@ -175,3 +175,31 @@ def test_metrics_with_dedup(spark, tmp_path):
     sinks.save_metrics(merged, str(tmp_path / "m"))
     assert len(read_lines(tmp_path / "m")) == 2
     assert sinks.with_dedup_metrics(None, dedup).count() == 1
+
+
+def test_lines_of_several_files_of_unequal_size(spark, tmp_path):
+    """Numbers do not depend on how files are packed into tasks, largest first."""
+    sizes = [3, 400, 1, 90]
+    for n, size in enumerate(sizes):
+        (tmp_path / f"part-{n}.txt").write_text("".join(f"{n}:{i} {'x' * 200}\n" for i in range(size)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = sources.manifest.index_lines(spark, str(tmp_path)).orderBy("row_idx").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.row_idx for r in rows] == list(range(1, sum(sizes) + 1))
+    assert [r.value.split(" ")[0] for r in rows] == [f"{n}:{i}" for n, size in enumerate(sizes) for i in range(size)]
+
+
+def test_the_last_region_row_counts_in_the_order_of_file_names(spark, tmp_path):
+    small = [{"id": 1, "regions": [{"phrase": "first file"}]}]
+    large = [{"id": 1, "regions": [{"phrase": "second file"}]}] + [{"id": i, "regions": [{"phrase": "y" * 300}]} for i in range(2, 60)]
+    third = [{"id": 2, "regions": [{"phrase": "third file"}]}]
+    for name, rows in (("a.json", small), ("b.json", large), ("c.json", third)):
+        (tmp_path / name).write_text(json.dumps(rows))
+    for lines in (False, True):
+        regions = sources.read_regions(spark, str(tmp_path), lines=lines).orderBy("pos").collect()
+        assert [r.pos for r in regions] == list(range(1, 62))
+        assert [regions[0].id, regions[1].id, regions[-1].id] == [1, 1, 2]
+        last = {r.id: r.regions[0].phrase for r in regions}
+        assert last[1] == "second file" and last[2] == "third file"
