@@ -9,7 +9,8 @@ Documents with equal sets are one class from the start; the join runs between di
 3. The global order is cut into fragments of equal mass. Sets that share a head n-gram are cut at the
    same places, and the partial overlaps of a candidate pair are counted fragment by fragment, in
    separate tasks, and summed per pair. The sum decides exactly.
-4. Pairs inside a group are not listed. Each shared n-gram first pairs its sets with one pivot;
+4. Pairs inside a group are not listed. Each shared n-gram first pairs its sets with one pivot, the set
+   that has the fewest n-grams of its own before it;
    links are contracted to components; sets that are already connected need no comparison. What is left
    is compared in later rounds with all sets of a small group, or with more and more pivots of a large
    one, until every pair that could link two components has been compared.
@@ -26,20 +27,21 @@ not read.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pixsieve.llm.chunks import text_chunks
-from pixsieve.llm.components import components
+from pixsieve.operators.components import components
 from pixsieve.session import write_table
 
-COUNT_BITS = 20
-COUNT_CHUNK = 1 << 14
+COUNT_BITS = 22
+COUNT_CHUNK = 1 << 16
 COUNT_MOST = (1 << 23) - 1
 BITMAP_BITS = 24
 SMALL_GROUP = 32
@@ -123,16 +125,22 @@ def _scan_sets(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.int64)
+        pending: list[np.ndarray] = []
         for rows, texts in text_chunks(batches, "text"):
             grams, edges = ngram_sets(texts, size)
-            counts += np.bincount((grams >> np.uint64(64 - COUNT_BITS)).astype(np.int64), minlength=len(counts))
+            pending.append((grams >> np.uint64(64 - COUNT_BITS)).astype(np.int32))
+            if sum(map(len, pending)) > len(counts):
+                counts += np.bincount(np.concatenate(pending), minlength=len(counts))
+                pending.clear()
             n = len(texts)
             data = [rows.column("doc_id"), pa.array(np.diff(edges).astype(np.int32)), pa.array(set_hashes(grams, edges)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(data, names=names)
+        if pending:
+            counts += np.bincount(np.concatenate(pending), minlength=len(counts))
         for i in range(0, len(counts), COUNT_CHUNK):
             part = counts[i:i + COUNT_CHUNK]
             if part.any():
-                data = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([i // COUNT_CHUNK], pa.int32()), pa.array([part.astype("<u4").tobytes()])]
+                data = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([i // COUNT_CHUNK], pa.int32()), pa.array([zlib.compress(part.astype("<u4").tobytes(), 1)])]
                 yield pa.RecordBatch.from_arrays(data, names=names)
 
     return run, fields
@@ -142,7 +150,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, data in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
-            part = np.frombuffer(data.as_buffer(), "<u4")
+            part = np.frombuffer(zlib.decompress(data.as_buffer()), "<u4")
             sums.setdefault(chunk, np.zeros(COUNT_CHUNK, np.int64))[:] += part
     for chunk, total in sums.items():
         clipped = np.minimum(total, COUNT_MOST).astype("<u4").tobytes()
@@ -173,7 +181,7 @@ def _heads(size: int, percent: int, shared):
             grams, edges = ngram_sets(texts, size)
             sids = set_hashes(grams, edges).tolist()
             keys, at = _order_keys(grams, counts), edges.tolist()
-            heads, sizes, owners = [], [], []
+            heads, sizes, owners, places = [], [], [], []
             for i, sid in enumerate(sids):
                 a, b = at[i], at[i + 1]
                 if a == b or sid in seen:
@@ -185,14 +193,16 @@ def _heads(size: int, percent: int, shared):
                 keep = n + (-percent * n // 100) + 1
                 own = np.sort(keys[a:b])[:keep]
                 heads.append(own)
+                places.append(np.arange(keep, dtype=np.int32))
                 sizes.append(n)
                 owners.append(sid)
             lengths = [len(h) for h in heads]
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
-            data = [flat, np.repeat(np.array(owners, np.int64), lengths), np.repeat(np.array(sizes, np.int32), lengths)]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in data], names=["token", "sid", "n"])
+            place = np.concatenate(places) if places else np.zeros(0, np.int32)
+            data = [flat, np.repeat(np.array(owners, np.int64), lengths), np.repeat(np.array(sizes, np.int32), lengths), place]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in data], names=["token", "sid", "n", "place"])
 
-    return run, "token long, sid long, n int"
+    return run, "token long, sid long, n int, place int"
 
 
 def _segments(size: int, fragments: int, shared):
@@ -235,18 +245,31 @@ def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "fragment")], pa.array(common, pa.int32())], names=["a", "b", "fragment", "common"])
 
 
-def _long_enough(x: str, y: str, percent: int):
-    """Sizes that allow the similarity."""
-    return (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
+def _common(x: str, y: str, percent: int) -> Column:
+    """How many n-grams similar sets of these sizes have in common at least."""
+    return F.ceil((F.col(x) + F.col(y)) * percent / F.lit(100 + percent))
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, fragments: int, percent: int) -> DataFrame:
-    """The pairs (a, b, a_n, b_n) that are similar: partial overlaps per fragment, summed per pair."""
-    cut = pairs.select("a", "b", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))).alias("fragment"))
-    left = segments.select(F.col("sid").alias("a"), "fragment", F.col("grams").alias("a_grams"))
-    right = segments.select(F.col("sid").alias("b"), "fragment", F.col("grams").alias("b_grams"))
-    both = cut.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
-    partial = both.mapInArrow(_count_overlaps, "a long, b long, fragment int, common int").distinct()
+def _can_link(x: str, y: str, x_place: str, y_place: str, percent: int) -> Column:
+    """Sizes that allow the similarity, and an n-gram that can be the first one the sets share:
+    all they must have in common still fits from there to the end of each."""
+    common = _common(x, y, percent)
+    sizes = (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
+    return sizes & (F.col(x_place) + common <= F.col(x)) & (F.col(y_place) + common <= F.col(y))
+
+
+def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, a_n, b_n) that are similar: partial overlaps per fragment, summed per pair.
+
+    Segments are joined once, to the ends of the pairs, and meet by pair and fragment.
+    """
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("sid"))
+    met = segments.join(ends, "sid").groupBy("a", "b", "fragment").agg(
+        F.max(F.when(F.col("sid") == F.col("a"), F.col("grams"))).alias("a_grams"),
+        F.max(F.when(F.col("sid") == F.col("b"), F.col("grams"))).alias("b_grams"),
+    )
+    both = met.filter(F.col("a_grams").isNotNull() & F.col("b_grams").isNotNull())
+    partial = both.mapInArrow(_count_overlaps, "a long, b long, fragment int, common int")
     common = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
     union = F.col("a_n") + F.col("b_n") - F.col("common")
     return pairs.join(common, ["a", "b"]).filter(F.col("common") * 100 >= union * percent).select("a", "b")
@@ -280,14 +303,16 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
 
     run, fields = _heads(size, percent, spark.sparkContext.broadcast(counts))
     in_token = Window.partitionBy("token")
-    ordered = in_token.orderBy("sid")
-    every = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = F.first(F.struct("sid", "n")).over(every)
-    heads = own.mapInArrow(run, fields).select(
-        "*", F.lag("sid").over(ordered).alias("before"), first.alias("pivot"), F.last("sid").over(every).alias("end")
-    )
-    shared = heads.filter((F.col("pivot.sid") != F.col("end")) & (F.col("before").isNull() | (F.col("before") != F.col("sid"))))
-    groups = write_table(shared.select("token", "sid", "n", F.col("pivot.sid").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "ngram-groups")
+    before = F.lag("sid").over(in_token.orderBy("sid"))
+    heads = own.mapInArrow(run, fields).select("*", before.alias("before"), F.min("n").over(in_token).alias("least"))
+    fresh = heads.filter(F.col("before").isNull() | (F.col("before") != F.col("sid")))
+    # A set that cannot even link with the smallest set of the group has no business there.
+    useful = fresh.filter(F.col("place") + _common("n", "least", percent) <= F.col("n"))
+    pivot = F.min(F.struct("place", "sid", "n")).over(in_token)
+    shared = useful.select("token", "sid", "n", "place", pivot.alias("pivot"), F.count("*").over(in_token).alias("members"))
+    groups = write_table(shared.filter("members > 1").select(
+        "token", "sid", "n", "place", F.col("pivot.sid").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.place").alias("pivot_place")
+    ), "ngram-groups")
 
     members = groups.select("sid").distinct()
     copies = sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
@@ -296,35 +321,35 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("bit")
     segments = write_table(own.select(bit, "text").mapInArrow(run, fields), "ngram-segments")
 
-    low, high = F.col("sid") < F.col("other"), _long_enough("n", "other_n", percent)
+    low, high = F.col("sid") < F.col("other"), _can_link("n", "other_n", "place", "other_place", percent)
     as_pair = [
         F.when(low, F.col("sid")).otherwise(F.col("other")).alias("a"), F.when(low, F.col("other")).otherwise(F.col("sid")).alias("b"),
         F.when(low, F.col("n")).otherwise(F.col("other_n")).alias("a_n"), F.when(low, F.col("other_n")).otherwise(F.col("n")).alias("b_n"),
     ]
-    stars = groups.withColumnRenamed("pivot", "other").withColumnRenamed("pivot_n", "other_n")
+    stars = groups.withColumnRenamed("pivot", "other").withColumnRenamed("pivot_n", "other_n").withColumnRenamed("pivot_place", "other_place")
     pairs = write_table(stars.filter((F.col("sid") != F.col("other")) & high).select(*as_pair).distinct(), "ngram-pairs")
-    links = write_table(_verified(pairs, segments, fragments, percent), "ngram-links")
+    links = write_table(_verified(pairs, segments, percent), "ngram-links")
     roots = write_table(components(links), "ngram-roots")
-    left = groups.filter(F.col("sid") != F.col("pivot")).select("token", "sid", "n")
+    left = groups.filter(F.col("sid") != F.col("pivot")).select("token", "sid", "n", "place")
     pivots = 16
     while True:
-        known = left.join(roots, left["sid"] == roots["node"], "left").select("token", "sid", "n", F.coalesce("root", "sid").alias("root"))
+        known = left.join(roots, left["sid"] == roots["node"], "left").select("token", "sid", "n", "place", F.coalesce("root", "sid").alias("root"))
         spread = known.groupBy("token").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", "members")
         left = write_table(known.join(spread, "token"), "ngram-left")
         if left.isEmpty():
             break
         slot = F.pmod(F.xxhash64("sid", F.lit(pivots)), F.lit(pivots))
-        some = left.filter(F.col("members") > SMALL_GROUP).groupBy("token", slot.alias("slot")).agg(F.min(F.struct("sid", "n", "root")).alias("x")).select("token", "x.*")
-        small = left.filter(F.col("members") <= SMALL_GROUP).select("token", "sid", "n", "root")
-        others = write_table(small.unionByName(some), "ngram-pivots").select("token", F.col("sid").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"))
+        some = left.filter(F.col("members") > SMALL_GROUP).groupBy("token", slot.alias("slot")).agg(F.min(F.struct("place", "sid", "n", "root")).alias("x")).select("token", "x.sid", "x.n", "x.place", "x.root")
+        small = left.filter(F.col("members") <= SMALL_GROUP).select("token", "sid", "n", "place", "root")
+        others = write_table(small.unionByName(some), "ngram-pivots").select("token", F.col("sid").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"), F.col("root").alias("other_root"))
         met = left.join(others, "token").filter((F.col("root") != F.col("other_root")) & high)
         pairs = write_table(met.select(*as_pair).distinct(), "ngram-pairs")
-        found = write_table(_verified(pairs, segments, fragments, percent), "ngram-links")
+        found = write_table(_verified(pairs, segments, percent), "ngram-links")
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = write_table(components(links), "ngram-roots")
         done = others.select("token", F.col("other").alias("sid"))
-        left = left.filter(F.col("members") > SMALL_GROUP).join(done, ["token", "sid"], "left_anti").select("token", "sid", "n")
+        left = left.filter(F.col("members") > SMALL_GROUP).join(done, ["token", "sid"], "left_anti").select("token", "sid", "n", "place")
         pivots *= 4
 
     labelled = copies.join(roots, copies["sid"] == roots["node"], "left").select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))

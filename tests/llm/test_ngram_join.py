@@ -79,7 +79,7 @@ def test_fragments_cover_the_global_order():
     cuts = ngram_join._cuts(counts, 8)
     assert (np.diff(cuts) >= 0).all()
     mass = defaultdict(int)
-    keys = (counts.astype(np.int64) << 40) | (np.arange(len(counts)) << 20)
+    keys = (counts.astype(np.int64) << 40) | (np.arange(len(counts)) << (40 - ngram_join.COUNT_BITS))
     for fragment, n in zip(np.searchsorted(cuts, keys, side="right"), counts.tolist(), strict=True):
         mass[int(fragment)] += n
     assert len(mass) == 8 and max(mass.values()) < 1.01 * min(mass.values())
