@@ -21,7 +21,6 @@ name of an output column is replaced.
 from __future__ import annotations
 
 import base64
-import functools
 import heapq
 import json
 import re
@@ -34,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixsieve.llm.chunks import text_chunks
+from pixsieve.models import cached
 
 # Classes of code points, with what follows already looked at.
 LETTER, NUMBER, OTHER, APOSTROPHE_1, APOSTROPHE_2, SPACE, LAST_BLANK, LAST_SPACE = range(8)
@@ -61,7 +61,7 @@ def _step(state: int, kind: int) -> tuple[int, bool]:
     return (BLANK if kind == LAST_BLANK else OPEN), True
 
 
-@functools.cache
+@cached
 def _automaton() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(function of each class, and of each class at the start of a text; compositions;
     value of a function at OPEN; starts by state and class)."""
@@ -346,7 +346,7 @@ def _kinds(letters: Iterable[str], numbers: Iterable[str], spaces: Iterable[str]
     return kinds
 
 
-@functools.cache
+@cached
 def rank_file_coder(path: str) -> Coder:
     """A coder for a file of lines "base64 token, rank"; one per worker process.
 
@@ -368,7 +368,7 @@ def rank_file_coder(path: str) -> Coder:
     return Coder(vocabulary, PairTable(left, right, merged.astype(np.uint32), merged.astype(np.int32)), kinds, True, {})
 
 
-@functools.cache
+@cached
 def tokenizer_file_coder(path: str) -> Coder:
     """A coder for a byte-level BPE ``tokenizer.json``; one per worker process.
 

@@ -18,7 +18,6 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -28,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pixsieve.models import cached
+
 KMER = 6
 ROWS = 64
 PICKED = 2
@@ -40,7 +41,7 @@ FINGERPRINTS = (
 )
 
 
-@functools.cache
+@cached
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(11)
     odd = rng.integers(1 << 30, 1 << 31, ROWS, np.uint32) * np.uint32(2) + np.uint32(1)

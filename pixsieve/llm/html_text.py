@@ -15,7 +15,6 @@ results; an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pixsieve.llm.chunks import text_chunks
+from pixsieve.models import cached
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -301,7 +301,7 @@ LABELLED_PAGES = (
 )
 
 
-@functools.cache
+@cached
 def trained_tree() -> Tree:
     """The tree of the labelled pages; one per worker process."""
     rows, labels = [], []

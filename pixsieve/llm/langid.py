@@ -130,10 +130,10 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text
     kept = docs.drop("lang_pred", "score")
     rest = [f for f in kept.schema if keep_text or f.name != text]
     schema = T.StructType([*rest, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.likelihood))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letter, own = letter_table(), shared.value
+        letter, own = letter_table(), LanguageModel(*shared.value)
         for rows, texts in text_chunks(batches, text):
             names, score = own.predict(texts, letter)
             yield pa.RecordBatch.from_arrays([*[rows.column(f.name) for f in rest], pa.array(names), pa.array(score)], names=schema.names)

@@ -26,7 +26,6 @@ not read.
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 
@@ -37,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pixsieve.llm.chunks import text_chunks
+from pixsieve.models import cached
 from pixsieve.operators.components import components
 from pixsieve.session import write_table
 
@@ -46,7 +46,9 @@ COUNT_MOST = (1 << 23) - 1
 BITMAP_BITS = 24
 SMALL_GROUP = 32
 FRAGMENTS = 8
-SEEN_SETS = 500_000
+SEEN_SETS = 200_000
+CHUNK_CHARS = 300_000
+PENDING_GRAMS = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 _MULTIPLIERS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F)
 
@@ -57,7 +59,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=2)
+@cached
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     up, down = np.full(size, _BASE, np.uint64), np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
@@ -65,7 +67,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-@functools.cache
+@cached
 def _byte_values() -> np.ndarray:
     return np.random.default_rng(20).integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -119,24 +121,29 @@ def set_hashes(grams: np.ndarray, edges: np.ndarray) -> np.ndarray:
     return np.where(sizes > 0, _mix(sums[edges[1:]] - sums[edges[:-1]] + sizes * np.uint64(_MULTIPLIERS[0])), np.uint64(0)).view(np.int64)
 
 
+def _add_counts(counts: np.ndarray, pending: list[np.ndarray]) -> None:
+    if pending:
+        bucket, n = np.unique(np.concatenate(pending), return_counts=True)
+        counts[bucket] += n.astype(np.uint32)
+        pending.clear()
+
+
 def _scan_sets(size: int):
     fields = "doc_id long, n int, sid long, chunk int, counts binary"
     names = [f.split()[0] for f in fields.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << COUNT_BITS, np.int64)
+        counts = np.zeros(1 << COUNT_BITS, np.uint32)
         pending: list[np.ndarray] = []
-        for rows, texts in text_chunks(batches, "text"):
+        for rows, texts in text_chunks(batches, "text", CHUNK_CHARS):
             grams, edges = ngram_sets(texts, size)
             pending.append((grams >> np.uint64(64 - COUNT_BITS)).astype(np.int32))
-            if sum(map(len, pending)) > len(counts):
-                counts += np.bincount(np.concatenate(pending), minlength=len(counts))
-                pending.clear()
+            if sum(map(len, pending)) > PENDING_GRAMS:
+                _add_counts(counts, pending)
             n = len(texts)
             data = [rows.column("doc_id"), pa.array(np.diff(edges).astype(np.int32)), pa.array(set_hashes(grams, edges)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(data, names=names)
-        if pending:
-            counts += np.bincount(np.concatenate(pending), minlength=len(counts))
+        _add_counts(counts, pending)
         for i in range(0, len(counts), COUNT_CHUNK):
             part = counts[i:i + COUNT_CHUNK]
             if part.any():
@@ -177,7 +184,7 @@ def _heads(size: int, percent: int, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
-        for _, texts in text_chunks(batches, "text"):
+        for _, texts in text_chunks(batches, "text", CHUNK_CHARS):
             grams, edges = ngram_sets(texts, size)
             sids = set_hashes(grams, edges).tolist()
             keys, at = _order_keys(grams, counts), edges.tolist()
@@ -209,9 +216,8 @@ def _segments(size: int, fragments: int, shared):
     """(sid, fragment, n-grams) of the documents that the bitmap lets pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, bitmap = shared.value
-        cuts = _cuts(counts, fragments)
-        for rows, texts in text_chunks(batches, "text"):
+        counts, bitmap, cuts = shared.value
+        for rows, texts in text_chunks(batches, "text", CHUNK_CHARS):
             bit = rows.column("bit").to_numpy(zero_copy_only=False).astype(np.int64)
             wanted = (bitmap[bit >> 5] >> (bit & 31)) & 1
             chosen = [t for t, w in zip(texts, wanted.tolist(), strict=True) if w]
@@ -317,7 +323,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
     members = groups.select("sid").distinct()
     copies = sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     bitmap = _bitmap(copies.join(members, "sid", "left_semi").select("doc_id"))
-    run, fields = _segments(size, fragments, spark.sparkContext.broadcast((counts, bitmap)))
+    run, fields = _segments(size, fragments, spark.sparkContext.broadcast((counts, bitmap, _cuts(counts, fragments))))
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("bit")
     segments = write_table(own.select(bit, "text").mapInArrow(run, fields), "ngram-segments")
 

@@ -168,10 +168,10 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep_text: b
     kept = docs.drop("score", "predicted")
     rest = [f for f in kept.schema if keep_text or f.name != text]
     schema = T.StructType([*rest, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.mean, model.spread, model.weights, model.cut, model.learned))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letter, upper, own = letter_table(), _upper_table(), shared.value
+        letter, upper, own = letter_table(), _upper_table(), QualityModel(*shared.value)
         for rows, texts in text_chunks(batches, text):
             values = own.score(*features(texts, letter, upper))
             columns = [rows.column(f.name) for f in rest]
