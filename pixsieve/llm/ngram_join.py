@@ -8,7 +8,8 @@ Documents with equal sets are one class from the start; the join runs between di
    enough share one of those. N-grams with a single set are dropped.
 3. The global order is cut into fragments of equal mass. Sets that share a head n-gram are cut at the
    same places, and the partial overlaps of a candidate pair are counted fragment by fragment, in
-   separate tasks, and summed per pair. The sum decides exactly.
+   separate tasks, and summed per pair. The first fragment comes first: what it leaves possible rules
+   most pairs out, and the others are cut for the rest only. The sum decides exactly.
 4. Pairs inside a group are not listed. Each shared n-gram first pairs its sets with one pivot, the set
    that has the fewest n-grams of its own before it;
    links are contracted to components; sets that are already connected need no comparison. What is left
@@ -212,8 +213,8 @@ def _heads(size: int, percent: int, shared):
     return run, "token long, sid long, n int, place int"
 
 
-def _segments(size: int, fragments: int, shared):
-    """(sid, fragment, n-grams) of the documents that the bitmap lets pass."""
+def _segments(size: int, first: int, last: int, shared):
+    """(sid, fragment, n-grams) of the documents that the bitmap lets pass, for a range of fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, bitmap, cuts = shared.value
@@ -230,25 +231,28 @@ def _segments(size: int, fragments: int, shared):
             for sid, a, b in zip(sids, edges.tolist(), edges[1:].tolist(), strict=False):
                 order = np.argsort(fragment[a:b], kind="stable")
                 own, places = grams[a:b][order], fragment[a:b][order]
-                ends = np.searchsorted(places, np.arange(fragments + 1)).tolist()
-                for k in range(fragments):
-                    if ends[k + 1] > ends[k]:
+                ends = np.searchsorted(places, np.arange(first, last + 1)).tolist()
+                for k, start, end in zip(range(first, last), ends, ends[1:], strict=False):
+                    if end > start:
                         out[0].append(sid)
                         out[1].append(k)
-                        out[2].append(own[ends[k]:ends[k + 1]].tobytes())
+                        out[2].append(own[start:end].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], names=["sid", "fragment", "grams"])
 
     return run, "sid long, fragment int, grams binary"
 
 
 def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial overlap of the two segments of a pair, and their lengths; a missing one is empty."""
     for batch in batches:
+        sides = [[np.frombuffer(x or b"", np.uint64) for x in batch.column(c).to_pylist()] for c in ("a_grams", "b_grams")]
         common = []
-        for x, y in zip(batch.column("a_grams"), batch.column("b_grams"), strict=True):
-            both = np.concatenate((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
+        for x, y in zip(*sides, strict=True):
+            both = np.concatenate((x, y))
             both.sort()
             common.append(int(np.count_nonzero(both[1:] == both[:-1])))
-        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "fragment")], pa.array(common, pa.int32())], names=["a", "b", "fragment", "common"])
+        counts = [pa.array(v, pa.int32()) for v in (common, list(map(len, sides[0])), list(map(len, sides[1])))]
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *counts], names=["a", "b", "common", "a_part", "b_part"])
 
 
 def _common(x: str, y: str, percent: int) -> Column:
@@ -264,8 +268,8 @@ def _can_link(x: str, y: str, x_place: str, y_place: str, percent: int) -> Colum
     return sizes & (F.col(x_place) + common <= F.col(x)) & (F.col(y_place) + common <= F.col(y))
 
 
-def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, a_n, b_n) that are similar: partial overlaps per fragment, summed per pair.
+def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """(a, b, common, a_part, b_part), one row per pair and fragment that one of them has.
 
     Segments are joined once, to the ends of the pairs, and meet by pair and fragment.
     """
@@ -274,11 +278,22 @@ def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
         F.max(F.when(F.col("sid") == F.col("a"), F.col("grams"))).alias("a_grams"),
         F.max(F.when(F.col("sid") == F.col("b"), F.col("grams"))).alias("b_grams"),
     )
-    both = met.filter(F.col("a_grams").isNotNull() & F.col("b_grams").isNotNull())
-    partial = both.mapInArrow(_count_overlaps, "a long, b long, fragment int, common int")
-    common = partial.groupBy("a", "b").agg(F.sum("common").alias("common"))
+    return met.mapInArrow(_count_overlaps, "a long, b long, common int, a_part int, b_part int")
+
+
+def _promising(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` that may still be similar after the first fragment, with its overlap as ``seen``."""
+    part = pairs.join(_overlaps(pairs, light), ["a", "b"], "left").fillna(0, ["common", "a_part", "b_part"])
+    most = F.col("common") + F.least(F.col("a_n") - F.col("a_part"), F.col("b_n") - F.col("b_part"))
+    return part.filter(most >= _common("a_n", "b_n", percent)).select("a", "b", "a_n", "b_n", F.col("common").alias("seen"))
+
+
+def _similar(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs that are similar: partial overlaps summed per pair."""
+    common = _overlaps(pairs, segments).groupBy("a", "b").agg(F.sum("common").alias("more"))
+    summed = pairs.join(common, ["a", "b"], "left").withColumn("common", F.col("seen") + F.coalesce("more", F.lit(0)))
     union = F.col("a_n") + F.col("b_n") - F.col("common")
-    return pairs.join(common, ["a", "b"]).filter(F.col("common") * 100 >= union * percent).select("a", "b")
+    return summed.filter(F.col("common") * 100 >= union * percent).select("a", "b")
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -320,12 +335,25 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         "token", "sid", "n", "place", F.col("pivot.sid").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.place").alias("pivot_place")
     ), "ngram-groups")
 
-    members = groups.select("sid").distinct()
     copies = sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
-    bitmap = _bitmap(copies.join(members, "sid", "left_semi").select("doc_id"))
-    run, fields = _segments(size, fragments, spark.sparkContext.broadcast((counts, bitmap, _cuts(counts, fragments))))
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("bit")
-    segments = write_table(own.select(bit, "text").mapInArrow(run, fields), "ngram-segments")
+    cuts = _cuts(counts, fragments)
+
+    def segments(sids: DataFrame, first: int, last: int) -> DataFrame:
+        bitmap = _bitmap(copies.join(sids, "sid", "left_semi").select("doc_id"))
+        run, fields = _segments(size, first, last, spark.sparkContext.broadcast((counts, bitmap, cuts)))
+        return write_table(own.select(bit, "text").mapInArrow(run, fields), "ngram-segments")
+
+    light = segments(groups.select("sid").distinct(), 0, 1)
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Similar pairs: the first fragment rules most out, the others are cut for the rest only."""
+        pairs = write_table(pairs, "ngram-pairs")
+        left = write_table(_promising(pairs, light, percent), "ngram-promising")
+        if left.isEmpty():
+            return left.select("a", "b")
+        heavy = segments(left.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), 1, fragments)
+        return write_table(_similar(left, heavy, percent), "ngram-links")
 
     low, high = F.col("sid") < F.col("other"), _can_link("n", "other_n", "place", "other_place", percent)
     as_pair = [
@@ -333,8 +361,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         F.when(low, F.col("n")).otherwise(F.col("other_n")).alias("a_n"), F.when(low, F.col("other_n")).otherwise(F.col("n")).alias("b_n"),
     ]
     stars = groups.withColumnRenamed("pivot", "other").withColumnRenamed("pivot_n", "other_n").withColumnRenamed("pivot_place", "other_place")
-    pairs = write_table(stars.filter((F.col("sid") != F.col("other")) & high).select(*as_pair).distinct(), "ngram-pairs")
-    links = write_table(_verified(pairs, segments, percent), "ngram-links")
+    links = linked(stars.filter((F.col("sid") != F.col("other")) & high).select(*as_pair).distinct())
     roots = write_table(components(links), "ngram-roots")
     left = groups.filter(F.col("sid") != F.col("pivot")).select("token", "sid", "n", "place")
     pivots = 16
@@ -349,8 +376,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         small = left.filter(F.col("members") <= SMALL_GROUP).select("token", "sid", "n", "place", "root")
         others = write_table(small.unionByName(some), "ngram-pivots").select("token", F.col("sid").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"), F.col("root").alias("other_root"))
         met = left.join(others, "token").filter((F.col("root") != F.col("other_root")) & high)
-        pairs = write_table(met.select(*as_pair).distinct(), "ngram-pairs")
-        found = write_table(_verified(pairs, segments, percent), "ngram-links")
+        found = linked(met.select(*as_pair).distinct())
         if not found.isEmpty():
             links = links.unionByName(found)
             roots = write_table(components(links), "ngram-roots")
