@@ -42,6 +42,8 @@ LETTER, NUMBER, OTHER, APOSTROPHE_1, APOSTROPHE_2, SPACE, LAST_BLANK, LAST_SPACE
 OPEN, IN_LETTERS, IN_NUMBERS, IN_OTHERS, IN_SPACE, BLANK, ONE_MORE, TWO_MORE = range(8)
 CACHE_PIECES = 300_000
 LONG_PIECE = 128
+WIDTHS = (0, 4, 6, 8, 10, 12, 16, 24, 32, 64, LONG_PIECE)
+PLACE_BITS = 7
 NO_RANK = np.uint32(0xFFFFFFFF)
 
 
@@ -248,59 +250,63 @@ class Coder:
 
     def _merge_all(self, pieces: list[str]) -> None:
         """Puts the ids of all pieces into the cache."""
-        cache, by_width = self._cache, {4: [], 8: [], 16: [], 32: [], 64: [], LONG_PIECE: []}
-        widths = [min(w for w in by_width if w >= n) for n in range(1, LONG_PIECE + 1)]
         raws = [p.encode("utf-8", "surrogatepass") for p in pieces]
-        get = self._vocabulary.get
-        for piece, raw in zip(pieces, raws, strict=True):
-            known = get(raw) if self._whole or len(raw) == 1 else None
-            if known is not None:
-                cache[piece] = known.to_bytes(4, "little")
-            elif len(raw) > LONG_PIECE:
-                cache[piece] = self._merge_long(raw)
-            else:
-                by_width[widths[len(raw) - 1]].append((piece, raw))
-        for width, own in by_width.items():
-            for i in range(0, len(own), 1 << 13):
-                names, data = zip(*own[i:i + (1 << 13)], strict=True)
-                cache.update(zip(names, self._merge_block(data, width), strict=True))
-
-    def _merge_block(self, raws: tuple[bytes, ...], width: int) -> list[bytes]:
-        """Merges of all pieces side by side: one merge of every open piece per step."""
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+        whole = np.array([r in self._vocabulary for r in raws], bool) if self._whole else sizes == 1
+        for i in np.flatnonzero(whole).tolist():
+            self._cache[pieces[i]] = self._vocabulary[raws[i]].to_bytes(4, "little")
+        for i in np.flatnonzero(~whole & (sizes > LONG_PIECE)).tolist():
+            self._cache[pieces[i]] = self._merge_long(raws[i])
+        for narrower, width in zip(WIDTHS, WIDTHS[1:], strict=False):
+            own = np.flatnonzero(~whole & (sizes > narrower) & (sizes <= width)).tolist()
+            for k in range(0, len(own), 1 << 13):
+                part = own[k:k + (1 << 13)]
+                self._cache.update(zip([pieces[i] for i in part], self._merge_block([raws[i] for i in part], width), strict=True))
+
+    def _merge_block(self, raws: list[bytes], width: int) -> list[bytes]:
+        """Merges of all pieces side by side: one merge of every open piece per step.
+
+        Pieces are columns. What may be merged next at a place is its rank with the place in the
+        low bits, so the least entry of a column names the next merge and where it is.
+        """
         n = len(raws)
         lengths = np.array([len(r) for r in raws])
-        data = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raws), np.uint8).reshape(n, width)
-        columns = np.arange(width)
-        ids = np.where(columns < lengths[:, None], self._byte_ids[data], -1).astype(np.int32)
-        rank = np.full((n, width), NO_RANK)
-        merged = np.zeros((n, width), np.int32)
-        r, c = np.nonzero(columns < lengths[:, None] - 1)
-        rank[r, c], merged[r, c] = self._pairs.find(ids[r, c], ids[r, c + 1])
-        following = np.broadcast_to(columns + 1, (n, width)).astype(np.int16)
-        following[np.arange(n), lengths - 1] = width
-        previous = np.broadcast_to(columns - 1, (n, width)).astype(np.int16)
-        rows = np.arange(n)
-        while len(rows):
-            at = (rank if len(rows) == n else rank[rows]).argmin(axis=1)
-            open_ = rank[rows, at] != NO_RANK
-            rows, at = rows[open_], at[open_]
-            if not len(rows):
+        data = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in raws), np.uint8).reshape(n, width).T
+        places = np.arange(width)[:, None]
+        ids = np.where(places < lengths, self._byte_ids[data], -1).astype(np.int32)
+        entry = np.full((width, n), NO_RANK)
+        merged = np.zeros((width, n), np.int32)
+
+        def offer(at: np.ndarray, then: np.ndarray, column: np.ndarray) -> None:
+            rank, new = self._pairs.find(ids[at, column], ids[then, column])
+            entry[at, column] = np.where(rank == NO_RANK, NO_RANK, (rank << PLACE_BITS) | at.astype(np.uint32))
+            merged[at, column] = new
+
+        at, column = np.nonzero(places < lengths - 1)
+        offer(at, at + 1, column)
+        following = np.broadcast_to(places + 1, (width, n)).astype(np.int16)
+        following[lengths - 1, np.arange(n)] = width
+        previous = np.broadcast_to(places - 1, (width, n)).astype(np.int16)
+        columns = np.arange(n)
+        while True:
+            least = (entry if len(columns) == n else np.take(entry, columns, axis=1)).min(axis=0)
+            open_ = least != NO_RANK
+            columns, at = columns[open_], (least[open_] & np.uint32((1 << PLACE_BITS) - 1)).astype(np.int64)
+            if not len(columns):
                 break
-            gone = following[rows, at]
-            after = following[rows, gone]
-            ids[rows, at] = merged[rows, at]
-            ids[rows, gone] = -1
-            rank[rows, gone] = NO_RANK
-            rank[rows, at] = NO_RANK
-            following[rows, at] = after
+            gone = following[at, columns]
+            after = following[gone, columns]
+            ids[at, columns] = merged[at, columns]
+            ids[gone, columns] = -1
+            entry[gone, columns] = NO_RANK
+            entry[at, columns] = NO_RANK
+            following[at, columns] = after
             right = np.flatnonzero(after < width)
-            previous[rows[right], after[right]] = at[right]
-            before = previous[rows, at]
+            previous[after[right], columns[right]] = at[right]
+            before = previous[at, columns]
             left = np.flatnonzero(before >= 0)
-            where = np.concatenate((rows[right], rows[left]))
-            first = np.concatenate((at[right], before[left]))
-            then = np.concatenate((after[right], at[left]))
-            rank[where, first], merged[where, first] = self._pairs.find(ids[where, first], ids[where, then])
+            offer(np.concatenate((at[right], before[left])), np.concatenate((after[right], at[left])), np.concatenate((columns[right], columns[left])))
+        ids = ids.T
         kept = ids >= 0
         flat = ids[kept].astype("<u4").tobytes()
         ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
