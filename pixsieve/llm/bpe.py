@@ -44,6 +44,7 @@ CACHE_PIECES = 300_000
 LONG_PIECE = 128
 WIDTHS = (0, 4, 6, 8, 10, 12, 16, 24, 32, 64, LONG_PIECE)
 PLACE_BITS = 7
+DECODE_BYTES = 1 << 20
 NO_RANK = np.uint32(0xFFFFFFFF)
 
 
@@ -445,10 +446,15 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", into: str = "decoded
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = coder_of(path)
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                known = [x or b"" for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(coder.decode(known), pa.binary())], names=schema.names)
+            known = [x or b"" for x in batch.column(ids).to_pylist()]
+            start = size = 0
+            for i, own in enumerate(known):
+                size += len(own)
+                if size >= DECODE_BYTES or i == len(known) - 1:
+                    part = batch.slice(start, i + 1 - start)
+                    decoded = pa.array(coder.decode(known[start:i + 1]), pa.binary())
+                    yield pa.RecordBatch.from_arrays([*part.columns, decoded], names=schema.names)
+                    start, size = i + 1, 0
 
     return kept.mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 
-CHUNK_CHARS = 1_500_000
+CHUNK_CHARS = 400_000
 
 
 def text_chunks(
