@@ -332,7 +332,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
     pivot = F.min(F.struct("place", "sid", "n")).over(in_token)
     shared = useful.select("token", "sid", "n", "place", pivot.alias("pivot"), F.count("*").over(in_token).alias("members"))
     groups = write_table(shared.filter("members > 1").select(
-        "token", "sid", "n", "place", F.col("pivot.sid").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.place").alias("pivot_place")
+        "token", "sid", "n", "place", "members", F.col("pivot.sid").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.place").alias("pivot_place")
     ), "ngram-groups")
 
     copies = sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
@@ -363,7 +363,8 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
     stars = groups.withColumnRenamed("pivot", "other").withColumnRenamed("pivot_n", "other_n").withColumnRenamed("pivot_place", "other_place")
     links = linked(stars.filter((F.col("sid") != F.col("other")) & high).select(*as_pair).distinct())
     roots = write_table(components(links), "ngram-roots")
-    left = groups.filter(F.col("sid") != F.col("pivot")).select("token", "sid", "n", "place")
+    # Two sets are done once compared with each other.
+    left = groups.filter((F.col("sid") != F.col("pivot")) & (F.col("members") > 2)).select("token", "sid", "n", "place")
     pivots = 16
     while True:
         known = left.join(roots, left["sid"] == roots["node"], "left").select("token", "sid", "n", "place", F.coalesce("root", "sid").alias("root"))
