@@ -181,8 +181,10 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep_text: b
 
 
 def of_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are predicted to be good."""
+    """The documents that are predicted to be good; all of them if nothing could be learned."""
     model = train(docs, labels.select("doc_id", "quality").filter(~held_out(F.col("doc_id"))))
+    if not model.learned:
+        return docs
     return score(docs, model, keep_text=True).filter(F.col("predicted") == 1).select(*docs.columns)
 
 
