@@ -6,9 +6,11 @@ differences of preference pairs: a labelled good document against a labelled bad
 threshold is a quantile of the strengths: the share of bad documents among the labelled ones.
 Scores are logistic in the strength, moved so that the quantile has the score ``THRESHOLD``.
 
-The model learns from a bounded sample, about ``SAMPLE_PER_CLASS`` labelled documents of each class
-chosen by the hash of ``doc_id``, all where there are fewer; class sizes are counted over all labelled
-documents. Features read the whole text and nothing else.
+Only the weights come from a bounded sample: about ``SAMPLE_PER_CLASS`` labelled documents of each class
+chosen by the hash of ``doc_id``, all where there are fewer, and ``PAIRS`` pairs of them drawn with a fixed
+seed. Class sizes and the quantile cover all labelled documents that have words: texts are turned into
+features before they meet the labels, so no text is shuffled, and the quantile is found by histograms that
+are summed map-side and narrowed. Features read the whole text and nothing else.
 
 Edge cases: a null or empty text, or one of white space, has strength of its own and the score
 0; equal texts have equal scores; labels of unknown documents and null labels are ignored; if one class has no example,
@@ -28,12 +30,14 @@ from pyspark.sql import types as T
 
 from pixsieve.llm.chunks import text_chunks
 from pixsieve.llm.langid import held_out, letter_table
+from pixsieve.session import write_table
 
 SAMPLE_PER_CLASS = 4000
 PAIRS = 40_000
 STEPS = 300
 RIDGE = 1e-4
 THRESHOLD = 0.7
+BINS = 1024
 FEATURES = (
     "upper_share", "symbol_share", "bar_share", "digit_share", "mark_words", "repeat_next",
     "distinct_words", "mean_word", "log_words", "capital_words", "line_repeats", "stop_share",
@@ -147,20 +151,54 @@ def _with_features(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _at_rank(values: DataFrame, rank: int) -> float:
+    """The value of ``strength`` with ``rank`` smaller or equal ones before it; exact, driver state is ``BINS`` rows."""
+    low, high = values.agg(F.min("strength"), F.max("strength")).first()
+    while low < high:
+        inside = values.filter(F.col("strength").between(low, high))
+        place = F.least(F.floor((F.col("strength") - low) / (high - low) * BINS), F.lit(BINS - 1))
+        for x in inside.groupBy(place.alias("place")).agg(
+            F.count("*").alias("n"), F.min("strength").alias("low"), F.max("strength").alias("high")
+        ).orderBy("place").collect():
+            if rank < x["n"]:
+                low, high = x["low"], x["high"]
+                break
+            rank -= x["n"]
+    return float(low)
+
+
+def _strengths(labelled: DataFrame, model: QualityModel) -> DataFrame:
+    """(strength) of every row of ``labelled``, which has ``features``."""
+    shared = labelled.sparkSession.sparkContext.broadcast((model.mean, model.spread, model.weights, model.cut, model.learned))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = QualityModel(*shared.value)
+        for batch in batches:
+            rows = batch.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([pa.array(own.strength(rows))], names=["strength"])
+
+    return labelled.select("features").mapInArrow(run, "strength double")
+
+
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality)."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    sizes = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
+    rows = _with_features(docs.select("doc_id", "text"), "text").filter("some").select("doc_id", "features")
+    labelled = write_table(rows.join(known, "doc_id"), "quality-labelled")
+    sizes = {r["quality"]: r["n"] for r in labelled.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         return fit(np.zeros((0, len(FEATURES))), np.zeros((0, len(FEATURES))), 0.5)
     limit = F.lit(0)
     for value, n in sizes.items():
         limit = F.when(F.col("quality") == value, min(1_000_000, 1 + per_class * 1_000_000 // n)).otherwise(limit)
-    chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < limit)
-    sample = _with_features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "text").filter("some").toArrow()
+    sample = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < limit).orderBy("doc_id").toArrow()
     quality = sample["quality"].to_numpy()
     rows = np.array(sample["features"].to_pylist(), float).reshape(-1, len(FEATURES))
-    return fit(rows[quality == 1], rows[quality == 0], sizes[0] / (sizes[0] + sizes[1]))
+    model = fit(rows[quality == 1], rows[quality == 0], sizes[0] / (sizes[0] + sizes[1]))
+    if model.learned:
+        strengths = write_table(_strengths(labelled, model), "quality-strengths")
+        model.cut = (_at_rank(strengths, sizes[0] - 1) + _at_rank(strengths, sizes[0])) / 2
+    return model
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", keep_text: bool = False) -> DataFrame:

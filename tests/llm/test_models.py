@@ -75,3 +75,24 @@ def test_quality_edge_cases(spark, awkward):
     one_class = quality.scored(awkward, labels.filter("quality = 1")).toPandas()
     assert set(one_class.score) == {0.0, 0.5}
     assert quality.scored(awkward.limit(0), labels).count() == 0
+
+
+def test_quality_cut_covers_all_labelled_documents(spark, make_docs):
+    rng = np.random.default_rng(5)
+    words = ["The", "river", "is", "a", "road", "that", "walks", "|", "##", "77", "BUY", "now", "now"]
+    texts = [" ".join(rng.choice(words[: 7 + 2 * int(rng.integers(4))], 30)) for _ in range(400)]
+    docs = make_docs(texts)
+    quality_of = [(i, int("|" not in t and rng.random() < 0.9)) for i, t in enumerate(texts)]
+    labels = spark.createDataFrame(quality_of, "doc_id long, quality int")
+    model = quality.train(docs, labels, per_class=20)
+    scores = quality.score(docs, model).toPandas()
+    assert (scores.predicted == 0).sum() == sum(q == 0 for _, q in quality_of)
+    unknown = spark.createDataFrame([(i, 0) for i in range(1000, 1600)], "doc_id long, quality int")
+    assert quality.train(docs, labels.unionByName(unknown), per_class=20).cut == model.cut
+
+
+def test_value_at_a_rank(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BINS", 4)
+    values = [3.0, -1e9, 2.0, 2.0, 2.0, 2.0 + 1e-15, 0.5, 7e8, 2.5]
+    table = spark.createDataFrame([(v,) for v in values], "strength double")
+    assert [quality._at_rank(table, k) for k in range(len(values))] == sorted(values)
