@@ -8,8 +8,13 @@ columns over a text's n-grams, many texts at a time in NumPy.
 The counts come from a bounded sample of labelled rows: about ``SAMPLE_PER_LANG`` per language, all of
 them where there are fewer, chosen by the hash of ``doc_id``. Whole texts are counted and scored.
 
+The score compares learned languages with each other, so texts in any other language, or of junk, score high
+too. ``in_a_language`` therefore also asks how much likelier than by chance (all buckets alike) an n-gram of the text
+is in its language, on average. The floor of a language is learned from its sampled rows, each without its own
+n-grams: half their median, or their ``LOWEST`` quantile if that is less; texts of few n-grams get ``SPREADS`` standard errors.
+
 Edge cases: a text that is null or has no letter is ``und`` with score 0; rows without a language
-teach nothing; with no labelled row at all every text is ``und``; equal texts get equal results, and
+teach nothing; with no labelled row at all every text is ``und``, and ``in_a_language`` keeps all documents; equal texts get equal results, and
 equal scores go to the first language by name; other columns pass through.
 """
 
@@ -29,6 +34,8 @@ from pixsieve.llm.chunks import text_chunks
 BUCKETS = 1 << 16
 SAMPLE_PER_LANG = 4000
 SMOOTHING = 0.5
+LOWEST = 0.001
+SPREADS = 2.0
 UNDETERMINED = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,6 +80,17 @@ def letter_table() -> np.ndarray:
     return table
 
 
+@dataclass
+class Floors:
+    """Per language, the least mean advantage over chance and the spread of single n-grams."""
+
+    least: np.ndarray
+    spread: np.ndarray
+
+    def passes(self, language: np.ndarray, mean: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return mean >= self.least[language] - SPREADS * self.spread[language] / np.sqrt(np.maximum(n, 1))
+
+
 @dataclass
 class LanguageModel:
     """Languages by name and their log-probabilities, one row per bucket."""
@@ -81,7 +99,7 @@ class LanguageModel:
     prior: np.ndarray
     likelihood: np.ndarray
 
-    def predict(self, texts: list[str], letter: np.ndarray) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str], letter: np.ndarray, floors: Floors | None = None) -> tuple[list[str], np.ndarray]:
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
         buckets, owner, n_letters = gram_buckets(texts, letter)
@@ -91,20 +109,25 @@ class LanguageModel:
         best = total.argmax(axis=1)
         score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         known = n_letters > 0
+        if floors is not None:
+            n = np.bincount(owner, minlength=len(texts))
+            mean = (total.max(axis=1) - self.prior[best]) / np.maximum(n, 1) + np.log(BUCKETS)
+            known = known & floors.passes(best, mean, n)
         return [self.languages[k] if y else UNDETERMINED for k, y in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = SAMPLE_PER_LANG) -> LanguageModel:
-    """A model from the rows of ``docs`` that have a language."""
+def _sample(docs: DataFrame, text: str, lang: str, key: str, per_lang: int) -> tuple[dict[str, int], DataFrame]:
+    """(labelled rows per language, the (lang, text) to learn from)."""
     labelled = docs.filter(F.col(lang).isNotNull())
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    if not sizes:
-        return LanguageModel([], np.zeros(0), np.zeros((BUCKETS, 0), np.float32))
-    names = sorted(sizes)
     limit = F.lit(None).cast("long")
-    for name in names:
+    for name in sizes:
         limit = F.when(F.col(lang) == name, min(1_000_000, 1 + per_lang * 1_000_000 // sizes[name])).otherwise(limit)
-    chosen = labelled.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    return sizes, labelled.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+
+
+def _counts(chosen: DataFrame, names: list[str]) -> np.ndarray:
+    """How often each bucket occurs in each language (buckets x languages)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter, sums = letter_table(), np.zeros((len(names), BUCKETS), np.int64)
@@ -117,34 +140,83 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         data = [lang_of.astype(np.int32), bucket.astype(np.int32), sums[lang_of, bucket]]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in data], names=["lang", "bucket", "n"])
 
-    counts = chosen.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    table = counts.toArrow()
-    matrix = np.full((BUCKETS, len(names)), SMOOTHING)
-    matrix[table["bucket"].to_numpy(), table["lang"].to_numpy()] += table["n"].to_numpy()
+    table = chosen.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    matrix = np.zeros((BUCKETS, len(names)))
+    matrix[table["bucket"].to_numpy(), table["lang"].to_numpy()] = table["n"].to_numpy()
+    return matrix
+
+
+def _model(sizes: dict[str, int], names: list[str], counts: np.ndarray) -> LanguageModel:
+    matrix = counts + SMOOTHING
     prior = np.log(np.array([sizes[n] for n in names]) / sum(sizes.values()))
     return LanguageModel(names, prior, np.log(matrix / matrix.sum(axis=0)))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False) -> DataFrame:
-    """``docs``, without ``text`` unless it is to be kept, plus ``lang_pred`` and ``score``."""
+def _floors(chosen: DataFrame, names: list[str], counts: np.ndarray) -> Floors:
+    """Learned from the rows that were counted, each as if it had not been."""
+    shared = chosen.sparkSession.sparkContext.broadcast(counts)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        letter, own = letter_table(), shared.value
+        at, totals = {n: i for i, n in enumerate(names)}, own.sum(axis=0)
+        for rows, texts in text_chunks(batches, "text"):
+            which = np.array([at[x] for x in rows.column("lang").to_pylist()])
+            buckets, owner, _ = gram_buckets(texts, letter)
+            grams, times = np.unique(owner * BUCKETS + buckets, return_counts=True)
+            owner, buckets = grams // BUCKETS, grams % BUCKETS
+            n = np.bincount(owner, times, len(texts))
+            rest = own[buckets, which[owner]] - times + SMOOTHING
+            gain = np.log(rest * BUCKETS / (totals[which] - n + SMOOTHING * BUCKETS)[owner])
+            some = n > 0
+            mean, square = (np.bincount(owner, times * x, len(texts))[some] / n[some] for x in (gain, gain * gain))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (which[some].astype(np.int32), mean, square - mean * mean)], names=["lang", "mean", "spread"])
+
+    table = chosen.mapInArrow(judge, "lang int, mean double, spread double").toArrow()
+    lang_of, mean, spread = (table[c].to_numpy() for c in ("lang", "mean", "spread"))
+    out = Floors(np.full(len(names), -np.inf), np.zeros(len(names)))
+    for k in range(len(names)):
+        own = lang_of == k
+        if own.any():
+            out.least[k] = min(np.median(mean[own]) / 2, np.quantile(mean[own], LOWEST))
+            out.spread[k] = np.sqrt(max(0.0, spread[own].mean()))
+    return out
+
+
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = SAMPLE_PER_LANG) -> LanguageModel:
+    """A model from the rows of ``docs`` that have a language."""
+    sizes, chosen = _sample(docs, text, lang, key, per_lang)
+    if not sizes:
+        return LanguageModel([], np.zeros(0), np.zeros((BUCKETS, 0), np.float32))
+    names = sorted(sizes)
+    return _model(sizes, names, _counts(chosen, names))
+
+
+def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False, floors: Floors | None = None) -> DataFrame:
+    """``docs``, without ``text`` unless it is to be kept, plus ``lang_pred`` and ``score``; texts below ``floors`` are ``und``."""
     kept = docs.drop("lang_pred", "score")
     rest = [f for f in kept.schema if keep_text or f.name != text]
     schema = T.StructType([*rest, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.likelihood))
+    limits = None if floors is None else (floors.least, floors.spread)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter, own = letter_table(), LanguageModel(*shared.value)
+        least = None if limits is None else Floors(*limits)
         for rows, texts in text_chunks(batches, text):
-            names, score = own.predict(texts, letter)
+            names, score = own.predict(texts, letter, least)
             yield pa.RecordBatch.from_arrays([*[rows.column(f.name) for f in rest], pa.array(names), pa.array(score)], names=schema.names)
 
     return kept.mapInArrow(run, schema)
 
 
 def in_a_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents that are in one of the learned languages with a score of ``least`` or more."""
-    model = train(docs.filter(~held_out(F.col("doc_id"))))
-    known = predict(docs, model, keep_text=True)
+    """The documents that are in one of the learned languages, with a score of ``least`` or more; all if none was learned."""
+    sizes, chosen = _sample(docs.filter(~held_out(F.col("doc_id"))), "text", "lang", "doc_id", SAMPLE_PER_LANG)
+    if not sizes:
+        return docs
+    names = sorted(sizes)
+    counts = _counts(chosen, names)
+    known = predict(docs, _model(sizes, names, counts), keep_text=True, floors=_floors(chosen, names, counts))
     return known.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
 
 

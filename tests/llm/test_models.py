@@ -96,3 +96,22 @@ def test_value_at_a_rank(spark, monkeypatch):
     values = [3.0, -1e9, 2.0, 2.0, 2.0, 2.0 + 1e-15, 0.5, 7e8, 2.5]
     table = spark.createDataFrame([(v,) for v in values], "strength double")
     assert [quality._at_rank(table, k) for k in range(len(values))] == sorted(values)
+
+
+def test_stage_rejects_unlearned_languages_and_junk(spark, make_docs):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = np.random.default_rng(3)
+    odd = [
+        "Все люди рождаются свободными и равными в своём достоинстве и правах.",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400)),
+    ]
+    strangers = make_docs([(t, None, "s0") for t in odd], start=10_000_000).select(docs.columns)
+    kept = langid.in_a_language(docs.unionByName(strangers))
+    assert kept.filter("doc_id >= 10000000").count() == 0
+    assert kept.count() == langid.identified(docs).filter("lang_pred <> 'und' AND score >= 0.5").count()
+
+
+def test_stage_keeps_all_when_no_language_was_learned(spark, make_docs):
+    docs = make_docs([("some words", None, "s0"), ("123", None, "s0"), (None, None, "s0")])
+    assert langid.in_a_language(docs).count() == 3
