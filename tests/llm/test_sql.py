@@ -1,0 +1,30 @@
+"""Queries with SQL against DuckDB on the smallest tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+from pixsieve.llm.queries import ORACLE_SQL, QUERIES
+
+SF = "/root/testdata/sf0.001"
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+
+
+@pytest.fixture(scope="module")
+def tables():
+    con = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_same_rows(spark, tables, name):
+    df = QUERIES[name](spark, SF)
+    expected = tables.execute(ORACLE_SQL[name])
+    columns = {d[0]: str(d[1]) for d in expected.description}
+    assert {c: TYPES[t] for c, t in df.dtypes} == columns
+    want = sorted(map(repr, expected.fetchall()))
+    got = sorted(repr(tuple(r)) for r in df.select(*columns).collect())
+    assert got == want and len(got) > 0
