@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pixsieve.llm import bpe, centroids, chat, fingerprints, html_text, langid, lines, ngram_join, packing, quality, sharding, topk
+from pixsieve.llm import bpe, centroids, chat, fingerprints, html_text, langid, lines, ngram_join, packing, phrases, quality, sharding, topk
 
 
 def _rounds_sql(rounds: int) -> str:
@@ -92,6 +92,10 @@ def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_messages(rows.withColumn("parts", chat.text_part(F.col("text")))))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered(_table(spark, sf_dir, "embeddings"))
 
@@ -108,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
     "op11_chat_format": op11_chat_format,
+    "op12_phrases": op12_phrases,
     "op13_centroids": op13_centroids,
 }
 
@@ -171,6 +176,43 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, written)) AS loss_sha256,
        CAST(sum(length(name) + length(written) + 24) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id
+""",
+    "op12_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS MATERIALIZED (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces
+), f AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM (
+      SELECT lang, ws, size, unnest(generate_series(1, len(ws) - size + 1)) AS i
+      FROM w CROSS JOIN (VALUES (1), (2), (3)) sizes(size) WHERE len(ws) >= size
+    )
+  ) GROUP BY lang, size, phrase
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang
+), c AS MATERIALIZED (
+  SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, phrase, size, ws, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:size], ' ') AS y
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c)
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.size, cuts.a, cuts.k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * cuts.a * cuts.a // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = cuts.x JOIN f r ON r.lang = cuts.lang AND r.phrase = cuts.y
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, cuts.k) = 1
+), held AS (
+  SELECT lang, phrase, max(a) AS longest FROM (
+    SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, a
+    FROM (SELECT lang, ws, a, unnest([1, 2]) AS i FROM c WHERE size = 3)
+  ) GROUP BY lang, phrase
+), alone AS (
+  SELECT s.* FROM scored s LEFT JOIN held h ON s.lang = h.lang AND s.phrase = h.phrase
+  WHERE h.longest IS NULL OR 100 * h.longest < 50 * s.a
+)
+SELECT alone.lang, row_number() OVER (PARTITION BY alone.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM alone JOIN n ON alone.lang = n.lang QUALIFY rank <= 2000
 """,
     "op13_centroids": f"""
 WITH v AS MATERIALIZED (
