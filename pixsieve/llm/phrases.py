@@ -34,7 +34,9 @@ from pixsieve.session import write_table
 
 SHARD_WORDS = 1 << 21
 BREAK = b"\n"
+STEP_ROWS = 1 << 18
 OUT_ROWS = 200_000
+MOST_PARTITIONS = 20_000
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
 _CODEC = "zstd"
 
@@ -53,19 +55,20 @@ def _row_order(ids: np.ndarray, depth: int) -> np.ndarray:
         if bits + step > 62:
             key = np.unique(key, return_inverse=True)[1]
             bits = max(1, int(key.max()).bit_length())
-        key = (key << step) | np.roll(ids, -k)
+        key <<= step
+        key |= np.roll(ids, -k)
         bits += step
-    return np.argsort(key, kind="stable")
+    return np.argsort(key, kind="stable").astype(np.int32)
 
 
 class Transform:
     """Transform of one direction: the symbol before each row, and the row of the text one symbol earlier."""
 
     def __init__(self, ids: np.ndarray, depth: int):
-        places = _row_order(ids, depth)
+        before = _row_order(ids, depth)
         row_of = np.empty(len(ids), np.int32)
-        row_of[places] = np.arange(len(ids), dtype=np.int32)
-        before = places - 1
+        row_of[before] = np.arange(len(ids), dtype=np.int32)
+        before -= 1
         self.symbols = ids[before]
         self.earlier = row_of[before]
 
@@ -79,7 +82,7 @@ class Phrases:
     def __len__(self) -> int:
         return len(self.size)
 
-    def only(self, chosen: np.ndarray) -> Phrases:
+    def only(self, chosen: np.ndarray | slice) -> Phrases:
         return Phrases(self.low[chosen], self.reverse_low[chosen], self.size[chosen], self.words[chosen])
 
 
@@ -87,10 +90,15 @@ class ShardIndex:
     """Bidirectional index of word ids; id 0 separates pieces and belongs to no phrase."""
 
     def __init__(self, ids: np.ndarray, depth: int):
-        self.forward, self.reverse = Transform(ids, depth), Transform(ids[::-1], depth)
-        counts = np.bincount(ids)
-        self._first = np.cumsum(counts) - counts
-        self._counts = counts
+        self._ids, self._depth = ids, depth
+        self._transforms: dict[bool, Transform] = {}
+        self._counts = np.bincount(ids)
+        self._first = np.cumsum(self._counts) - self._counts
+
+    def _transform(self, leftwards: bool) -> Transform:
+        if leftwards not in self._transforms:
+            self._transforms[leftwards] = Transform(self._ids if leftwards else self._ids[::-1], self._depth)
+        return self._transforms[leftwards]
 
     def words(self, chosen: np.ndarray) -> Phrases:
         """Phrases of one word each; ``chosen`` ascends."""
@@ -98,14 +106,21 @@ class ShardIndex:
         return Phrases(first, first.copy(), self._counts[chosen], chosen[:, None].astype(np.int32))
 
     def extended(self, phrases: Phrases, leftwards: bool) -> Phrases:
-        """All phrases with one more word on that side, grouped by phrase and new word."""
-        transform = self.forward if leftwards else self.reverse
+        """All phrases with one more word on that side; worked out for runs of phrases with ``STEP_ROWS`` rows or so."""
+        runs = np.cumsum(phrases.size) // STEP_ROWS
+        edges = [0, *(np.flatnonzero(runs[1:] != runs[:-1]) + 1), len(phrases)]
+        parts = [self._extended(phrases.only(slice(a, b)), leftwards) for a, b in zip(edges, edges[1:], strict=False)]
+        return Phrases(*(np.concatenate([getattr(p, n) for p in parts]) for n in ("low", "reverse_low", "size", "words")))
+
+    def _extended(self, phrases: Phrases, leftwards: bool) -> Phrases:
+        """The rows of each phrase grouped by the word beside it."""
+        transform = self._transform(leftwards)
         own, other = (phrases.low, phrases.reverse_low) if leftwards else (phrases.reverse_low, phrases.low)
         begins = np.cumsum(phrases.size) - phrases.size
         label = np.repeat(np.arange(len(phrases)), phrases.size)
         rows = np.arange(len(label)) + np.repeat(own - begins, phrases.size)
         symbol = transform.symbols[rows]
-        order = np.argsort(label * (int(self._counts.size) + 1) + symbol, kind="stable")
+        order = np.argsort(label * len(self._counts) + symbol, kind="stable")
         label, symbol, rows = label[order], symbol[order], rows[order]
         fresh = np.ones(len(label), bool)
         fresh[1:] = (label[1:] != label[:-1]) | (symbol[1:] != symbol[:-1])
@@ -264,9 +279,9 @@ def _spelled(depth: int):
     return run, "lang string, phrase string, n long"
 
 
-def _with_live(shards: DataFrame, numbers: DataFrame, name: str) -> DataFrame:
+def _with_live(shards: DataFrame, numbers: DataFrame, name: str, partitions: int) -> DataFrame:
     """``shards`` with the numbers of their frequent phrases; as many as a shard has phrases at most."""
-    lists = numbers.groupBy("shard").agg(F.collect_list("number").alias(name))
+    lists = numbers.repartition(partitions, "shard").groupBy("shard").agg(F.collect_list("number").alias(name))
     return shards.join(lists, "shard", "left").withColumn(name, F.coalesce(name, F.array().cast("array<int>")))
 
 
@@ -280,13 +295,15 @@ def phrase_counts(docs: DataFrame, least: int = 10, depth: int = 3) -> tuple[Dat
     total = F.sum("n").over(Window.partitionBy("lang", "phrase"))
     frequent = write_table(words.withColumn("f", total).filter(F.col("f") >= least).select("lang", "phrase", "f", "shard", "number"), "phrase-words")
     sizes = shards.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
-    known = shards.select("shard", "lang", "words", "n_ids", "ids")
+    # A shard is a row of some MB, so a task gets about one of them.
+    partitions = max(1, min(shards.count(), MOST_PARTITIONS))
+    known = shards.select("shard", "lang", "words", "n_ids", "ids").repartition(partitions, "shard")
     live = {1: frequent.select("shard", "number")}
 
     def given() -> DataFrame:
         out = known
         for length, numbers in live.items():
-            out = _with_live(out, numbers, f"live{length}")
+            out = _with_live(out, numbers, f"live{length}", partitions)
         return out
 
     for length in range(2, depth):
