@@ -11,7 +11,8 @@ rounds over the whole table:
 * rows with the same vector form one group (found by content hash, pre-aggregated), and all
   vector products are between groups, so exact copies cost one vector however many there are;
 * groups without neighbours and without copies survive and leave at once; copies without other
-  neighbours are settled by a running maximum, cut into bounded chunks;
+  neighbours, and large components in which every row is similar to every other, have one kept row at any
+  time and are settled by a running maximum, cut into bounded chunks, whatever the order of their qualities;
 * a kept row is certain to be alive up to its first undecided better neighbour, and a row can
   be decided as soon as its first kept neighbour is certain and no earlier undecided row could
   come before it. Every round decides all such rows. Among copies in no particular order of
@@ -19,8 +20,8 @@ rounds over the whole table:
 
 Rows of different components of the similarity graph never meet, so each round also replays the
 next ``tail_rows`` undecided rows of every component in input order, small components together, in many
-tasks of bounded size. That settles every component of up to ``tail_rows`` rows at once; a larger one takes
-at most its size divided by ``tail_rows`` rounds, however its qualities are ordered.
+tasks of bounded size. That settles every component of up to ``tail_rows`` rows at once; a larger one that is not
+complete takes at most its size divided by ``tail_rows`` rounds, however its qualities are ordered.
 
 Kept rows that died before the first undecided row of their component are forgotten, and new
 kept rows are compared once, with the groups that still have undecided rows.
@@ -91,35 +92,41 @@ class _Growing:
         return self.spark.read.schema(f"{self.layout}, part int").parquet(self.path).drop("part")
 
 
-def _settle_copies(members: DataFrame) -> DataFrame:
-    """The rule for groups of equal vectors that neighbour nothing else, without rounds.
+def _settle_complete(members: DataFrame, contested: DataFrame) -> DataFrame:
+    """The rule for components in which all rows are similar to each other, without rounds.
 
-    There the kept row is always the first one with the highest quality so far. A group is cut
+    There the kept row is always the first one with the highest quality so far. A component is cut
     into chunks of ``CHUNK_ROWS`` row numbers: windows run inside a chunk and over the bests of
-    the chunks, so no task holds a group.
+    the chunks, so no task holds a component.
     """
     cut = members.withColumn("chunk", F.floor(F.col("idx") / CHUNK_ROWS))
     # NaN wins against nothing, and nothing wins against a NaN that came first.
-    rank = F.when(~F.isnan("q"), F.col("q")).when(F.col("idx") == F.col("gid"), INFINITE).otherwise(-INFINITE)
-    standing = cut.withColumn("s", F.struct(rank.alias("rank"), (-F.col("idx")).alias("neg"), "q"))
-    bests = standing.groupBy("gid", "chunk").agg(F.max("s").alias("best"))
-    chunks = Window.partitionBy("gid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    before = bests.select("gid", "chunk", F.max("best").over(chunks).alias("before"))
-    inside = Window.partitionBy("gid", "chunk").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.when(~F.isnan("q"), F.col("q")).when(F.col("idx") == F.col("comp"), INFINITE).otherwise(-INFINITE)
+    standing = cut.withColumn("s", F.struct(rank.alias("rank"), (-F.col("idx")).alias("neg"), "q", "gid"))
+    bests = standing.groupBy("comp", "chunk").agg(F.max("s").alias("best"))
+    chunks = Window.partitionBy("comp").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = bests.select("comp", "chunk", F.max("best").over(chunks).alias("before"))
+    inside = Window.partitionBy("comp", "chunk").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     holder = F.greatest("before", F.max("s").over(inside))
-    held = standing.join(before, ["gid", "chunk"]).withColumn("h", holder).filter("h is not null")
-    return _pairs_of(held.select(
-        "idx", "q", (-F.col("h.neg")).alias("k"), F.col("h.q").alias("q_k"),
-        F.lit(1.0).alias("similarity"),
+    held = standing.join(before, ["comp", "chunk"]).withColumn("h", holder).filter("h is not null")
+    held = write_table(held.select(
+        "idx", "q", "gid", F.col("h.gid").alias("other"), (-F.col("h.neg")).alias("k"), F.col("h.q").alias("q_k"),
         F.when(_beats(F.col("q"), F.col("h.q")), "wins").otherwise("loses").alias("fate"),
-    ))
+    ), "held")
+    copies = held.filter("gid = other").withColumn("similarity", F.lit(1.0))
+    others = held.filter("gid <> other")
+    cosines = sim.checked(others.select("gid", "other").distinct(), contested, -INFINITE)
+    return _pairs_of(copies.unionByName(others.join(cosines, ["gid", "other"])))
 
 
-def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows: int):
+def _prepare(
+    df: DataFrame, vector: str, threshold: float, block: int, cell_rows: int, tail_rows: int = TAIL_ROWS
+):
     """Contested groups with their vectors, and their rows.
 
-    A group is ``alone`` if it has copies but no other neighbours. ``comp`` is the component of a
-    row, ``pos`` a row number that counts through the components in input order.
+    ``comp`` is the component of a row, ``pos`` a row number that counts through the components in
+    input order. A component is ``complete`` if all its rows are similar to each other and it either is a single group
+    of copies or has more than ``tail_rows`` rows (smaller ones take one replay).
     """
     units = write_table(
         sim.unit_vectors(df, vector, threshold).withColumn("key", F.sha2("unit", 256)), "units"
@@ -132,24 +139,31 @@ def _prepare(df: DataFrame, vector: str, threshold: float, block: int, cell_rows
     )
     vectors = write_table(sim.assign_cells(representatives, pivots, threshold), "vectors")
     links = write_table(sim.neighbour_links(vectors, threshold, block), "links")
-    nearest = links.groupBy("gid").agg(F.min("nbr").alias("nbr"))
+    nearest = links.groupBy("gid").agg(F.min("nbr").alias("nbr"), F.sum("ends").alias("ends"))
     roots = components(links.select(F.col("gid").alias("a"), F.col("nbr").alias("b"))).withColumnRenamed("node", "gid")
     contested = write_table(
         vectors.join(nearest, "gid", "left")
         .filter(F.col("nbr").isNotNull() | (F.col("copies") > 1))
-        .withColumns({"lb": F.least("gid", "nbr"), "alone": F.col("nbr").isNull()})
+        .withColumn("lb", F.least("gid", "nbr"))
         .withColumn("parts", _hot_parts(F.col("copies"), rows)).drop("nbr")
         .join(roots, "gid", "left").withColumn("comp", F.coalesce("root", "gid")).drop("root"),
         "contested",
     )
+    # Similar pairs of a component against all its pairs: ``ends`` counts each from both sides.
+    whole = contested.groupBy("comp").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("ends", F.lit(0))).alias("ends"), F.sum("copies").alias("rows")
+    ).select("comp", (
+        (F.col("n") == 1) | ((F.col("ends") == F.col("n") * (F.col("n") - 1)) & (F.col("rows") > tail_rows))
+    ).alias("complete"))
+    contested = write_table(contested.drop("ends").join(whole, "comp"), "contested")
     # Keys with more than a thousandth of all rows: at most a thousand, so they broadcast.
     hot = F.broadcast(contested.filter("parts > 1").select("key", "parts"))
     salted = units.select("idx", "q", "key").join(hot, "key", "left").withColumn(
         "salt", F.pmod(F.xxhash64("idx"), F.coalesce("parts", F.lit(1))).cast("int")
     ).drop("parts")
     members = salted.join(
-        _salted(contested.select("key", "gid", "parts", "lb", "alone", "comp")), ["key", "salt"]
-    ).select("idx", "q", "gid", "salt", "lb", "alone", "comp")
+        _salted(contested.select("key", "gid", "parts", "lb", "complete", "comp")), ["key", "salt"]
+    ).select("idx", "q", "gid", "salt", "lb", "complete", "comp")
     members = write_table(dense_index(members, ["comp", "idx"], "pos"), "members")
     return contested, members
 
@@ -369,16 +383,16 @@ def find_duplicates(
     )
     if threshold > 1:
         return spark.createDataFrame([], _PAIR_LAYOUT)
-    contested, members = _prepare(items, "vector", threshold, block, cell_rows)
+    contested, members = _prepare(items, "vector", threshold, block, cell_rows, tail_rows)
     # Tables that grow by a part each round.
     found = _Growing(spark, "pairs", _PAIR_LAYOUT)
     edges = _Growing(spark, "edges", "gid bigint, other bigint, similarity double")
     compared = _Growing(spark, "compared", "gid bigint")
 
     if threshold > 0:
-        if not contested.filter("alone").isEmpty():
-            found.add(_settle_copies(members.filter("alone")))
-        contested, members = contested.filter("not alone"), members.filter("not alone")
+        if not contested.filter("complete").isEmpty():
+            found.add(_settle_complete(members.filter("complete"), contested.filter("complete")))
+        contested, members = contested.filter("not complete"), members.filter("not complete")
     # The first row of a neighbourhood has nothing before it and is kept.
     state = _Tables(
         undecided=members.filter("idx <> lb").select("idx", "q", "gid", "salt", "comp", "pos"),

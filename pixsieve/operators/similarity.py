@@ -5,6 +5,13 @@ most ``r = sqrt(2 - 2t)`` apart, so if their homes differ, each lies within ``r`
 halfway between the two pivots. A vector is therefore copied only to the cells whose halfway
 plane is that near; all other cells are pruned without losing a pair. A cell, however full, is
 cut into tiles of at most ``block`` rows a side, so no task sees an unbounded group.
+
+Inside a tile most products are never finished. By Cauchy-Schwarz on the parts of two unit vectors,
+``a.b <= a'.b' + |a''||b''|`` for any cut into a head and a tail, so one product of heads with the tail's
+norm as a last component bounds the cosine. Only pairs whose bound reaches the threshold are multiplied out.
+
+``approximate_pairs`` is the one function here that may miss a pair: it compares only vectors that share the
+signs of some hyperplanes. Nothing uses it unless it is called.
 """
 
 from collections.abc import Callable, Iterator
@@ -14,12 +21,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pixsieve.session import write_table
+
 # A tile holds at most two blocks: 2 x 128 MB for vectors of 512 doubles. Larger blocks mean fewer
 # copies of each row in the shuffle, as a row goes to as many tiles as its cell has blocks.
 BLOCK_ROWS = 32768
 CELL_ROWS = 65536
 MAX_PIVOTS = 512
 STRIP = 512
+# Of vectors without clusters a head of a share h leaves a bound of about 1 - h, which has to stay clear of the
+# threshold. Heads outside these limits are not worth a product of their own.
+LEAST_HEAD, MOST_HEAD, HEAD_MARGIN = 0.25, 0.75, 0.15
+MIN_HEAD = 8
+# Above this share of pairs within the bound a whole strip is multiplied out at once.
+SPARSE = 1 / 16
+PAIR_VALUES = 1 << 20
 _SLACK = 1e-9
 _TILE = ["cell", "a", "b", "gid", "value", "unit"]
 
@@ -110,22 +126,68 @@ def assign_cells(vectors: DataFrame, pivots: np.ndarray, threshold: float) -> Da
     return vectors.mapInArrow(convert, f"{layout}, home int, outer array<int>")
 
 
+def head_size(dims: int, threshold: float) -> int:
+    """Components in a head; 0 where bounds would not pay."""
+    share = max(LEAST_HEAD, 1 - threshold + HEAD_MARGIN)
+    head = int(dims * share)
+    return head if share <= MOST_HEAD and head >= MIN_HEAD else 0
+
+
+def _with_tail_norm(matrix: np.ndarray, head: int) -> np.ndarray:
+    """The first ``head`` components and the norm of the others, in single precision."""
+    tail = np.sqrt((matrix[:, head:] ** 2).sum(axis=1))
+    return np.concatenate([matrix[:, :head], tail[:, None]], axis=1).astype(np.float32)
+
+
+def _bound_error(head: int) -> float:
+    """How far a bound in single precision can be too small.
+
+    Rounding both factors, the products and their sum in any order changes a sum of n = ``head`` + 1 products by less
+    than (n + 3) units of 2**-24 of the sum of their absolute values, which is 1 at most for unit vectors.
+    """
+    return (head + 8) * 2.0**-24
+
+
+def _exact(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of single pairs, each summed in one fixed order."""
+    step = max(1, PAIR_VALUES // a.shape[1])
+    parts = [(a[i[k:k + step]] * b[j[k:k + step]]).sum(axis=1) for k in range(0, len(i), step)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
 def products(
-    a: np.ndarray, b: np.ndarray, threshold: float
+    a: np.ndarray, b: np.ndarray, threshold: float, counts: dict | None = None
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Strips of ``a @ b.T`` with their hits.
+    """Strips of ``a @ b.T`` with their hits; a product that cannot be a hit may be left at 0.
 
     A product within rounding of the threshold is summed again in one fixed order, so a pair
-    gets the same answer in every tile it is looked at.
+    gets the same answer in every tile it is looked at. ``counts`` collects how many ``pairs`` there were and
+    how many of them were ``multiplied`` out.
     """
+    head = head_size(a.shape[1], threshold) if len(a) else 0
+    bounded = head > 0
+    if bounded:
+        heads, least = _with_tail_norm(b, head).T, np.float32(threshold - _SLACK - _bound_error(head))
     for start in range(0, len(a), STRIP):
         strip = a[start:start + STRIP]
-        sims = strip @ b.T
-        hits = sims >= threshold - _SLACK
-        if hits.any():
-            i, j = np.nonzero(hits & (sims < threshold + _SLACK))
-            sims[i, j] = (strip[i] * b[j]).sum(axis=1)
+        near = _with_tail_norm(strip, head) @ heads >= least if bounded else None
+        multiplied = len(strip) * len(b)
+        if near is not None and np.count_nonzero(near) <= SPARSE * near.size:
+            i, j = np.nonzero(near)
+            sims, hits = np.zeros(near.shape), np.zeros(near.shape, dtype=bool)
+            sims[i, j] = _exact(strip, b, i, j)
             hits[i, j] = sims[i, j] >= threshold
+            multiplied = len(i)
+        else:
+            sims = strip @ b.T
+            hits = sims >= threshold - _SLACK
+            if hits.any():
+                i, j = np.nonzero(hits & (sims < threshold + _SLACK))
+                sims[i, j] = _exact(strip, b, i, j)
+                hits[i, j] = sims[i, j] >= threshold
+        if counts is not None:
+            counts["pairs"] = counts.get("pairs", 0) + len(strip) * len(b)
+            counts["multiplied"] = counts.get("multiplied", 0) + multiplied
         yield start, sims, hits
 
 
@@ -163,18 +225,22 @@ class _Forest:
 
 
 def _tile_links(threshold: float) -> Callable:
-    """Per vector of a tile its smallest neighbour, and what else is needed to connect the tile."""
+    """Per vector of a tile its smallest neighbour, and what else is needed to connect the tile.
+
+    ``ends`` counts the ends of the pairs found, on the row of the left vector: ``value`` of the right one each.
+    """
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left, right = left.sort_by("gid"), right.sort_by("gid")
         lid, rid = left["gid"].to_numpy(), right["gid"].to_numpy()
-        a, b = [], []
+        a, b, ends = [], [], []
         if len(lid) and len(rid):
             every = np.unique(np.concatenate([lid, rid]))
             lat, rat = np.searchsorted(every, lid), np.searchsorted(every, rid)
             forest = _Forest(len(every))
             _, mine, theirs = np.intersect1d(lid, rid, return_indices=True)
             seen = np.zeros(len(rid), dtype=bool)
+            crossing = right["value"].to_numpy() == 2
             for start, _, hits in products(matrix_of(left["unit"]), matrix_of(right["unit"]), threshold):
                 here = (mine >= start) & (mine < start + len(hits))
                 hits[mine[here] - start, theirs[here]] = False
@@ -186,6 +252,10 @@ def _tile_links(threshold: float) -> Callable:
                 first, then = hits[rows].argmax(axis=1), hits[:, columns].argmax(axis=0)
                 a += [lid[start + rows], rid[columns]]
                 b += [rid[first], lid[start + then]]
+                found = hits[rows].sum(axis=1)
+                if crossing.any():
+                    found += hits[rows][:, crossing].sum(axis=1)
+                ends += [found, np.zeros(len(columns), np.int64)]
                 forest.join(lat[start + rows], rat[first])
                 forest.join(rat[columns], lat[start + then])
                 apart = forest.root[lat[start:start + len(hits)]][:, None] != forest.root[rat][None, :]
@@ -193,8 +263,9 @@ def _tile_links(threshold: float) -> Callable:
                 more = forest.join(lat[start + i], rat[j])
                 a.append(lid[start + i[more]])
                 b.append(rid[j[more]])
-        joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b)]
-        return pa.table({"gid": joined[0].astype(np.int64), "nbr": joined[1].astype(np.int64)})
+                ends.append(np.zeros(np.count_nonzero(more), np.int64))
+        joined = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b, ends)]
+        return pa.table({n: x.astype(np.int64) for n, x in zip(("gid", "nbr", "ends"), joined)})
 
     return run
 
@@ -288,16 +359,19 @@ def _everywhere(vectors: DataFrame, lower_only: bool) -> DataFrame:
 
 
 def neighbour_links(vectors: DataFrame, threshold: float, block: int = BLOCK_ROWS) -> DataFrame:
-    """``gid, nbr``: some neighbours of every vector, the smallest gid among them.
+    """``gid, nbr, ends``: some neighbours of every vector, the smallest gid among them.
 
     The links connect exactly what the table of all similar pairs would connect. A tile emits at
-    most three rows per vector, never one per pair.
+    most three rows per vector, never one per pair. Over all rows of a component ``ends`` adds up to
+    twice the number of its similar pairs.
     """
     valued = vectors.withColumn("value", F.col("gid"))
     left = valued.withColumn("cell", F.col("home"))
-    return _meet(
-        left, _everywhere(valued, lower_only=True), _tile_links(threshold), "gid bigint, nbr bigint", block
+    # Pairs inside a home cell are met from both sides, the others once.
+    right = _everywhere(valued, lower_only=True).withColumn(
+        "value", F.when(F.col("cell") == F.col("home"), 1).otherwise(2).cast("bigint")
     )
+    return _meet(left, right, _tile_links(threshold), "gid bigint, nbr bigint, ends bigint", block)
 
 
 def smallest_neighbours_among(
@@ -322,3 +396,98 @@ def similar_pairs(
         _everywhere(right.withColumn("value", zero), lower_only=False),
         _all_pairs(threshold), "gid bigint, other bigint, similarity double", block,
     )
+
+
+def hyperplanes(count: int, dims: int) -> np.ndarray:
+    """``count`` normals with whole components from -1000 to 1000, by arithmetic modulo a prime."""
+    prime = 2**31 - 1
+    n, p = np.arange(count, dtype=np.int64)[:, None], np.arange(dims, dtype=np.int64)[None, :]
+    mixed = (n * 7919 + p * 104729 + 12345) % prime
+    for _ in range(2):
+        mixed = (mixed * mixed + n + 1) % prime
+    return (mixed % 2001 - 1000).astype(np.float64)
+
+
+def sign_codes(units: DataFrame, bands: int, bits: int) -> DataFrame:
+    """``gid, codes``: per band one number made of the sides of ``bits`` hyperplanes a vector is on."""
+    weights = 1 << np.arange(bits, dtype=np.int64)
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        normals = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            matrix = matrix_of(batch.column("unit"))
+            if normals is None:
+                normals = hyperplanes(bands * bits, matrix.shape[1])
+            sides = (matrix @ normals.T > 0).reshape(len(matrix), bands, bits)
+            codes = (sides @ weights).astype(np.int64).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * bands), pa.array(codes))
+            yield pa.RecordBatch.from_arrays([batch.column("gid"), lists], names=["gid", "codes"])
+
+    return units.select("gid", "unit").mapInArrow(convert, "gid bigint, codes array<bigint>")
+
+
+def checked(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """``gid, other, similarity`` of the given pairs that are similar."""
+    def side(name: str) -> DataFrame:
+        return units.select(F.col("gid").alias(name), F.col("unit").alias(f"{name}_unit"))
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            sims = (matrix_of(batch.column(2)) * matrix_of(batch.column(3))).sum(axis=1)
+            table = pa.table({"gid": batch.column(0), "other": batch.column(1), "similarity": sims})
+            yield from table.filter(pa.array(sims >= threshold)).combine_chunks().to_batches()
+
+    met = pairs.join(side("gid"), "gid").join(side("other"), "other")
+    return met.select("gid", "other", "gid_unit", "other_unit").mapInArrow(convert, "gid bigint, other bigint, similarity double")
+
+
+def _full_buckets(entries: DataFrame, sizes: DataFrame, units: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Similar pairs inside buckets, each cut into parts of about ``block`` rows that meet two at a time."""
+    key = ["band", "code", "a", "b"]
+    members = entries.join(sizes.withColumn("parts", F.ceil(F.col("n") / block).cast("int")), ["band", "code"])
+    members = members.withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")).cast("int")).join(units.select("gid", "unit"), "gid")
+    left = members.withColumn("a", F.col("part")).withColumn("b", F.explode(F.sequence("part", F.col("parts") - 1)))
+    right = members.withColumn("b", F.col("part")).withColumn("a", F.explode(F.sequence(F.lit(0), "part")))
+    pairs_of = _all_pairs(threshold)
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = pairs_of(left, right.rename_columns([*key, "gid", "unit"]))
+        gid, other = found["gid"].to_numpy(), found["other"].to_numpy()
+        # In the tile of a part with itself every pair shows up twice.
+        keep = gid < other if left.num_rows and left["a"][0] == left["b"][0] else gid != other
+        table = pa.table({"gid": np.minimum(gid, other), "other": np.maximum(gid, other), "similarity": found["similarity"]})
+        return table.filter(pa.array(keep))
+
+    renamed = right.select(*[F.col(c).alias(f"r_{c}") for c in (*key, "gid", "unit")])
+    return left.select(*key, "gid", "unit").groupBy(*key).cogroup(renamed.groupBy(*[f"r_{c}" for c in key])).applyInArrow(
+        meet, "gid bigint, other bigint, similarity double"
+    )
+
+
+def approximate_pairs(
+    units: DataFrame, threshold: float, bands: int = 40, bits: int = 16, bucket_rows: int = 64, block: int = BLOCK_ROWS
+) -> DataFrame:
+    """``gid, other, similarity`` (gid < other) of most pairs with cosine >= threshold; a pair may be missed, none is wrong.
+
+    Vectors at an angle t agree in a band with probability (1 - t / pi) ** bits; pairs that agree in any of the bands
+    are compared exactly. At the defaults 0.9997 of the pairs at cosine 0.95 are expected, more above it.
+
+    Vectors meet by (band, code) as narrow rows without payload. A bucket of more than ``bucket_rows`` rows lists no pairs:
+    it is cut into salted parts whose vectors are multiplied tile by tile.
+    """
+    codes = write_table(sign_codes(units, bands, bits), "sign-codes")
+    entries = codes.select("gid", F.posexplode("codes").alias("band", "code"))
+    sizes = write_table(
+        entries.groupBy("band", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets"
+    )
+    small = entries.join(sizes.filter(F.col("n") <= bucket_rows), ["band", "code"]).drop("n")
+    other = small.withColumnRenamed("gid", "other")
+    candidates = small.join(other, ["band", "code"]).filter("gid < other").select("gid", "other").distinct()
+    found = checked(candidates, units, threshold).unionByName(
+        _full_buckets(entries, sizes.filter(F.col("n") > bucket_rows), units, threshold, block)
+    )
+    return found.groupBy("gid", "other").agg(F.max("similarity").alias("similarity"))

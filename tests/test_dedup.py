@@ -245,3 +245,44 @@ def test_links_connect_what_all_pairs_connect(spark):
     for a, b in links:
         got[a] = min(b, got.get(a, b))
     assert got == least
+
+
+@pytest.mark.parametrize("order", ["rising", "falling", "random", "ties"])
+def test_large_complete_components_need_no_rounds(spark, monkeypatch, order):
+    """One cluster in which all rows are similar, with copies, and a second one of the same kind."""
+    rng = np.random.default_rng(12)
+    centres = np.eye(8)[:2]
+    vectors = np.repeat(centres, 70, axis=0) + rng.normal(size=(140, 8)) * 0.02
+    vectors[::9] = vectors[0]
+    vectors = vectors[rng.permutation(140)]
+    quality = {
+        "rising": np.arange(140) / 140, "falling": -np.arange(140) / 140, "random": rng.random(140), "ties": rng.integers(0, 4, 140) / 4,
+    }[order]
+    if order == "random":
+        quality[[0, 1, 50]] = np.nan
+    monkeypatch.setattr(dd, "CHUNK_ROWS", 31)
+    pairs, rounds, edges = rounds_and_edges(spark, monkeypatch, vectors, quality, 10)
+    assert pairs == greedy(vectors, quality, 0.85) and rounds == 0 and edges == 0
+
+
+def test_rounds_on_rising_quality_do_not_grow_with_the_rows(spark, monkeypatch):
+    """All documents in one cluster with rising quality, at a tail far smaller than the cluster."""
+    from pixsieve import fixtures as fx
+    from conftest import SF_DIR
+
+    ids = sorted((r.doc_id, r.n_chars) for r in fx.table(spark, SF_DIR, "documents").select("doc_id", "n_chars").collect())
+    vectors = np.array([[1.0, *[(i * k % 89 + n % 7) / 1000 for k in (3, 5, 11)]] for i, n in ids])
+    pairs, rounds, _ = rounds_and_edges(spark, monkeypatch, vectors, np.arange(len(ids)), 4)
+    assert rounds <= np.log2(len(ids)) and len(pairs) == len(ids) - 1
+    assert pairs == greedy(vectors, np.arange(len(ids)), 0.85)
+
+
+def test_a_component_with_one_pair_missing_goes_through_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    vectors = rng.normal(size=(40, 6)) * 0.05 + 1
+    vectors[5], vectors[9] = [1, 1, 1, 1, 1, 2.6], [1, 1, 1, 1, 1, -0.4]
+    quality = rng.random(40)
+    pairs, rounds, _ = rounds_and_edges(spark, monkeypatch, vectors, quality, 12)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    assert (unit @ unit.T >= 0.85).sum() < 40 * 40
+    assert pairs == greedy(vectors, quality, 0.85) and rounds >= 1
