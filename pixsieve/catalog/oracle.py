@@ -222,6 +222,15 @@ SELECT row_idx, CASE WHEN why IS NULL THEN status0 ELSE 'rejected' END AS status
   coalesce(why, reason0) AS reject_reason, image_path,
   CASE WHEN decoded THEN fw ELSE width END AS width, CASE WHEN decoded THEN fh ELSE height END AS height
 FROM j""",
+    "listed_images": _SAMPLES + f""", j AS (
+  SELECT *, CASE WHEN status0 = 'rejected' THEN -1 WHEN {_VALIDATION} IS NOT NULL THEN 1
+    WHEN {_LOADING} IS NOT NULL THEN 2 WHEN blur < 100 THEN 3 END AS rank_no, {_VALIDATION} AS r1, {_LOADING} AS r2 FROM s)
+SELECT row_idx, CASE WHEN rank_no IS NULL THEN 'accepted' ELSE 'rejected' END AS status,
+  CASE rank_no WHEN -1 THEN reason0 WHEN 1 THEN r1 WHEN 2 THEN r2 WHEN 3 THEN 'blurry_image' END AS reject_reason, image_path,
+  CASE WHEN rank_no IS NULL OR rank_no = 3 THEN 8 ELSE width END::INTEGER AS width,
+  CASE WHEN rank_no IS NULL OR rank_no = 3 THEN 8 ELSE height END::INTEGER AS height,
+  CASE WHEN rank_no IS NULL OR rank_no = 3 THEN round(blur, 6) END AS blur_score,
+  CASE rank_no WHEN 1 THEN 'SampleValidator' WHEN 2 THEN 'ImageLoader' WHEN 3 THEN 'BlurFilter' END AS rejected_by FROM j""",
     "resolution_filter": _SAMPLES + """, j AS (
   SELECT *, CASE WHEN status0 = 'rejected' THEN NULL WHEN width IS NULL OR height IS NULL THEN 'missing_resolution'
     WHEN width < 512 OR height < 512 THEN 'low_resolution' END AS why FROM s)
@@ -297,6 +306,24 @@ SELECT row_idx, format('vg_{:06d}', row_idx) AS sample_id, text AS scene, image_
     "similarity_join": _SAMPLES + """, j AS MATERIALIZED (SELECT row_idx, img::DOUBLE[64] AS u FROM s)
 SELECT a.row_idx AS left_row, b.row_idx AS right_row, round(array_cosine_similarity(a.u, b.u), 6) AS similarity
 FROM j a JOIN j b ON a.row_idx < b.row_idx WHERE array_cosine_similarity(a.u, b.u) >= 0.95::DOUBLE""",
+    "approximate_join": _SAMPLES + """, j AS MATERIALIZED (SELECT row_idx, img::DOUBLE[64] AS u FROM s),
+planes AS MATERIALIZED (
+  SELECT n, list((h % 2001 - 1000)::DOUBLE ORDER BY p)::DOUBLE[64] AS w FROM (
+    SELECT n, p, (g * g + n + 1) % 2147483647 AS h FROM (
+      SELECT n, p, (f * f + n + 1) % 2147483647 AS g FROM (
+        SELECT n, p, (n * 7919 + p * 104729 + 12345) % 2147483647 AS f FROM range(640) a(n), range(64) b(p))))
+  GROUP BY n
+),
+codes AS MATERIALIZED (
+  SELECT row_idx, n // 16 AS band, sum(CASE WHEN array_dot_product(u, w) > 0 THEN 1::BIGINT << (n % 16)::INTEGER ELSE 0 END) AS code
+  FROM j CROSS JOIN planes GROUP BY row_idx, n // 16
+),
+met AS (
+  SELECT DISTINCT a.row_idx AS x, b.row_idx AS y FROM codes a JOIN codes b
+  ON a.band = b.band AND a.code = b.code AND a.row_idx < b.row_idx
+)
+SELECT x AS left_row, y AS right_row, round(array_cosine_similarity(a.u, b.u), 6) AS similarity
+FROM met JOIN j a ON a.row_idx = x JOIN j b ON b.row_idx = y WHERE array_cosine_similarity(a.u, b.u) >= 0.95::DOUBLE""",
     "semantic_dedup": _DEDUP + " SELECT * FROM found",
     "dedup_rounds": """
 WITH RECURSIVE d AS MATERIALIZED (
@@ -352,6 +379,7 @@ SELECT sample_id, image_prompt AS scene, image_prompt, image_path, width, height
     "run_rollup": _RUNS + """
 SELECT samples, executor, runs, round(median_time, 6) AS median_time,
   round(median_throughput, 6) AS median_throughput, accepted, rejected FROM rollup""",
+    "sketched_rollup": _RUNS + " SELECT samples, executor, runs, accepted, rejected, 1 AS close FROM rollup",
     "run_speedup": _RUNS + """
 SELECT a.samples, a.executor, round(a.median_throughput / b.median_throughput, 6) AS speedup
 FROM rollup a LEFT JOIN rollup b ON b.samples = a.samples AND b.executor = 'view'""",
@@ -391,3 +419,7 @@ FROM u""",
     "stream_quality": _CHAIN + f" SELECT {_VERDICT}, rejected_by FROM c",
 }
 ORACLE_SQL["image_source"] = ORACLE_SQL["blur_score"]
+ORACLE_SQL["zipped_regions"] = ORACLE_SQL["region_source"]
+ORACLE_SQL["observed_metrics"] = ORACLE_SQL["operator_metrics"]
+ORACLE_SQL["stored_metrics"] = ORACLE_SQL["all_metrics"]
+ORACLE_SQL["stream_images"] = ORACLE_SQL["listed_images"]

@@ -1,6 +1,8 @@
 """One query per operator, over the given tables or data that Spark derives from them."""
 
+import io
 import re
+import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,6 +86,29 @@ def image_loader(spark, sf_dir):
     return loader.process(fx.samples(spark, sf_dir)).select(*VERDICT, "image_path", "width", "height")
 
 
+def _written_images(spark, sf_dir) -> tuple[str, str]:
+    """The images as PNG files: their folder, and the folder that sample paths are relative to."""
+    folder = scratch_path(spark, "images")
+    fx.write_files(fx.images(spark, sf_dir).drop("id", "nChannels"), folder, fx.image_body)
+    return f"{folder}/img", re.sub("^file:/+", "/", folder)
+
+
+# The part of the chain that looks at files and pixels.
+IMAGE_SPEC = {
+    "pipeline": {"operators": [{"name": "validator"}, {"name": "image_loader"}, {"name": "blur_filter"}]}
+}
+
+
+def listed_images(spark, sf_dir):
+    """The image folder is listed; only files of samples that pass the validator are opened."""
+    folder, base = _written_images(spark, sf_dir)
+    listing = sources.list_images(spark, folder, base_dir=base)
+    chain = pl.build_pipeline(IMAGE_SPEC, pl.Resources(listing=listing))
+    return chain.run(fx.samples(spark, sf_dir)).select(
+        *VERDICT, "image_path", "width", "height", _r("blur_score"), S.REJECTED_BY
+    )
+
+
 def resolution_filter(spark, sf_dir):
     return ops.ResolutionFilter().process(fx.samples(spark, sf_dir)).select(*VERDICT)
 
@@ -96,10 +121,8 @@ def blur_score(spark, sf_dir):
 
 def image_source(spark, sf_dir):
     """The same images written as PNG files, decoded by the image source."""
-    folder = scratch_path(spark, "images")
-    fx.write_files(fx.images(spark, sf_dir).drop("id", "nChannels"), folder, fx.image_body)
-    base = re.sub("^file:/+", "/", folder)
-    images = sources.read_images(spark, f"{folder}/img", base_dir=base)
+    folder, base = _written_images(spark, sf_dir)
+    images = sources.read_images(spark, folder, base_dir=base)
     return sources.image_features(images).select(
         "path", "decoded_width", "decoded_height", _r("decoded_blur", "blur_score")
     )
@@ -303,6 +326,27 @@ def region_source(spark, sf_dir):
     return regions.select("pos", "id", F.size("regions").alias("regions"), first)
 
 
+def _zip_body(row: dict) -> bytes:
+    """A zip file with the array first and something else after it."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("region_descriptions.json", row["value"])
+        archive.writestr("license.txt", "not an array")
+    return out.getvalue()
+
+
+def zipped_regions(spark, sf_dir):
+    """Regions written by the tasks as zipped JSON arrays of up to 100 images and read back."""
+    folder = scratch_path(spark, "zips")
+    items = F.array_sort(F.collect_list(F.struct("pos", "id", "regions")))
+    plain = F.transform(items, lambda x: F.struct(x["id"].alias("id"), x["regions"].alias("regions")))
+    chunks = _regions(spark, sf_dir).groupBy(F.floor(F.col("pos") / 100).alias("chunk")).agg(F.to_json(plain).alias("value"))
+    name = F.concat(F.lpad(F.col("chunk").cast("string"), 12, "0"), F.lit(".zip"))
+    fx.write_files(chunks.select(name.alias("path"), "value"), folder, _zip_body)
+    regions = sources.read_regions(spark, folder, zipped=True)
+    return regions.select("pos", "id", F.size("regions").alias("regions"), mb.first_phrase().alias("phrase"))
+
+
 # ---- similarity and dedup ------------------------------------------------------------
 
 
@@ -318,6 +362,15 @@ def similarity_join(spark, sf_dir):
     )
 
 
+def approximate_join(spark, sf_dir):
+    """The pairs of ``similarity_join`` that share the hyperplane signs of a band."""
+    rows = fx.sample_vectors(spark, sf_dir).select(F.col(S.ROW_INDEX).alias("gid"), "image_embedding")
+    units = write_table(sim.unit_vectors(rows, "image_embedding", 0.95), "units")
+    return sim.approximate_pairs(units, 0.95, bucket_rows=16, block=64).select(
+        F.col("gid").alias("left_row"), F.col("other").alias("right_row"), _r("similarity")
+    )
+
+
 def _report(found: DataFrame) -> DataFrame:
     return found.select(
         "duplicate_idx", "kept_idx", _r("similarity"), _r("duplicate_quality"), _r("kept_quality")
@@ -427,6 +480,14 @@ def operator_metrics(spark, sf_dir):
     return chain.metrics(processed)
 
 
+def observed_metrics(spark, sf_dir):
+    """Operator metrics taken while the chain's result is written."""
+    chain = pl.build_pipeline(pl.DEFAULT_SPEC, _resources(spark, sf_dir))
+    running, observed = chain.observed(fx.samples(spark, sf_dir))
+    write_table(running, "processed")
+    return observed.metrics()
+
+
 def merge_metrics(spark, sf_dir):
     """Metrics of four parts of the rows, merged."""
     chain, processed = _processed(spark, sf_dir)
@@ -447,6 +508,16 @@ def all_metrics(spark, sf_dir):
     return spark.read.schema(written.schema).json(path)
 
 
+def stored_metrics(spark, sf_dir):
+    """Metrics stored step by step: the chain's, a first dedup row, and the one that replaces it."""
+    path, done = scratch_path(spark, "stored-metrics"), _curated(spark, sf_dir)
+    sinks.append_metrics(spark, path, done.operator_metrics.drop("op_pos"))
+    first = spark.createDataFrame([(S.DEDUP_LABEL, 0)], "operator string, input_samples bigint")
+    sinks.append_metrics(spark, path, first)
+    sinks.append_metrics(spark, path, sinks.with_dedup_metrics(None, done.dedup_metrics))
+    return sinks.read_metrics(spark, path)
+
+
 def dataset_sink(spark, sf_dir):
     """The curated dataset written as JSON Lines and read back."""
     path = scratch_path(spark, "dataset")
@@ -466,6 +537,21 @@ def run_rollup(spark, sf_dir):
     )
 
 
+def sketched_rollup(spark, sf_dir):
+    """Runs sketched in three appends, stored and merged; ``close`` counts medians within the stated error of the ranks."""
+    runs, path = fx.benchmark_runs(spark, sf_dir), scratch_path(spark, "run-sketches")
+    for part in range(3):
+        reports.sketch_runs(runs.filter(F.col("run") % 3 == part)).write.mode("append").parquet(path)
+    rollup = reports.sketched_rollup(reports.merge_sketches(spark.read.parquet(path)))
+    group = ["samples", "executor"]
+    ranks = runs.join(rollup.select(*group, "median_time"), group).groupBy(*group).agg(
+        F.avg((F.col("seconds") < F.col("median_time")).cast("int")).alias("low"),
+        F.avg((F.col("seconds") <= F.col("median_time")).cast("int")).alias("high"),
+    )
+    close = (F.col("low") <= 0.5 + reports.SKETCH_ERROR) & (F.col("high") >= 0.5 - reports.SKETCH_ERROR)
+    return rollup.join(ranks, group).select(*group, "runs", "accepted", "rejected", close.cast("int").alias("close"))
+
+
 def run_speedup(spark, sf_dir):
     rollup = reports.run_rollup(fx.benchmark_runs(spark, sf_dir))
     return reports.speedup(rollup, "view").select("samples", "executor", _r("speedup"))
@@ -547,18 +633,31 @@ def stream_quality(spark, sf_dir):
     return streaming.run_to_end(judged)
 
 
+def stream_images(spark, sf_dir):
+    """Image files as a stream of three batches or so; samples are judged as their files arrive."""
+    folder, base = _written_images(spark, sf_dir)
+    samples = write_table(fx.samples(spark, sf_dir), "samples")
+    stream = streaming.image_stream(spark, folder, base, files_a_batch=samples.count() // 3 + 1)
+    arriving = streaming.ArrivingImages(
+        samples, lambda features: pl.build_pipeline(IMAGE_SPEC, pl.Resources(features=features))
+    )
+    return arriving.run_to_end(stream).select(
+        *VERDICT, "image_path", "width", "height", _r("blur_score"), S.REJECTED_BY
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        validator, resolve_image_path, image_loader, resolution_filter, blur_score, image_source, blur_filter,
+        validator, resolve_image_path, image_loader, listed_images, resolution_filter, blur_score, image_source, blur_filter,
         cosine_alignment, alignment_filter, l2_normalize, quality_score, quality_pipeline,
         configured_pipeline, custom_operator, accepted_samples, canonical_projection,
         manifest_source, row_index, format_ids, strip_text, prefix_sample, ordered_samples,
-        manifest_builder, manifest_sink, region_source, similarity_join, semantic_dedup,
+        manifest_builder, manifest_sink, region_source, zipped_regions, similarity_join, approximate_join, semantic_dedup,
         dedup_rounds, dedup_copies, dedup_rising, duplicate_pairs, dedup_metrics, dedup_writeback,
-        dedup_survivors, curate_dataset, status_counts, operator_metrics, merge_metrics,
-        curation_funnel, all_metrics, dataset_sink, run_rollup, run_speedup, text_encoder,
+        dedup_survivors, curate_dataset, status_counts, operator_metrics, observed_metrics,
+        merge_metrics, curation_funnel, all_metrics, stored_metrics, dataset_sink, run_rollup, sketched_rollup, run_speedup, text_encoder,
         image_encoder, annotation_candidates, micro_batches, annotate_batch, annotation_counts,
-        annotations_sink, caption_first, stream_annotate, stream_quality,
+        annotations_sink, caption_first, stream_annotate, stream_quality, stream_images,
     )
 }

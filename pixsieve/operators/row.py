@@ -157,6 +157,28 @@ class ImageLoader(Operator):
         return self._judge(df, skip_rejected=True)
 
 
+class ListedImageLoader(ImageLoader):
+    """A loader that opens the files of rows still alive, and no others.
+
+    ``listing`` has ``path, place`` of the files at hand (``sources.list_images``), ``measure(listing, wanted)`` opens and
+    measures those whose path is in ``wanted``. The rows so far are written once: they say which files
+    are wanted and then meet what was found in them. Not for streams.
+    """
+
+    def __init__(self, listing: DataFrame, measure: Callable[[DataFrame, DataFrame], DataFrame], image_dir: str = "outputs/images"):
+        super().__init__(listing, image_dir)
+        self.listing, self.measure = listing, measure
+
+    def _judge(self, df: DataFrame, skip_rejected: bool) -> DataFrame:
+        if df.isStreaming:
+            raise ValueError("on a stream, give ImageLoader a table of features")
+        stored = write_table(df, "before-loader")
+        rows = stored.filter(~F.coalesce(is_rejected(), F.lit(False))) if skip_rejected else stored
+        wanted = rows.select(resolve_image_path(self.image_dir).alias("path")).distinct()
+        self.features = write_table(self.measure(self.listing, wanted), "listed-features")
+        return super()._judge(stored, skip_rejected)
+
+
 class ResolutionFilter(Operator):
     label = S.RESOLUTION_LABEL
 

@@ -45,13 +45,14 @@ def curate(
 ) -> Curated:
     """Run a spec over samples with a unique ``row_idx``.
 
-    The chain is evaluated once: its result is written, and dedup, counts, captions and sinks
-    read the columns they need from that table. ``spec["dedup"]`` sets the dedup threshold
+    The chain is evaluated once: its result is written, which also counts for the operator metrics, and
+    dedup, captions and sinks read the columns they need from that table. ``spec["dedup"]`` sets the dedup threshold
     (0.95). ``spec["annotation"]`` turns captions on and sets their limit (10) and batch size.
     """
     resources = resources or Resources()
     chain = build_pipeline(spec, resources)
-    processed = write_table(chain.run(samples), "processed")
+    running, observed = chain.observed(samples)
+    processed = write_table(running, "processed")
     passed = accepted(processed)
     found = dd.find_duplicates(passed, vector=resources.image_vector, **spec.get("dedup", {}))
     dataset = dd.mark_duplicates(processed, found)
@@ -69,7 +70,7 @@ def curate(
         )
     return Curated(
         dataset=dataset, before_dedup=processed, survivors=kept, found=found,
-        pairs=dd.duplicate_pairs(passed, found), operator_metrics=chain.metrics(processed),
+        pairs=dd.duplicate_pairs(passed, found), operator_metrics=observed.metrics(),
         dedup_metrics=dd.dedup_metrics(passed, found), counts=status_counts(dataset),
         annotations=annotations,
     )

@@ -3,14 +3,18 @@
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
 from pixsieve.functions import is_rejected
 from pixsieve.operators.row import (
-    AlignmentFilter, BlurFilter, ImageLoader, Operator, ResolutionFilter, SampleValidator,
+    AlignmentFilter, BlurFilter, ImageLoader, ListedImageLoader, Operator, ResolutionFilter, SampleValidator,
 )
+from pixsieve.sources.images import measure_listed
+
+
+METRICS_LAYOUT = "operator string, op_pos int, processed bigint, rejected bigint"
 
 
 class QualityPipeline:
@@ -46,27 +50,58 @@ class QualityPipeline:
         One scan: every count is a conditional count of the same aggregate; operators that
         share a label share a row.
         """
+        if not self.operators:
+            return processed.sparkSession.createDataFrame([], METRICS_LAYOUT)
+        return self._per_label(processed.groupBy(*by).agg(*self._counts()), by)
+
+    def observed(self, df: DataFrame) -> tuple[DataFrame, "Observed"]:
+        """``run``, with the metrics taken while its result is written: the rows are not scanned for them.
+
+        Counts come in with the tasks of the stage that writes, once for each of its partitions however often one
+        is tried. Write the result right away; if a later shuffle makes a lost stage run again, its rows count again.
+        """
+        watch = Observation()
+        return self.run(df).observe(watch, F.count(F.lit(1)).alias("rows"), *self._counts()), Observed(self, watch, df.sparkSession)
+
+    def _counts(self) -> list[Column]:
         at = F.col(S.REJECTED_AT)
         entered = ~(is_rejected() & at.isNull())
-        labels: dict[str, list[int]] = {}
-        for position, operator in enumerate(self.operators):
-            labels.setdefault(operator.label, []).append(position)
-        counts, rows = [], []
+        counts = []
         for position in range(len(self.operators)):
             reached = entered & (at.isNull() | (at >= position))
             counts.append(F.count_if(reached).alias(f"p{position}"))
             counts.append(F.count_if(at == position).alias(f"r{position}"))
-        for label, positions in labels.items():
-            rows.append(F.struct(
+        return counts
+
+    def _per_label(self, counted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+        """One row per operator label from the columns of ``_counts``."""
+        labels: dict[str, list[int]] = {}
+        for position, operator in enumerate(self.operators):
+            labels.setdefault(operator.label, []).append(position)
+        rows = [
+            F.struct(
                 F.lit(label).alias("operator"),
                 F.lit(positions[0]).alias("op_pos"),
                 sum((F.col(f"p{p}") for p in positions), F.lit(0)).alias("processed"),
                 sum((F.col(f"r{p}") for p in positions), F.lit(0)).alias("rejected"),
-            ))
-        if not rows:
-            empty = "operator string, op_pos int, processed bigint, rejected bigint"
-            return processed.sparkSession.createDataFrame([], empty)
-        return processed.groupBy(*by).agg(*counts).select(*by, F.inline(F.array(*rows)))
+            )
+            for label, positions in labels.items()
+        ]
+        return counted.select(*by, F.inline(F.array(*rows)))
+
+
+class Observed:
+    """The metrics of a chain whose result has been written; asking before waits for that."""
+
+    def __init__(self, chain: QualityPipeline, watch: Observation, spark: SparkSession):
+        self.chain, self.watch, self.spark = chain, watch, spark
+
+    def metrics(self) -> DataFrame:
+        counts = self.watch.get
+        if not self.chain.operators:
+            return self.spark.createDataFrame([], METRICS_LAYOUT)
+        layout = ", ".join(f"{name} bigint" for name in counts)
+        return self.chain._per_label(self.spark.createDataFrame([tuple(counts.values())], layout))
 
 
 @dataclass
@@ -74,6 +109,7 @@ class Resources:
     """Tables and columns that operators of a spec may need."""
 
     features: DataFrame | None = None
+    listing: DataFrame | None = None    # files that the loader opens itself, in place of features
     image_vector: str = "image_embedding"
     text_vector: str = "text_embedding"
     on_error: str = "raise"
@@ -84,6 +120,8 @@ Factory = Callable[[dict, Resources], Operator]
 
 
 def _loader(params: dict, resources: Resources) -> Operator:
+    if resources.listing is not None:
+        return ListedImageLoader(resources.listing, measure_listed)
     if resources.features is None:
         raise ValueError("image_loader needs a table of image features")
     return ImageLoader(resources.features)

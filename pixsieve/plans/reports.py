@@ -85,6 +85,45 @@ def run_rollup(runs: DataFrame) -> DataFrame:
     ).select(*group, "runs", "median_time", "median_throughput", "accepted", "rejected")
 
 
+# Values a sketch keeps per level. At 200 a quantile is off by less than SKETCH_ERROR of the ranks.
+SKETCH_SIZE = 200
+SKETCH_ERROR = 0.02
+
+
+def sketch_runs(runs: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Runs as one mergeable row per (samples, executor), however many there are.
+
+    ``times`` is a KLL sketch of the run times (a few KB), ``last_run`` says whose counts are ``accepted`` and ``rejected``.
+    Store it, and merge it with those of later runs (``merge_sketches``) instead of reading old runs again.
+    """
+    return runs.groupBy("samples", "executor").agg(
+        F.count(F.lit(1)).alias("runs"), F.count("seconds").alias("timed"),
+        F.kll_sketch_agg_double("seconds", F.lit(size)).alias("times"), F.max("run").alias("last_run"),
+        F.max_by("accepted", "run").alias("accepted"), F.max_by("rejected", "run").alias("rejected"),
+    )
+
+
+def merge_sketches(parts: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """Sketched runs of several appends as one row per (samples, executor), to be stored or merged again."""
+    return parts.groupBy("samples", "executor").agg(
+        F.sum("runs").alias("runs"), F.sum("timed").alias("timed"),
+        F.kll_merge_agg_double("times", F.lit(size)).alias("times"), F.max("last_run").alias("last_run"),
+        F.max_by("accepted", "last_run").alias("accepted"), F.max_by("rejected", "last_run").alias("rejected"),
+    )
+
+
+def sketched_rollup(sketches: DataFrame) -> DataFrame:
+    """``run_rollup`` from sketches: counts are exact, medians are run times within ``SKETCH_ERROR`` of the middle rank.
+
+    Throughput falls as time grows, so its median belongs to the same run. A group without any time has no medians.
+    """
+    median = F.when(F.col("timed") > 0, F.kll_sketch_get_quantile_double("times", F.lit(0.5)))
+    return sketches.withColumn("median_time", median).select(
+        "samples", "executor", "runs", "median_time",
+        throughput(F.col("samples"), F.col("median_time")).alias("median_throughput"), "accepted", "rejected",
+    )
+
+
 def throughput(samples: Column, seconds: Column) -> Column:
     return samples / seconds
 

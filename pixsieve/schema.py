@@ -39,6 +39,11 @@ REGION_SCHEMA = _struct(
 )
 REQUEST_SCHEMA = _struct(("sample_id", _S), ("image_path", _S))
 
+METRICS_SCHEMA = _struct(
+    ("operator", _S), ("processed", _L), ("rejected", _L),
+    ("input_samples", _L), ("duplicates_removed", _L), ("output_samples", _L),
+)
+
 # What an image scan leaves for the row operators: no pixels.
 IMAGE_FEATURE_SCHEMA = _struct(
     ("path", _S), ("decoded_width", _I), ("decoded_height", _I), ("decoded_blur", _D),

@@ -1,4 +1,8 @@
-"""Images: decoded once by Spark's image source, reduced to a narrow table without pixels."""
+"""Images: decoded once, reduced to a narrow table without pixels.
+
+``read_images`` decodes a whole folder with Spark's image source. ``list_images`` only lists it;
+``measure_listed`` then opens the files that are wanted, inside the tasks, and no others.
+"""
 
 from collections.abc import Callable, Iterator
 
@@ -8,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pixsieve import schema as S
-from pixsieve.models import per_worker
+from pixsieve.files import read_listed
+from pixsieve.functions.decode import decode_image
 from pixsieve.functions.pixels import laplacian_variance, to_array, to_gray
+from pixsieve.models import per_worker
 
 IMAGE_COLUMNS = ["path", "height", "width", "nChannels", "data"]
 
@@ -17,6 +23,10 @@ IMAGE_COLUMNS = ["path", "height", "width", "nChannels", "data"]
 def relative_path(origin: Column, base_dir: str = "") -> Column:
     """Undo the URI form of a file name and cut the folder in front of it."""
     plain = F.url_decode(F.replace(F.regexp_replace(origin, "^file:/+", "/"), F.lit("+"), F.lit("%2B")))
+    return _inside(plain, base_dir)
+
+
+def _inside(plain: Column, base_dir: str) -> Column:
     if not base_dir:
         return plain
     base = base_dir.rstrip("/") + "/"
@@ -25,8 +35,13 @@ def relative_path(origin: Column, base_dir: str = "") -> Column:
 
 def read_images(spark: SparkSession, path: str, base_dir: str = "") -> DataFrame:
     """``path, height, width, nChannels, data``; an undecodable file has height -1."""
+    return image_rows(spark.read.format("image").load(path), base_dir)
+
+
+def image_rows(images: DataFrame, base_dir: str = "") -> DataFrame:
+    """``IMAGE_COLUMNS`` of rows of the image source, a table or a stream."""
     image = F.col("image")
-    return spark.read.format("image").load(path).select(
+    return images.select(
         relative_path(image.origin, base_dir).alias("path"),
         image.height.alias("height"), image.width.alias("width"),
         image.nChannels.alias("nChannels"), image.data.alias("data"),
@@ -63,28 +78,80 @@ def image_features(
     return images.select(*IMAGE_COLUMNS).mapInArrow(measure, S.IMAGE_FEATURE_SCHEMA)
 
 
+def list_images(spark: SparkSession, path: str, base_dir: str = "", recursive: bool = True) -> DataFrame:
+    """``path, place, length`` of the files under a folder, from the listing alone: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path)
+    # Unlike the image source, this one gives names as they are.
+    plain = F.regexp_replace("path", "^file:/+", "/")
+    return files.select(_inside(plain, base_dir).alias("path"), F.col("path").alias("place"), "length")
+
+
+def measure_listed(
+    listing: DataFrame,
+    wanted: DataFrame,
+    make_encoder: Callable | None = None,
+    batch_size: int = 32,
+    min_width: int = 0,
+    min_height: int = 0,
+    min_blur: float = 0.0,
+    load: Callable[[str], bytes] = read_listed,
+    decode: Callable[[bytes], np.ndarray | None] = decode_image,
+) -> DataFrame:
+    """Like ``image_features`` for the files of ``listing`` whose path is in ``wanted`` (``path``).
+
+    Only those are read, each once, next to where it is decoded; what travels before are paths. Files that
+    are gone since they were listed have no row. Without an encoder there is no vector column.
+    """
+    model = per_worker(make_encoder) if make_encoder else None
+    chosen = listing.join(wanted.select("path"), "path", "left_semi").select("path", "place")
+
+    def encodes(width: int, height: int, blur: float) -> bool:
+        return width >= min_width and height >= min_height and not blur < min_blur
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = model() if model else None
+        for batch in batches:
+            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for start in range(0, len(rows), batch_size):
+                paths, images = [], []
+                for path, place in rows[start:start + batch_size]:
+                    try:
+                        data = load(place)
+                    except FileNotFoundError:
+                        continue
+                    paths.append(path)
+                    images.append(decode(data))
+                yield _feature_batch(pa.array(paths, pa.string()), images, encoder, encodes)
+
+    features = chosen.mapInArrow(measure, S.IMAGE_FEATURE_SCHEMA)
+    return features if make_encoder else features.drop("image_embedding")
+
+
 def _measure(batch: pa.RecordBatch, encoder, encodes: Callable) -> pa.RecordBatch:
     heights, widths, channels = (
         [-1 if v is None else v for v in batch.column(c).to_pylist()] for c in (1, 2, 3)
     )
-    blurs: list[float | None] = [None] * batch.num_rows
-    pixels, places = [], []
-    for row, data in enumerate(batch.column(4)):
-        if heights[row] <= 0 or widths[row] <= 0:
-            continue
-        image = to_array(heights[row], widths[row], channels[row], data.as_buffer())
-        blurs[row] = laplacian_variance(to_gray(image))
-        if encoder is not None and encodes(widths[row], heights[row], blurs[row]):
-            places.append(row)
-            pixels.append(image)
-    vectors: list = [None] * batch.num_rows
-    if pixels:
-        for row, vector in zip(places, encoder.encode_images(pixels)):
-            vectors[row] = np.asarray(vector, dtype=np.float64).tolist()
+    images = [
+        to_array(height, width, channel, data.as_buffer()) if height > 0 and width > 0 else None
+        for height, width, channel, data in zip(heights, widths, channels, batch.column(4))
+    ]
+    return _feature_batch(batch.column(0), images, encoder, encodes)
+
+
+def _feature_batch(paths: pa.Array, images: list, encoder, encodes: Callable) -> pa.RecordBatch:
+    """Measures of decoded images; None stands for one that does not decode."""
+    heights = [-1 if image is None else image.shape[0] for image in images]
+    widths = [-1 if image is None else image.shape[1] for image in images]
+    blurs = [None if image is None else laplacian_variance(to_gray(image)) for image in images]
+    vectors: list = [None] * len(images)
+    if encoder is not None:
+        places = [i for i, image in enumerate(images) if image is not None and encodes(widths[i], heights[i], blurs[i])]
+        if places:
+            for i, vector in zip(places, encoder.encode_images([images[i] for i in places])):
+                vectors[i] = np.asarray(vector, dtype=np.float64).tolist()
     return pa.RecordBatch.from_arrays(
         [
-            batch.column(0), pa.array(widths, pa.int32()),
-            pa.array(heights, pa.int32()), pa.array(blurs, pa.float64()),
+            paths, pa.array(widths, pa.int32()), pa.array(heights, pa.int32()), pa.array(blurs, pa.float64()),
             pa.array(vectors, pa.list_(pa.float64())),
         ],
         names=S.IMAGE_FEATURE_SCHEMA.fieldNames(),

@@ -8,7 +8,7 @@ from pixsieve.functions import format_id, strip
 from pixsieve.session import write_table
 
 
-def _number(rows: DataFrame, part: list[str], name: str) -> DataFrame:
+def number_parts(rows: DataFrame, part: list[str], name: str) -> DataFrame:
     """Dense 1-based ``name`` over parts in order; ``_id`` rises by one inside a part.
 
     Only the sizes of the parts pass through one window: one row per file split or partition.
@@ -22,24 +22,43 @@ def _number(rows: DataFrame, part: list[str], name: str) -> DataFrame:
     return numbered.withColumn(name, F.col("_shift") + F.col("_id") + 1).drop("_shift", "_id")
 
 
-def index_lines(spark: SparkSession, path: str) -> DataFrame:
+_SPLIT = {
+    "_file": "file_path", "_offset": "file_block_start", "_length": "file_block_length",
+    "_bytes": "file_size", "_changed": "file_modification_time",
+}
+
+
+def index_lines(spark: SparkSession, path: str, most_broadcast: int = 100_000) -> DataFrame:
     """``row_idx, value``: the lines of a text file, blank ones too, numbered from 1.
 
-    A file is read in splits. Lines are numbered inside their split, and the splits are put in
-    order of file name and byte offset. Several files count on from one another by name. The
-    files are read once; splits may be others in another scan.
+    A file is read in splits. A first scan counts the lines of every split and keeps one row per split, in
+    order of file name and byte offset; several files count on from one another by name. The result reads the
+    files a second time and adds the lines before each split; no text is written. Both scans
+    must cut and pack the files alike: every row checks that it is where the first scan had a line of its
+    split, and the job fails if not. Files must not be rewritten in between; one that loses lines is not noticed.
     """
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_offset"),
+        "value", *[F.col(f"_metadata.{c}").alias(n) for n, c in _SPLIT.items()],
         F.monotonically_increasing_id().alias("_id"),
     )
-    return number_splits(lines).select(S.ROW_INDEX, "value")
+    splits = write_table(lines.groupBy(*_SPLIT).agg(
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size")
+    ), "line-splits")
+    before = Window.orderBy("_file", "_offset").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    # One row per split: beyond some size it is joined like any table.
+    if splits.count() <= most_broadcast:
+        starts = F.broadcast(starts)
+    place = F.col("_id") - F.col("_first")
+    same = F.coalesce((place >= 0) & (place < F.col("_size")), F.lit(False))
+    failure = F.raise_error(F.concat(F.lit("files were split or changed between two scans: "), F.col("_file")))
+    number = F.when(same, F.col("_before") + place + 1).otherwise(failure.cast("bigint"))
+    return lines.join(starts, list(_SPLIT), "left").select(number.alias(S.ROW_INDEX), "value")
 
 
 def number_splits(rows: DataFrame, name: str = S.ROW_INDEX) -> DataFrame:
     """Dense 1-based ``name`` for rows of one scan with ``_file``, ``_offset`` and a rising ``_id``."""
-    return _number(write_table(rows, "splits"), ["_file", "_offset"], name).drop("_file", "_offset")
+    return number_parts(write_table(rows, "splits"), ["_file", "_offset"], name).drop("_file", "_offset")
 
 
 def dense_index(df: DataFrame, keys: list[str], name: str = S.ROW_INDEX) -> DataFrame:
@@ -54,7 +73,7 @@ def dense_index(df: DataFrame, keys: list[str], name: str = S.ROW_INDEX) -> Data
         "_id": F.monotonically_increasing_id(),
     })
     placed = write_table(ordered, "ordered")
-    return _number(placed, ["_part"], name).drop("_part")
+    return number_parts(placed, ["_part"], name).drop("_part")
 
 
 def _key_or(record: Column, key: str, default: str) -> Column:

@@ -128,3 +128,74 @@ def test_texts_are_encoded_inside_the_chain_for_alive_rows(spark, make_samples):
     assert rows(out, "status", "reject_reason") == [
         ("accepted", None), ("rejected", "low_clip_alignment"), ("rejected", "missing_sample_id"),
     ]
+
+
+def jobs(spark) -> int:
+    return spark._jsc.sc().statusStore().jobsList(None).size()
+
+
+def test_observed_metrics_equal_counted_ones_and_scan_nothing(spark):
+    from pixsieve.session import write_table
+
+    chain = pl.build_pipeline(pl.DEFAULT_SPEC, pl.Resources(features=fx.features(spark, SF_DIR)))
+    running, observed = chain.observed(fx.samples(spark, SF_DIR))
+    written = write_table(running, "observed")
+    before = jobs(spark)
+    metrics = observed.metrics()
+    seen = {tuple(r) for r in metrics.collect()}
+    # The collect of one local row.
+    assert jobs(spark) <= before + 1
+    counted = chain.metrics(written)
+    assert seen == {tuple(r) for r in counted.collect()} and metrics.dtypes == counted.dtypes
+    assert jobs(spark) > before + 1
+
+
+def test_observed_metrics_without_rows_or_operators(make_samples):
+    chain = pl.QualityPipeline([SampleValidator(), ResolutionFilter(), ResolutionFilter(1, 1)])
+    out, observed = chain.observed(make_samples({}).filter("false"))
+    assert out.collect() == []
+    assert {tuple(r) for r in observed.metrics().collect()} == {("SampleValidator", 0, 0, 0), ("ResolutionFilter", 1, 0, 0)}
+    out, observed = pl.QualityPipeline([]).observed(make_samples({}))
+    assert out.count() == 1 and observed.metrics().count() == 0
+
+
+RETRY = """
+import sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pixsieve.operators import ResolutionFilter
+from pixsieve.plans.pipeline import QualityPipeline
+
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+
+def fail_once(batches):
+    from pyspark import TaskContext
+    for batch in batches:
+        yield batch
+    if TaskContext.get().attemptNumber() == 0:
+        raise RuntimeError("lost")
+
+rows = spark.range(100).select(
+    F.col("id").alias("row_idx"), (F.col("id") * 10).cast("int").alias("width"), F.lit(600).alias("height"),
+    F.lit("pending").alias("status"), F.lit(None).cast("string").alias("reject_reason"),
+)
+rows = rows.repartition(4).mapInArrow(fail_once, rows.schema)
+out, observed = QualityPipeline([ResolutionFilter()]).observed(rows)
+out.write.parquet(sys.argv[1])
+print([tuple(r) for r in observed.metrics().collect()], spark.read.parquet(sys.argv[1]).count())
+"""
+
+
+def test_tasks_that_are_tried_again_count_once(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(pl.__file__).parents[2])
+    run = subprocess.run(
+        [sys.executable, "-c", RETRY, str(tmp_path / "out")], capture_output=True, text=True, timeout=240,
+        env=os.environ | {"PYTHONPATH": root},
+    )
+    assert run.stdout.strip().endswith("[('ResolutionFilter', 0, 100, 52)] 100"), run.stdout + run.stderr[-2000:]

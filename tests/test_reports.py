@@ -53,3 +53,38 @@ def test_runs_without_a_time_have_no_place_among_the_times(spark):
     out = {r.executor: r for r in reports.run_rollup(runs).collect()}
     assert (out["a"].runs, out["a"].median_time, out["a"].median_throughput, out["a"].accepted) == (3, 3.0, 3.75, 3)
     assert (out["b"].runs, out["b"].median_time, out["b"].accepted) == (1, None, 4)
+
+
+RUNS = "samples bigint, executor string, run bigint, seconds double, accepted bigint, rejected bigint"
+
+
+def test_sketches_of_several_appends_stay_within_the_stated_error(spark):
+    """Three appends of unequal size and order; ranks of the sketched medians against all times."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    times = {"even": rng.random(30_000), "skewed": rng.pareto(1.5, 30_000), "few": rng.random(9), "ties": rng.integers(0, 3, 5000) / 1.0 + 1}
+    rows = [(100, name, i, float(t), i % 100, 100 - i % 100) for name, ts in times.items() for i, t in enumerate(ts)]
+    runs = spark.createDataFrame(rows, RUNS)
+    cuts = [runs.filter("run < 700"), runs.filter("run >= 700 and run < 20000"), runs.filter("run >= 20000")]
+    merged = reports.merge_sketches(reports.sketch_runs(cuts[0]).unionByName(reports.sketch_runs(cuts[1])))
+    merged = reports.merge_sketches(merged.unionByName(reports.sketch_runs(cuts[2])))
+    exact = {r.executor: r for r in reports.run_rollup(runs).collect()}
+    for row in reports.sketched_rollup(merged).collect():
+        own = np.sort(times[row.executor])
+        low, high = np.searchsorted(own, [row.median_time, row.median_time], "left")[0] / len(own), np.searchsorted(own, row.median_time, "right") / len(own)
+        assert low <= 0.5 + reports.SKETCH_ERROR and high >= 0.5 - reports.SKETCH_ERROR
+        assert row.median_throughput == pytest.approx(100 / row.median_time)
+        same = exact[row.executor]
+        assert (row.runs, row.accepted, row.rejected) == (same.runs, same.accepted, same.rejected)
+    sizes = [len(r.times) for r in merged.collect()]
+    assert max(sizes) < 12_000
+
+
+def test_sketches_without_times(spark):
+    rows = [(10, "a", 1, None, 1, 9), (10, "a", 2, 4.0, 2, 8), (10, "b", 1, None, 4, 6)]
+    sketches = reports.sketch_runs(spark.createDataFrame(rows, RUNS))
+    out = {r.executor: r for r in reports.sketched_rollup(reports.merge_sketches(sketches)).collect()}
+    assert (out["a"].runs, out["a"].median_time, out["a"].accepted) == (2, 4.0, 2)
+    assert (out["b"].runs, out["b"].median_time, out["b"].median_throughput) == (1, None, None)
+    assert reports.sketched_rollup(reports.merge_sketches(sketches.limit(0))).count() == 0

@@ -203,3 +203,106 @@ def test_the_last_region_row_counts_in_the_order_of_file_names(spark, tmp_path):
         assert [regions[0].id, regions[1].id, regions[-1].id] == [1, 1, 2]
         last = {r.id: r.regions[0].phrase for r in regions}
         assert last[1] == "second file" and last[2] == "third file"
+
+
+def test_lines_split_otherwise_in_the_second_scan_are_an_error(spark, tmp_path):
+    (tmp_path / "a").write_text("".join(f"line {i} {'x' * 50}\n" for i in range(2000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        lines = sources.index_lines(spark, str(tmp_path))
+        assert lines.count() == 2000
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+        with pytest.raises(Exception, match="split or changed"):
+            lines.agg(F.sum("row_idx")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_packed_otherwise_in_the_second_scan_are_an_error(spark, tmp_path):
+    for n in range(6):
+        (tmp_path / f"{n}.txt").write_text("".join(f"{n}:{i}\n" for i in range(10 + n)))
+    lines = sources.index_lines(spark, str(tmp_path))
+    assert {r.row_idx for r in lines.collect()} == set(range(1, 76))
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    try:
+        with pytest.raises(Exception, match="split or changed"):
+            lines.agg(F.sum("row_idx")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_file_that_gains_lines_between_the_scans_is_an_error(spark, tmp_path):
+    path = tmp_path / "a.txt"
+    path.write_text("one\ntwo\n")
+    lines = sources.index_lines(spark, str(tmp_path))
+    path.write_text("a\nb\nc\nd\n")
+    with pytest.raises(Exception, match="split or changed"):
+        lines.agg(F.sum("row_idx")).collect()
+
+
+def test_the_text_is_read_twice_and_never_written(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("".join(f"{i} {'z' * 1000}\n" for i in range(3000)))
+    kept = spark.sparkContext.getCheckpointDir()
+    before = {p for p in Path(kept.removeprefix("file:")).glob("*")} if kept else set()
+    assert sources.index_lines(spark, str(tmp_path / "in")).count() == 3000
+    kept = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    written = [p for folder in set(kept.glob("*")) - before for p in folder.glob("*.parquet")]
+    assert written and sum(p.stat().st_size for p in written) < 50_000
+
+
+def stored(spark, path):
+    return sinks.metrics_dict(sinks.read_metrics(spark, str(path)))
+
+
+def test_stored_metrics_missing_present_and_replaced(spark, tmp_path):
+    path = tmp_path / "deep" / "metrics"
+    assert stored(spark, path) == {}
+    layout = "operator string, op_pos int, processed bigint, rejected bigint"
+    chain = spark.createDataFrame([("ImageLoader", 0, 5, 1), ("BlurFilter", 1, 4, 2)], layout)
+    dedup = spark.createDataFrame([("SemanticDedup", 2, 1, 1)], "operator string, input_samples bigint, duplicates_removed bigint, output_samples bigint")
+    assert sinks.append_metrics(spark, str(path), chain) == 1
+    assert sinks.append_metrics(spark, str(path), dedup) == 2
+    assert sinks.append_metrics(spark, str(path), spark.createDataFrame([("BlurFilter", 9, 9)], "operator string, processed bigint, rejected bigint")) == 3
+    assert stored(spark, path) == {
+        "ImageLoader": {"processed": 5, "rejected": 1}, "BlurFilter": {"processed": 9, "rejected": 9},
+        "SemanticDedup": {"input_samples": 2, "duplicates_removed": 1, "output_samples": 1},
+    }
+    assert sorted(p.name for p in path.iterdir() if not p.name.endswith(".crc")) == [f"version=0000000{i}" for i in (1, 2, 3)]
+
+
+def test_corrupt_metrics_count_as_none(spark, tmp_path):
+    path = tmp_path / "metrics"
+    rows = spark.createDataFrame([("A", 1, 0), ("B", 2, 0)], "operator string, processed bigint, rejected bigint")
+    sinks.append_metrics(spark, str(path), rows)
+    for part in (path / "version=00000001").glob("part-*"):
+        part.write_text(part.read_text()[:-9])
+    for crc in (path / "version=00000001").glob(".*.crc"):
+        crc.unlink()
+    assert stored(spark, path) == {}
+    sinks.append_metrics(spark, str(path), rows.filter("operator = 'B'"))
+    assert stored(spark, path) == {"B": {"processed": 2, "rejected": 0}}
+
+
+def test_a_reader_never_sees_half_a_store_and_writers_do_not_lose_rows(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "metrics")
+
+    def write(i):
+        rows = spark.createDataFrame([(f"op{i}", i, 0), (f"twin{i}", i, 0)], "operator string, processed bigint, rejected bigint")
+        return sinks.append_metrics(spark, path, rows)
+
+    with ThreadPoolExecutor(3) as pool:
+        writing = [pool.submit(write, i) for i in range(5)]
+        seen = []
+        while not all(w.done() for w in writing):
+            seen.append(set(stored(spark, path)))
+        versions = sorted(w.result() for w in writing)
+    assert versions == [1, 2, 3, 4, 5]
+    assert set(stored(spark, path)) == {f"{n}{i}" for n in ("op", "twin") for i in range(5)}
+    for names in seen:
+        assert all((f"op{i}" in names) == (f"twin{i}" in names) for i in range(5))
+    assert not [p for p in (tmp_path / "metrics").iterdir() if p.name.startswith(".writing")]
