@@ -2,12 +2,15 @@
 
 A page is cut into text blocks at block-level elements. Every block is described by its words and link
 density, those of the blocks before and after it, and where it stands (element, kinds of containers,
-words in their class, id or role). A decision tree labels it main text or boilerplate. The tree
+words in their class, id or role). A container counts the less the more of the page's words it holds, so a wrapper
+around everything says nothing, whatever its name. A decision tree labels a block main text or boilerplate. The tree
 is grown once from the labelled blocks of a few small pages written for it, below.
 
 Tasks parse whole pages; nothing is shuffled. White space in a block becomes one blank, blocks are
 joined by ``\\n`` in page order; character references are decoded. Unclosed elements end with their
-container, as browsers have it; a page that breaks off ends there.
+container, as browsers have it; a page that breaks off ends there, and so does a tag, comment or quoted value
+that nothing ends. Time is linear in the page however broken it is: what was searched for in vain is not
+searched for again, and an end tag looks up where its element is open.
 
 Edge cases: a null or empty page, and one without main blocks, has the empty text; repeated rows give equal
 results; an empty table gives no rows; other columns are not read.
@@ -16,9 +19,10 @@ results; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from html.parser import HTMLParser
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -60,15 +64,31 @@ DEPTH = 8
 SEPARATOR = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
-@dataclass
+RAW = frozenset("script style".split())
+_RAW_END = {tag: re.compile(f"</{tag}(?=[ \\t\\n\\r\\f/>])", re.IGNORECASE) for tag in RAW}
+_NAME_END = re.compile("[ \\t\\n\\r\\f/>]")
+_KEY_END = re.compile("[ \\t\\n\\r\\f/=>]")
+_VALUE_END = re.compile("[ \\t\\n\\r\\f>]")
+_NEXT_KEY = re.compile("[^ \\t\\n\\r\\f/]")
+_NOT_BLANK = re.compile("[^ \\t\\n\\r\\f]")
+
+
+@dataclass(slots=True)
 class _Open:
+    """An element. ``mark``, ``side`` and ``header`` are the innermost such containers, itself included."""
+
     tag: str
-    main: bool
-    side: bool
-    header: bool
-    marked: bool
-    silent: bool
+    within: str = ""
+    main: bool = False
+    silent: bool = False
+    hidden: bool = False
     wanted: bool = False
+    mark: _Open | None = None
+    side: _Open | None = None
+    header: _Open | None = None
+    page: _Open | None = None
+    first: int = 0
+    last: int = 0
 
 
 @dataclass
@@ -79,15 +99,90 @@ class Block:
     place: _Open | None = None
 
 
-class _Blocks(HTMLParser):
+class _Blocks:
     """Collects the text blocks of one page."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self._stack = [_Open("", False, False, False, False, False)]
+        self._root = _Open("")
+        self._root.page = self._root
+        self._stack = [self._root]
+        self._at: dict[str, list[int]] = defaultdict(list)
         self._block = Block()
-        self._links = 0
+        self._links = self._words = 0
+
+    def read(self, page: str) -> list[Block]:
+        at, end = 0, len(page)
+        while at < end:
+            sign = page.find("<", at)
+            if sign < 0:
+                sign = end
+            if sign > at:
+                self._text(unescape(page[at:sign]))
+            kind = page[sign + 1:sign + 2]
+            if kind.isascii() and kind.isalpha():
+                at = self._start_tag(page, sign + 1)
+            elif kind == "/" and page[sign + 2:sign + 3].isascii() and page[sign + 2:sign + 3].isalpha():
+                name, stop = _NAME_END.search(page, sign + 2), page.find(">", sign + 2)
+                at = end if stop < 0 else stop + 1
+                if stop >= 0:
+                    self._end(page[sign + 2:name.start()].lower())
+            elif page.startswith("<!--", sign):
+                stop = page.find("-->", sign + 2)
+                at = end if stop < 0 else stop + 3
+            elif kind in ("!", "?", "/"):
+                stop = page.find(">", sign)
+                at = end if stop < 0 else stop + 1
+            else:
+                at = min(end, sign + 1)
+                if sign < end:
+                    self._text("<")
+        self._pop_to(1)
+        self._root.last = self._words
+        self._end_block()
+        return self.blocks
+
+    def _start_tag(self, page: str, at: int) -> int:
+        """Reads a start tag whose name begins at ``at``; returns where it ends, the page's end if nothing ends it."""
+        end, found = len(page), _NAME_END.search(page, at)
+        if not found:
+            return end
+        name, at, given = page[at:found.start()].lower(), found.start(), {}
+        while True:
+            found = _NEXT_KEY.search(page, at)
+            if not found:
+                return end
+            at = found.start()
+            if page[at] == ">":
+                break
+            found = _KEY_END.search(page, at + 1)
+            if not found:
+                return end
+            key, at, value = page[at:found.start()].lower(), found.start(), None
+            found = _NOT_BLANK.search(page, at)
+            if found and page[found.start()] == "=":
+                found = _NOT_BLANK.search(page, found.start() + 1)
+                if not found:
+                    return end
+                at = found.start()
+                if page[at] in "\"'":
+                    stop = page.find(page[at], at + 1)
+                    if stop < 0:
+                        return end
+                    value, at = page[at + 1:stop], stop + 1
+                else:
+                    found = _VALUE_END.search(page, at)
+                    if not found:
+                        return end
+                    value, at = page[at:found.start()], found.start()
+            given.setdefault(key, unescape(value) if value else value)
+        self._start(name, given)
+        if page[at - 1] == "/" and name not in VOID and name in INLINE:
+            self._end(name)
+        elif name in RAW:
+            found = _RAW_END[name].search(page, at)
+            return found.start() if found else end
+        return at + 1
 
     def _end_block(self) -> None:
         if any(not p.isspace() for p in self._block.parts):
@@ -95,21 +190,23 @@ class _Blocks(HTMLParser):
         self._block = Block()
 
     def _pop_to(self, depth: int) -> None:
-        for gone in self._stack[depth:]:
+        for gone in reversed(self._stack[depth:]):
+            self._at[gone.tag].pop()
+            gone.last = self._words
             if gone.tag == "a":
                 self._links = max(0, self._links - 1)
         del self._stack[depth:]
 
+    def _depth(self, tags: set[str] | frozenset[str]) -> int:
+        """Where the innermost open element with one of the tags is; 0 if there is none."""
+        return max((self._at[t][-1] for t in tags if self._at.get(t)), default=0)
+
     def _close(self, tags: set[str] | frozenset[str], scopes: frozenset[str]) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self._stack[depth].tag
-            if tag in tags:
-                self._pop_to(depth)
-                return
-            if tag in scopes:
-                return
-
-    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        depth = self._depth(tags)
+        if depth and depth >= self._depth(scopes):
+            self._pop_to(depth)
+
+    def _start(self, tag: str, given: dict[str, str | None]) -> None:
         if tag == "br":
             self._block.parts.append(" ")
         if tag not in INLINE:
@@ -120,33 +217,33 @@ class _Blocks(HTMLParser):
                 self._close(ENDS_LIKE[tag], SCOPES - {"div"})
         if tag in VOID:
             return
-        given = dict(attrs)
         top = self._stack[-1]
         named = " ".join(v for k in ("class", "id", "role") if (v := given.get(k)))
         words = {w.lower() for w in SEPARATOR.split(named) if w} if named and tag not in ("html", "body") else set()
         is_main = tag in ("article", "main") or given.get("role") in ("main", "article")
-        marked = bool(words & (MARKED_MAIN if is_main else MARKED)) or "hidden" in given or "display:none" in (given.get("style") or "").replace(" ", "")
-        main = top.main or is_main
-        self._stack.append(_Open(
-            tag, main, top.side or tag in ("nav", "footer", "aside", "form", "menu", "dialog", "fieldset"),
-            top.header or (tag == "header" and not main), top.marked or marked, top.silent or tag in SILENT,
-            top.wanted or "data-main" in given,
-        ))
+        own = _Open(
+            tag, top.within if tag in INLINE else tag, top.main or is_main, top.silent or tag in SILENT,
+            top.hidden or "hidden" in given or "display:none" in (given.get("style") or "").replace(" ", ""),
+            top.wanted or "data-main" in given, top.mark, top.side, top.header, self._root, self._words,
+        )
+        if words & (MARKED_MAIN if is_main else MARKED):
+            own.mark = own
+        if tag in ("nav", "footer", "aside", "form", "menu", "dialog", "fieldset"):
+            own.side = own
+        if tag == "header" and not own.main:
+            own.header = own
+        self._at[tag].append(len(self._stack))
+        self._stack.append(own)
         if tag == "a":
             self._links += 1
 
-    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag in INLINE:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
+    def _end(self, tag: str) -> None:
         if tag not in INLINE:
             self._end_block()
         if tag not in VOID:
             self._close({tag}, frozenset() if tag in SCOPES else SCOPES)
 
-    def handle_data(self, data: str) -> None:
+    def _text(self, data: str) -> None:
         top = self._stack[-1]
         if top.silent or not data:
             return
@@ -154,27 +251,28 @@ class _Blocks(HTMLParser):
         if not data.isspace():
             if block.place is None:
                 block.place = top
-                block.tag = next((o.tag for o in reversed(self._stack) if o.tag not in INLINE), "")
+                block.tag = top.within
             if self._links:
                 block.linked.append(data)
+            self._words += len(data.split())
         block.parts.append(data)
 
-    def finish(self) -> list[Block]:
-        self.close()
-        self._end_block()
-        return self.blocks
-
 
 def blocks_of(page: str) -> list[Block]:
-    parser = _Blocks()
-    parser.feed(page)
-    return parser.finish()
+    return _Blocks().read(page)
 
 
 def block_text(block: Block) -> str:
     return " ".join("".join(block.parts).split())
 
 
+def _weight(container: _Open | None) -> float:
+    """How much a container says: 0 if there is none, else the share of the page's words outside of it."""
+    if container is None:
+        return 0.0
+    return 1.0 - (container.last - container.first) / max(1, container.page.last)
+
+
 def features(blocks: list[Block], texts: list[str]) -> np.ndarray:
     """One row per block of one page, in the order of ``FEATURES``."""
     n = len(blocks)
@@ -185,7 +283,8 @@ def features(blocks: list[Block], texts: list[str]) -> np.ndarray:
     out[1:, 2], out[1:, 3], out[:-1, 4], out[:-1, 5] = words[:-1], links[:-1], words[1:], links[1:]
     for i, (b, t) in enumerate(zip(blocks, texts, strict=True)):
         out[i, 6:] = (
-            b.tag in HEADINGS, b.tag in PROSE, b.tag in ITEMS, b.place.main, b.place.side, b.place.header, b.place.marked,
+            b.tag in HEADINGS, b.tag in PROSE, b.tag in ITEMS, b.place.main, _weight(b.place.side), _weight(b.place.header),
+            1.0 if b.place.hidden else _weight(b.place.mark),
             t[-1] in ".!?…:;\"'”’)。！？",
         )
     return out
@@ -294,6 +393,16 @@ LABELLED_PAGES = (
     <form><p>Leave your name and the number of jars you would like, and we will put them aside for you until the end of the month.</p><div>Jars</div></form></body></html>""",
     """<html><body><header><p>Since its founding the Review has appeared on the first day of every month, war and flood and one printers' strike excepted.</p><h2>Review</h2></header><nav><p>Read on in the next part, where the two brothers meet again at the mouth of the river and settle the matter.</p></nav>
     <h1 data-main>On rivers</h1><p data-main>A river is a road that walks.</p><p data-main>Old maps give it three names, one for each of the peoples who had to cross it, and none of the three is kind.</p><div class="comment"><p>My father ferried people across it for thirty years, and he had a fourth name for it that I will not print here.</p></div><div class="comment">Same here</div></body></html>""",
+    """<html><body><div class="site has-sidebar with-nav"><article><h1 data-main>Salt pans</h1><p data-main>The pans are flooded at the spring tide and left to the sun until the crust will bear a child.</p>
+    <p data-main>Rakes are of wood.</p><p data-main>A good summer fills the barn twice.</p></article></div><footer>Salt guild</footer></body></html>""",
+    """<html><body><form id="aspnetForm"><div id="menu"><a href=1>Start</a></div><article><h1 data-main>Night train</h1><p data-main>It leaves at eleven from the far platform and carries the post, two dogs and whoever missed the day.</p>
+    <p data-main>Bring a coat.</p><p data-main>By morning the lake lies on the other side, and the cook has run out of eggs.</p></article></form></body></html>""",
+    """<html><body><aside class="wrapper"><main><h2 data-main>Moss</h2><p data-main>Moss asks for shade and gives a floor that no carpet can equal, soft and cold and full of small lives.</p><p data-main>Leave it be.</p></main></aside><div class="share">Pass it on</div></body></html>""",
+    """<html><body><header class="page"><h1 data-main>Wind</h1><p data-main>Four names are given to it in the valley, and the oldest of them is used only of the wind that brings the locusts.</p><p data-main>All of them are rude.</p></header></body></html>""",
+    """<html><body><div class="story social-policy"><h1 data-main>A wage for all</h1><p data-main>The canton paid every grown person the same small sum for two years and watched what they would do with it.</p><p data-main>Most of them slept better.</p></div><div class="footer">Files</div></body></html>""",
+    """<html><body><p data-main>Short news today: the bridge opens at noon and closes again at dusk.</p><section id="comments"><h3>Comments</h3><p>I crossed it as a boy when it was still the old iron one, and my brother lost his hat to the river on the very day.</p>
+    <p>They promised us this bridge three times, and each time the money went to the harbour instead, so I will believe it when my own boots are on the other side.</p><p>Fine work all the same.</p></section></body></html>""",
+    """<html><body><article><p data-main>The well is dry.</p><p data-main>It was dug in a wet year, and nobody asked how deep.</p></article><footer><p>Everything on these pages may be copied by hand, read aloud and learned by heart, but not printed, sold or lent for money without a letter from us first.</p><p>Our office stands open on the first morning of every month, except in harvest time, when it stands empty.</p></footer></body></html>""",
     """<p data-main>Closed today.</p>""",
     """<div data-main>Nothing but one line</div>""",
     """<html><body><h1 data-main>Errata</h1><p data-main>Page nine: read south.</p><p data-main>Page ten</p></body></html>""",

@@ -1,5 +1,8 @@
 import html
 import re
+import time
+
+import pytest
 
 from pixsieve.llm import html_text, queries
 
@@ -49,3 +52,56 @@ def test_edge_cases(spark):
     assert out.columns.tolist() == ["page_id", "url", "text", "n_chars"] and len(out) == 6
     assert sorted(out.n_chars) == [0, 0, 0, 1, 549999, 549999]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+BODY = "<h1>The find</h1><p>Two divers met the old bell in the mud below the pier, a mile from where it was lost.</p><p>It rings.</p>"
+TEXT = "The find\nTwo divers met the old bell in the mud below the pier, a mile from where it was lost.\nIt rings."
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='site has-sidebar'><article>{}</article></div>",
+    "<div id='page-with-nav'><main>{}</main></div>",
+    "<form id='aspnetForm'><div class='menu'><a href=1>Start</a></div><article>{}</article></form>",
+    "<div class='story social-policy'>{}</div>",
+    "<body class='comments-open'><div class='widget-layout'><div class='header-fixed'><article>{}</article></div></div></body>",
+    "<aside class='wrapper'><main>{}</main></aside><div class='share'>Pass it on</div>",
+    "<div class='content with-ads'><nav><a href=1>Home</a> <a href=2>News</a></nav><article>{}</article><footer>Imprint</footer></div>",
+])
+def test_wrappers_around_everything_say_nothing(page):
+    assert html_text.main_texts([page.format(BODY)], html_text.trained_tree()) == [TEXT]
+
+
+@pytest.mark.parametrize("page", [
+    "<article>{}</article><section id='comments'><p>I heard it from the beach last night, and so did my dog, who has not slept since then.</p></section>",
+    "<article>{}</article><aside><article><h2>Read on</h2><p>The harbour master retires after forty years of tides and quarrels.</p></article></aside>",
+    "<div class='site has-sidebar'><article>{}</article><div class='sidebar'><p>Most read this week, chosen by the editors for you.</p></div></div>",
+    "<article>{}</article><div hidden><p>This is here for machines and nobody else should ever come to read it, long as it may be, word after word.</p></div>",
+])
+def test_marked_parts_of_a_page_stay_out(page):
+    assert html_text.main_texts([page.format(BODY)], html_text.trained_tree()) == [TEXT]
+
+
+def test_markup_that_nothing_ends():
+    tree = html_text.trained_tree()
+    for tail in ("<!-- no end", "<a href='no end>x", "<p title=x", "<script>var a = '<p>no</p>'", "</p", "<!doctype", "<style>p {}"):
+        assert html_text.main_texts([f"<article>{BODY}{tail}"], tree) == [TEXT]
+    assert html_text.main_texts([f"<article>{BODY}<p>1 < 2 <3 & so on</article>"], tree) == [TEXT + "\n1 < 2 <3 & so on"]
+    # A quote only opens a value behind an equals sign, and an end tag needs its element.
+    assert html_text.main_texts([f"<article don't></b></div>{BODY}</span></article>"], tree) == [TEXT]
+
+
+PART = 1 << 20
+
+
+@pytest.mark.parametrize("kind", [
+    "<!--", "<a ", "<b>x</i>", "<p title='x>", "<", "</x ", "&", "<script>", "<a x=' ", "<!x", "<i>", "<p>x", "<ul><li>", "<b><div>", "<td>y</th>", "<b><hr>x", "</b>",
+])
+def test_time_is_linear_in_malformed_pages(kind):
+    """Four times the page takes about four times as long, and 4 MB some seconds."""
+    tree, seconds = html_text.trained_tree(), []
+    for size in (PART // 4, PART):
+        page = f"<article>{BODY}" + "<b>" * 500 + "<div>" + kind * (size // len(kind)) + "</b></i>" * (size // 64)
+        start = time.perf_counter()
+        html_text.main_texts([page], tree)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 12 and seconds[1] < 10 * seconds[0] + 0.2
