@@ -15,7 +15,8 @@ n-grams: half their median, or their ``LOWEST`` quantile if that is less; texts
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0; rows without a language
 teach nothing; with no labelled row at all every text is ``und``, and ``in_a_language`` keeps all documents; equal texts get equal results, and
-equal scores go to the first language by name; other columns pass through.
+equal scores go to the first language by name; other columns pass through, in ``in_a_language`` also
+those that are called like the results.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixsieve.llm.chunks import text_chunks
+from pixsieve.llm.columns import unused
 
 BUCKETS = 1 << 16
 SAMPLE_PER_LANG = 4000
@@ -191,11 +193,14 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     return _model(sizes, names, _counts(chosen, names))
 
 
-def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False, floors: Floors | None = None) -> DataFrame:
-    """``docs``, without ``text`` unless it is to be kept, plus ``lang_pred`` and ``score``; texts below ``floors`` are ``und``."""
-    kept = docs.drop("lang_pred", "score")
+def predict(
+    docs: DataFrame, model: LanguageModel, text: str = "text", keep_text: bool = False, floors: Floors | None = None,
+    into: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """``docs``, without ``text`` unless it is to be kept, plus language and score in the columns ``into``; texts below ``floors`` are ``und``."""
+    kept = docs.drop(*into)
     rest = [f for f in kept.schema if keep_text or f.name != text]
-    schema = T.StructType([*rest, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*rest, T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.prior, model.likelihood))
     limits = None if floors is None else (floors.least, floors.spread)
 
@@ -216,8 +221,9 @@ def in_a_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
         return docs
     names = sorted(sizes)
     counts = _counts(chosen, names)
-    known = predict(docs, _model(sizes, names, counts), keep_text=True, floors=_floors(chosen, names, counts))
-    return known.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least)).select(*docs.columns)
+    into = tuple(unused(docs.columns, "lang_pred", "score"))
+    known = predict(docs, _model(sizes, names, counts), keep_text=True, floors=_floors(chosen, names, counts), into=into)
+    return known.filter((F.col(into[0]) != UNDETERMINED) & (F.col(into[1]) >= least)).select(*docs.columns)
 
 
 def identified(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 Pages are grouped by host. A line's ratio is the number of the host's pages that contain it, divided
 by the host's pages; lines above ``ratio`` are boilerplate there and are dropped from all its
 pages. Pages of a host with the same text count as one page, so copies of an article do not
-turn the article into boilerplate. A line needs ``least`` pages, so small sites keep theirs.
+turn the article into boilerplate. A line also needs ``least`` pages: a host with fewer keeps all its lines,
+since a share of so few pages says nothing.
 
 Lines end at ``\\n`` and are compared trimmed of blanks and tabs; blank lines are kept as they are.
 Frequencies are counted per (host, 128-bit hash of the line), so no text is shuffled to find them, and a
@@ -13,7 +14,7 @@ is small and otherwise as a shuffle join whose hot hosts the adaptive skew join
 
 Edge cases: a null text has no lines and stays null, an empty one stays empty; a null host is a
 host of its own; a line repeated inside one page counts once; empty tables give empty results;
-other columns pass through.
+other columns pass through, in ``without_boilerplate`` also those that are called like the counts of ``drop_boilerplate``.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pixsieve.llm.columns import unused
 from pixsieve.session import write_table
 
-RATIO = 0.1
+RATIO = 0.02
 LEAST_PAGES = 5
 
 
@@ -54,21 +56,25 @@ def boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float =
     )
 
 
-def drop_boilerplate(pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, least: int = LEAST_PAGES) -> DataFrame:
-    """``pages`` with boilerplate lines gone from ``text``, plus ``n_lines`` and ``n_dropped``."""
-    own = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
-    drop = write_table(boilerplate(pages, host, text, ratio, least), "boilerplate").select(F.col("host").alias("__host"), F.col("line_keys").alias("__keys"))
+def drop_boilerplate(
+    pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, least: int = LEAST_PAGES, into: tuple[str, str] = ("n_lines", "n_dropped")
+) -> DataFrame:
+    """``pages`` with boilerplate lines gone from ``text``, plus the numbers of lines and of dropped ones in the columns ``into``."""
+    own = [c for c in pages.columns if c not in into]
+    at, keys, kept_lines = unused([*pages.columns, *into], "host_of_keys", "line_keys", "kept")
+    drop = write_table(boilerplate(pages, host, text, ratio, least), "boilerplate").select(F.col("host").alias(at), F.col("line_keys").alias(keys))
     lines = _lines(F.col(text))
-    joined = pages.join(drop, F.col(host).eqNullSafe(F.col("__host")), "left")
-    kept = F.filter(lines, lambda x: ~F.array_contains("__keys", _line_key(x)))
-    split = joined.withColumn("__kept", F.when(F.col("__keys").isNull(), lines).otherwise(kept))
-    n, left = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size("__kept"), F.lit(0))
-    counts = [F.when(F.col(text).isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(F.col(text).isNull(), 0).otherwise(n - left).cast("long").alias("n_dropped")]
-    return split.select(*[F.array_join("__kept", "\n").alias(c) if c == text else F.col(c) for c in own], *counts)
+    joined = pages.join(drop, F.col(host).eqNullSafe(F.col(at)), "left")
+    kept = F.filter(lines, lambda x: ~F.array_contains(keys, _line_key(x)))
+    split = joined.withColumn(kept_lines, F.when(F.col(keys).isNull(), lines).otherwise(kept))
+    n, left = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size(kept_lines), F.lit(0))
+    counts = [F.when(F.col(text).isNull(), 0).otherwise(c).cast("long").alias(name) for c, name in zip((n, n - left), into, strict=True)]
+    return split.select(*[F.array_join(kept_lines, "\n").alias(c) if c == text else F.col(c) for c in own], *counts)
 
 
 def without_boilerplate(docs: DataFrame, host: str) -> DataFrame:
-    """Documents with boilerplate lines gone; those that had nothing else go too."""
-    cleaned = drop_boilerplate(docs, host)
-    emptied = (F.col("n_dropped") > 0) & (F.trim("text", F.lit(" \t\r\n")) == "")
+    """Documents with boilerplate lines gone and ``n_chars`` of what is left; those that had nothing else go too."""
+    into = tuple(unused(docs.columns, "n_lines", "n_dropped"))
+    cleaned = drop_boilerplate(docs, host, into=into)
+    emptied = (F.col(into[1]) > 0) & (F.trim("text", F.lit(" \t\r\n")) == "")
     return cleaned.filter(~F.coalesce(emptied, F.lit(False))).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

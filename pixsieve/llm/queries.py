@@ -130,7 +130,7 @@ WITH t AS (
 ), drops AS (
   SELECT s.source, s.line FROM seen s JOIN totals h ON s.source IS NOT DISTINCT FROM h.source
   WHERE s.line <> '' GROUP BY s.source, s.line, h.pages
-  HAVING count(*) >= 5 AND count(*) > 0.1 * h.pages
+  HAVING count(*) >= 5 AND count(*) > 0.02 * h.pages
 ), parts AS (
   SELECT doc_id, source, i, lines[i] AS line
   FROM (SELECT doc_id, source, lines, unnest(generate_series(1, len(lines))) AS i FROM t)
