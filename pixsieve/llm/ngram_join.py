@@ -8,21 +8,24 @@ Documents with equal sets are one class from the start; the join runs between di
    enough share one of those. N-grams with a single set are dropped.
 3. The global order is cut into fragments of equal mass. Sets that share a head n-gram are cut at the
    same places, and the partial overlaps of a candidate pair are counted fragment by fragment, in
-   separate tasks, and summed per pair. The first fragment comes first: what it leaves possible rules
-   most pairs out, and the others are cut for the rest only. The sum decides exactly.
+   separate tasks, and summed per pair. The first fragment, the rarest n-grams, comes first and alone, cut down to 16 bits
+   an n-gram: such counts are never too low, and what they leave possible rules most pairs out. Whole segments of all
+   fragments are cut for the rest only. Their sum decides exactly.
 4. Pairs inside a group are not listed. Each shared n-gram first pairs its sets with one pivot, the set
    that has the fewest n-grams of its own before it;
    links are contracted to components; sets that are already connected need no comparison. What is left
    is compared in later rounds with all sets of a small group, or with more and more pivots of a large
    one, until every pair that could link two components has been compared.
 
+Components are found by ``operators.components``, which this module depends on.
+
 N-grams and sets are told apart by 64-bit hashes. Everything the driver holds has a fixed size: the count
 table, the cuts and a bitmap that spares most other documents the third scan.
 
 Edge cases: a text without words, null or empty has an empty set and links with nothing; one with fewer
 words than ``size`` has its word sequence as its one n-gram; a null ``doc_id`` takes part in
-nothing and is its own class (null); repeated rows are copies; an empty table gives no rows; other columns are
-not read.
+nothing and is its own class (null); repeated rows are copies, and rows of one ``doc_id`` with different texts
+are classed by each text, under the same id; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -213,8 +216,11 @@ def _heads(size: int, percent: int, shared):
     return run, "token long, sid long, n int, place int"
 
 
-def _segments(size: int, first: int, last: int, shared):
-    """(sid, fragment, n-grams) of the documents that the bitmap lets pass, for a range of fragments."""
+def _segments(size: int, first: int, last: int, kind: type, shared):
+    """(sid, fragment, n-grams) of the documents that the bitmap lets pass, for a range of fragments.
+
+    N-grams are cut down to the width of ``kind``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, bitmap, cuts = shared.value
@@ -236,23 +242,30 @@ def _segments(size: int, first: int, last: int, shared):
                     if end > start:
                         out[0].append(sid)
                         out[1].append(k)
-                        out[2].append(own[start:end].tobytes())
+                        out[2].append(own[start:end].astype(kind).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.binary())], names=["sid", "fragment", "grams"])
 
     return run, "sid long, fragment int, grams binary"
 
 
-def _count_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial overlap of the two segments of a pair, and their lengths; a missing one is empty."""
-    for batch in batches:
-        sides = [[np.frombuffer(x or b"", np.uint64) for x in batch.column(c).to_pylist()] for c in ("a_grams", "b_grams")]
-        common = []
-        for x, y in zip(*sides, strict=True):
-            both = np.concatenate((x, y))
-            both.sort()
-            common.append(int(np.count_nonzero(both[1:] == both[:-1])))
-        counts = [pa.array(v, pa.int32()) for v in (common, list(map(len, sides[0])), list(map(len, sides[1])))]
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *counts], names=["a", "b", "common", "a_part", "b_part"])
+def _count_overlaps(kind: type):
+    """Partial overlap of the two segments of a pair, and their lengths; a missing one is empty.
+
+    Of n-grams that are cut down, equal ones on one side count too, so the overlap is never too low.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [[np.frombuffer(x or b"", kind) for x in batch.column(c).to_pylist()] for c in ("a_grams", "b_grams")]
+            common = []
+            for x, y in zip(*sides, strict=True):
+                both = np.concatenate((x, y))
+                both.sort()
+                common.append(int(np.count_nonzero(both[1:] == both[:-1])))
+            counts = [pa.array(v, pa.int32()) for v in (common, list(map(len, sides[0])), list(map(len, sides[1])))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *counts], names=["a", "b", "common", "a_part", "b_part"])
+
+    return run
 
 
 def _common(x: str, y: str, percent: int) -> Column:
@@ -268,30 +281,29 @@ def _can_link(x: str, y: str, x_place: str, y_place: str, percent: int) -> Colum
     return sizes & (F.col(x_place) + common <= F.col(x)) & (F.col(y_place) + common <= F.col(y))
 
 
-def _overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """(a, b, common, a_part, b_part), one row per pair and fragment that one of them has.
+def _overlaps(pairs: DataFrame, segments: DataFrame, kind: type) -> DataFrame:
+    """(a, b, common, a_part, b_part) of pairs and the fragments that ``a`` has.
 
-    Segments are joined once, to the ends of the pairs, and meet by pair and fragment.
+    Segments of ``a`` go to those of ``b``, which are sent once however many pairs they are in; a ``b`` of very many pairs
+    is split by the adaptive skew join.
     """
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("sid"))
-    met = segments.join(ends, "sid").groupBy("a", "b", "fragment").agg(
-        F.max(F.when(F.col("sid") == F.col("a"), F.col("grams"))).alias("a_grams"),
-        F.max(F.when(F.col("sid") == F.col("b"), F.col("grams"))).alias("b_grams"),
-    )
-    return met.mapInArrow(_count_overlaps, "a long, b long, common int, a_part int, b_part int")
+    mine = segments.select(F.col("sid").alias("a"), "fragment", F.col("grams").alias("a_grams"))
+    theirs = segments.select(F.col("sid").alias("b"), "fragment", F.col("grams").alias("b_grams"))
+    met = pairs.select("a", "b").join(mine, "a").join(theirs, ["b", "fragment"], "left").select("a", "b", "a_grams", "b_grams")
+    return met.mapInArrow(_count_overlaps(kind), "a long, b long, common int, a_part int, b_part int")
 
 
 def _promising(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` that may still be similar after the first fragment, with its overlap as ``seen``."""
-    part = pairs.join(_overlaps(pairs, light), ["a", "b"], "left").fillna(0, ["common", "a_part", "b_part"])
+    """``pairs`` that may still be similar after the first fragment."""
+    part = pairs.join(_overlaps(pairs, light, np.uint16), ["a", "b"], "left").fillna(0, ["common", "a_part", "b_part"])
     most = F.col("common") + F.least(F.col("a_n") - F.col("a_part"), F.col("b_n") - F.col("b_part"))
-    return part.filter(most >= _common("a_n", "b_n", percent)).select("a", "b", "a_n", "b_n", F.col("common").alias("seen"))
+    return part.filter(most >= _common("a_n", "b_n", percent)).select("a", "b", "a_n", "b_n")
 
 
 def _similar(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs that are similar: partial overlaps summed per pair."""
-    common = _overlaps(pairs, segments).groupBy("a", "b").agg(F.sum("common").alias("more"))
-    summed = pairs.join(common, ["a", "b"], "left").withColumn("common", F.col("seen") + F.coalesce("more", F.lit(0)))
+    common = _overlaps(pairs, segments, np.uint64).groupBy("a", "b").agg(F.sum("common").alias("common"))
+    summed = pairs.join(common, ["a", "b"])
     union = F.col("a_n") + F.col("b_n") - F.col("common")
     return summed.filter(F.col("common") * 100 >= union * percent).select("a", "b")
 
@@ -307,6 +319,15 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _forget(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more: all that was made of them is written too."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments: int = FRAGMENTS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for ``docs`` (doc_id, text).
 
@@ -335,16 +356,18 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         "token", "sid", "n", "place", "members", F.col("pivot.sid").alias("pivot"), F.col("pivot.n").alias("pivot_n"), F.col("pivot.place").alias("pivot_place")
     ), "ngram-groups")
 
-    copies = sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
+    copies = write_table(sets.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "ngram-copies")
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITMAP_BITS)).alias("bit")
     cuts = _cuts(counts, fragments)
 
-    def segments(sids: DataFrame, first: int, last: int) -> DataFrame:
+    def segments(sids: DataFrame, first: int, last: int, kind: type) -> DataFrame:
         bitmap = _bitmap(copies.join(sids, "sid", "left_semi").select("doc_id"))
-        run, fields = _segments(size, first, last, spark.sparkContext.broadcast((counts, bitmap, cuts)))
-        return write_table(own.select(bit, "text").mapInArrow(run, fields), "ngram-segments")
+        run, fields = _segments(size, first, last, kind, spark.sparkContext.broadcast((counts, bitmap, cuts)))
+        # The bitmap lets pass some other documents too, and not only one of those with equal sets.
+        cut = own.select(bit, "text").mapInArrow(run, fields).join(sids, "sid", "left_semi")
+        return write_table(cut.dropDuplicates(["sid", "fragment"]), "ngram-segments")
 
-    light = segments(groups.select("sid").distinct(), 0, 1)
+    light = segments(groups.select("sid").distinct(), 0, 1, np.uint16)
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Similar pairs: the first fragment rules most out, the others are cut for the rest only."""
@@ -352,8 +375,19 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         left = write_table(_promising(pairs, light, percent), "ngram-promising")
         if left.isEmpty():
             return left.select("a", "b")
-        heavy = segments(left.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), 1, fragments)
-        return write_table(_similar(left, heavy, percent), "ngram-links")
+        heavy = segments(left.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), 0, fragments, np.uint64)
+        links = write_table(_similar(left, heavy, percent), "ngram-links")
+        _forget(pairs, left, heavy)
+        return links
+
+    def connected(found: DataFrame, roots: DataFrame) -> DataFrame:
+        """The roots after more links: components are stars already, so only the roots meet."""
+        if found.isEmpty():
+            return roots
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        more = write_table(components(stars.unionByName(found)), "ngram-roots")
+        _forget(roots, found)
+        return more
 
     low, high = F.col("sid") < F.col("other"), _can_link("n", "other_n", "place", "other_place", percent)
     as_pair = [
@@ -361,15 +395,18 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         F.when(low, F.col("n")).otherwise(F.col("other_n")).alias("a_n"), F.when(low, F.col("other_n")).otherwise(F.col("n")).alias("b_n"),
     ]
     stars = groups.withColumnRenamed("pivot", "other").withColumnRenamed("pivot_n", "other_n").withColumnRenamed("pivot_place", "other_place")
-    links = linked(stars.filter((F.col("sid") != F.col("other")) & high).select(*as_pair).distinct())
-    roots = write_table(components(links), "ngram-roots")
+    roots = write_table(components(linked(stars.filter((F.col("sid") != F.col("other")) & high).select(*as_pair).distinct())), "ngram-roots")
     # Two sets are done once compared with each other.
     left = groups.filter((F.col("sid") != F.col("pivot")) & (F.col("members") > 2)).select("token", "sid", "n", "place")
     pivots = 16
     while True:
         known = left.join(roots, left["sid"] == roots["node"], "left").select("token", "sid", "n", "place", F.coalesce("root", "sid").alias("root"))
         spread = known.groupBy("token").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token", "members")
-        left = write_table(known.join(spread, "token"), "ngram-left")
+        before, left = left, write_table(known.join(spread, "token"), "ngram-left")
+        if pivots == 16:
+            _forget(groups)
+        else:
+            _forget(before)
         if left.isEmpty():
             break
         slot = F.pmod(F.xxhash64("sid", F.lit(pivots)), F.lit(pivots))
@@ -377,10 +414,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         small = left.filter(F.col("members") <= SMALL_GROUP).select("token", "sid", "n", "place", "root")
         others = write_table(small.unionByName(some), "ngram-pivots").select("token", F.col("sid").alias("other"), F.col("n").alias("other_n"), F.col("place").alias("other_place"), F.col("root").alias("other_root"))
         met = left.join(others, "token").filter((F.col("root") != F.col("other_root")) & high)
-        found = linked(met.select(*as_pair).distinct())
-        if not found.isEmpty():
-            links = links.unionByName(found)
-            roots = write_table(components(links), "ngram-roots")
+        roots = connected(linked(met.select(*as_pair).distinct()), roots)
         done = others.select("token", F.col("other").alias("sid"))
         left = left.filter(F.col("members") > SMALL_GROUP).join(done, ["token", "sid"], "left_anti").select("token", "sid", "n", "place")
         pivots *= 4
