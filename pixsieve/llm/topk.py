@@ -1,8 +1,9 @@
 """Exact top-k by integer inner product, as tiled matrix products.
 
-Candidates are cut into shards and queries into blocks, each packed into one matrix row. Every block meets
-every shard in one tile: a matrix product, then the best k of each query inside the tile. The
-lists meet in a tree: first those of a group of shards, then those of the groups.
+Candidates are cut into shards and queries into blocks, each packed into one matrix row. Blocks are dealt to groups and
+shards to parts; a task gets one group and one part, so every matrix is shuffled once, to as many tasks as there
+are parts or groups. There every block meets every shard in one tile: a matrix product, then the best k of each
+query inside the tile. The lists meet in a tree: the tiles of a task, the parts by threes and more, all of them.
 
 Components are floors of 1024 x, so scores are whole numbers. Products run in double precision while
 every partial sum stays below 2**53 and is exact; larger numbers use Python integers.
@@ -24,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pixsieve.session import write_table
-
 SHARD_ROWS = 2048
 BLOCK_ROWS = 1024
+GROUP_BLOCKS = 32
+PART_SHARDS = 32
 EXACT = 2.0**53
 PACKED = "dim int, part long, ids binary, vectors binary"
 LISTS = "query_id long, vec_id long, score long, part long"
@@ -83,26 +84,48 @@ def _best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> tuple
     return np.nonzero(allowed & (scores >= cut[:, None]))
 
 
-def _tiles(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                queries = np.frombuffer(row["q_vectors"], np.int64).reshape(-1, row["dim"])
-                shard = np.frombuffer(row["vectors"], np.int64).reshape(-1, row["dim"])
-                own, ids = np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-                bound = float(np.abs(queries.astype(float)).max()) * float(np.abs(shard.astype(float)).max()) * row["dim"]
-                if bound < EXACT:
-                    scores = queries.astype(float) @ shard.astype(float).T
-                else:
-                    scores = queries.astype(object) @ shard.astype(object).T
-                at, of = _best(scores, ids, own, k)
-                best = scores[at, of]
-                order = np.lexsort((ids[of], -best, at))
-                at, of, best = at[order], of[order], best[order]
-                rank = np.arange(len(at)) - np.searchsorted(at, at)
-                at, of, best = at[rank < k], of[rank < k], best[rank < k]
-                data = [own[at], ids[of], [int(x) for x in best], np.full(len(at), row["part"], np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in data], names=["query_id", "vec_id", "score", "part"])
+def _tile(row: dict, shard_row: dict, k: int) -> list[np.ndarray]:
+    """(query, candidate, score) of the best k of each query of a block in a shard."""
+    queries = np.frombuffer(row["vectors"], np.int64).reshape(-1, row["dim"])
+    shard = np.frombuffer(shard_row["vectors"], np.int64).reshape(-1, row["dim"])
+    own, ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(shard_row["ids"], np.int64)
+    bound = float(np.abs(queries.astype(float)).max()) * float(np.abs(shard.astype(float)).max()) * row["dim"]
+    if bound < EXACT:
+        scores = queries.astype(float) @ shard.astype(float).T
+    else:
+        scores = queries.astype(object) @ shard.astype(object).T
+    at, of = _best(scores, ids, own, k)
+    return _first_k([own[at], ids[of], np.array([int(x) for x in scores[at, of]], object)], k)
+
+
+def _first_k(lists: list[np.ndarray], k: int) -> list[np.ndarray]:
+    """The k best rows of each query, ties to the smaller id."""
+    query, candidate, score = lists
+    order = np.lexsort((candidate, -score, query))
+    query = query[order]
+    rank = np.arange(len(query)) - np.searchsorted(query, query)
+    keep = order[rank < k]
+    return [x[keep] for x in lists]
+
+
+def _meet(k: int):
+    """Every block of a group with every shard of a part; of each block only the best k so far are kept."""
+
+    def run(key: tuple, blocks: pa.Table, shards: pa.Table) -> pa.Table:
+        found = [[], [], []]
+        if blocks.num_rows:
+            best: dict[int, list[np.ndarray]] = {}
+            rows = blocks.to_pylist()
+            for i in range(shards.num_rows):
+                shard = shards.slice(i, 1).to_pylist()[0]
+                for j, row in enumerate(rows):
+                    new = _tile(row, shard, k)
+                    best[j] = _first_k([np.concatenate(x) for x in zip(best[j], new, strict=True)], k) if j in best else new
+            for lists in best.values():
+                for column, values in zip(found, lists, strict=True):
+                    column += values.tolist()
+        part = [key[2].as_py()] * len(found[0])
+        return pa.table([pa.array(x, pa.int64()) for x in (*found, part)], names=["query_id", "vec_id", "score", "part"])
 
     return run
 
@@ -115,21 +138,33 @@ def _merged(lists: DataFrame, k: int, *keys: str) -> DataFrame:
 def top_k(queries: DataFrame, candidates: DataFrame, k: int = 10, fan_in: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score) for (vec_id, vector array<long>) tables.
 
-    Both sides are packed, then every block meets every shard once, joined on the number of the
-    block that the shard is copied for: shards are shipped once per block of ``BLOCK_ROWS`` queries.
+    Both sides are packed. A block of queries goes to all parts of the candidates, a shard to all groups of blocks: with N
+    vectors and a hundredth of them as queries that is one copy of each shard per ``GROUP_BLOCKS`` x ``BLOCK_ROWS`` queries
+    and one of each query per ``PART_SHARDS`` x ``SHARD_ROWS`` candidates (fewer where there are more cores than parts).
     """
     spark = queries.sparkSession
-    full = max(1, -(-queries.count() // BLOCK_ROWS))
-    packed = write_table(_packed(queries.repartition(full), BLOCK_ROWS), "query-blocks")
-    blocks = packed.select("dim", F.col("part").alias("block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    shards = _packed(candidates, SHARD_ROWS)
-    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = blocks.groupBy("dim").agg(F.collect_list("block").alias("blocks"))
-    copies = shards.join(keys, "dim").select("*", F.explode("blocks").alias("block")).drop("blocks")
-    tiles = copies.join(blocks, ["dim", "block"]).repartition(parallel)
-    lists = tiles.mapInArrow(_tiles(k), LISTS)
-    groups = _merged(lists.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(fan_in))), k, "query_id", "part")
-    return _merged(groups.drop("rank"), k, "query_id").select("query_id", "rank", "vec_id", "score")
+    cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks_of = max(1, -(-queries.count() // BLOCK_ROWS))
+    shards_of = max(1, -(-candidates.count() // SHARD_ROWS))
+    groups = -(-blocks_of // GROUP_BLOCKS)
+    parts = max(-(-shards_of // PART_SHARDS), min(cores, shards_of))
+
+    def dealt(packed: DataFrame, own: str, count: int, other: str, copies: int) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other)
+        return packed.select("dim", F.pmod(F.xxhash64("part"), F.lit(count)).cast("int").alias(own), every, "ids", "vectors")
+
+    blocks = dealt(_packed(queries.repartition(blocks_of), BLOCK_ROWS), "group", groups, "side", parts)
+    shards = dealt(_packed(candidates, SHARD_ROWS), "side", parts, "group", groups)
+    left = blocks.select("dim", "group", "side", "ids", "vectors").groupBy("dim", "group", "side")
+    right = shards.select(*[F.col(c).alias(f"c_{c}") if c in ("dim", "group", "side") else c for c in ("dim", "group", "side", "ids", "vectors")])
+    run = _meet(k)
+
+    def meet(key: tuple, mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        return run(key, mine, theirs.rename_columns(["dim", "group", "side", "ids", "vectors"]))
+
+    lists = left.cogroup(right.groupBy("c_dim", "c_group", "c_side")).applyInArrow(meet, LISTS)
+    merged = _merged(lists.withColumn("part", F.pmod(F.xxhash64("part"), F.lit(fan_in))), k, "query_id", "part")
+    return _merged(merged.drop("rank"), k, "query_id").select("query_id", "rank", "vec_id", "score")
 
 
 def quantised(embeddings: DataFrame, scale: int = 1024) -> DataFrame:

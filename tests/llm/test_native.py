@@ -67,6 +67,25 @@ def test_line_edge_cases(spark, awkward, make_docs):
     assert sorted(r.text for r in left) == [f"x{i}" for i in range(9)] and all(r.n_chars == len(r.text) for r in left)
 
 
+def test_lines_on_one_to_fifteen_percent_of_a_host(spark, make_docs):
+    """1000 pages of one host: lines above 2 % go, copied articles and lines of few pages stay."""
+    shares = {0.01: False, 0.018: False, 0.02: False, 0.021: True, 0.03: True, 0.08: True, 0.15: True}
+    pages = [[f"page {i}"] for i in range(1000)]
+    for share in shares:
+        for i in range(round(1000 * share)):
+            pages[(i * 7) % 1000].append(f"line on {share}")
+    rows = [("\n".join(p), "en", "large") for p in pages] + [("a copied story\nin two lines", "en", "large")] * 300
+    rows += [(f"menu\nsmall {i}", "en", "four pages") for i in range(4)] + [(f"menu\nother {i}", "en", "five pages") for i in range(5)]
+    out = {r.doc_id: r.text for r in lines.drop_boilerplate(make_docs(rows), "source").collect()}
+    for share, goes in shares.items():
+        left = sum(f"line on {share}" in out[i].split("\n") for i in range(1000))
+        assert left == (0 if goes else round(1000 * share))
+    assert all(out[i] == "a copied story\nin two lines" for i in range(1000, 1300))
+    assert [out[i] for i in range(1300, 1304)] == [f"menu\nsmall {i}" for i in range(4)]
+    assert [out[i] for i in range(1304, 1309)] == [f"other {i}" for i in range(5)]
+    assert all(out[i].startswith(f"page {i}") for i in range(1000))
+
+
 def brute(vectors, k):
     out = []
     for q, x in vectors:
@@ -89,3 +108,24 @@ def test_top_k_by_brute_force(spark, monkeypatch, scale):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
     none = vectors.limit(0)
     assert topk.top_k(none, none).count() == 0
+
+
+def test_top_k_shuffles_each_matrix_once(spark):
+    vectors = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(*[(F.col("id") * k % 97).cast("long") for k in (3, 5, 7)]).alias("vector"))
+    out = topk.top_k(vectors.filter("vec_id % 100 = 0"), vectors)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    packed = [line for line in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning(dim" in line or "Exchange hashpartitioning(c_dim" in line]
+    assert len(packed) == 2 and "FlatMapCoGroupsInArrow" in plan
+    assert out.count() == 300
+
+
+@pytest.mark.parametrize(("group", "part"), [(1, 1), (3, 2), (100, 100)])
+def test_groups_and_parts_change_nothing(spark, monkeypatch, group, part):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 11)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", group)
+    monkeypatch.setattr(topk, "PART_SHARDS", part)
+    data = [(i * 10, [(i * j) % 5 - 2 for j in range(4)]) for i in range(150)]
+    vectors = spark.createDataFrame(data, "vec_id long, vector array<long>").repartition(5)
+    got = topk.top_k(vectors.filter("vec_id % 100 = 0"), vectors, k=7, fan_in=2).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute(data, 7)
