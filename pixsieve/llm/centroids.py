@@ -28,7 +28,10 @@ from pyspark.sql import functions as F
 from pixsieve.session import write_table
 
 BLOCK_ROWS = 4096
-TILE_ROWS = 256
+TILE_ROWS = 512
+# When more than this share of the distances of a step is asked for, all are worked out in one matrix product.
+DENSE = 0.25
+EXACT = 2**53
 LARGEST = 1 << 28
 FAR = np.int64(1) << 40
 
@@ -81,6 +84,9 @@ def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
     left, column = right - 1, np.arange(dims)
     met = np.zeros((len(vectors), clusters), bool)
     walking = np.arange(len(vectors))
+    largest = max((int(np.abs(m).max()) for m in (vectors, centroids) if m.size), default=0)
+    plain = centroids.astype(np.float64)
+    squares = (plain * plain).sum(axis=1)
     for _ in range(clusters):
         x = vectors[walking]
         below, above = x - values[left, column], values[right, column] - x
@@ -90,10 +96,15 @@ def nearest(vectors: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.
         fresh[np.arange(len(walking))[:, None], reached] = True
         fresh &= ~met[walking]
         met[walking] |= fresh
-        at, number = np.nonzero(fresh)
-        gaps = x[at] - centroids[number]
         distances = np.full(fresh.shape, np.iinfo(np.int64).max)
-        distances[at, number] = np.einsum("ij,ij->i", gaps, gaps)
+        if np.count_nonzero(fresh) > DENSE * fresh.size and 4 * dims * largest**2 < EXACT:
+            rows = x.astype(np.float64)
+            every = (rows * rows).sum(axis=1)[:, None] + squares - 2 * (rows @ plain.T)
+            distances[fresh] = every[fresh]
+        else:
+            at, number = np.nonzero(fresh)
+            gaps = x[at] - centroids[number]
+            distances[at, number] = np.einsum("ij,ij->i", gaps, gaps)
         least = distances.argmin(axis=1)
         found = distances[np.arange(len(walking)), least]
         closer = (found < best[walking]) | ((found == best[walking]) & (least < chosen[walking]))

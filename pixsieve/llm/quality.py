@@ -9,12 +9,16 @@ Scores are logistic in the strength, moved so that the quantile has the score ``
 Only the weights come from a bounded sample: about ``SAMPLE_PER_CLASS`` labelled documents of each class
 chosen by the hash of ``doc_id``, all where there are fewer, and ``PAIRS`` pairs of them drawn with a fixed
 seed. Class sizes and the quantile cover all labelled documents that have words: texts are turned into
-features before they meet the labels, so no text is shuffled, and the quantile is found by histograms that
-are summed map-side and narrowed. Features read the whole text and nothing else.
+features once, in a written table of a hundred bytes a row, before they meet the labels; training and scoring read
+that table, so no text is shuffled, and the quantile is found by histograms that
+are summed map-side and narrowed. Features read the whole text and nothing else. (``of_quality`` writes the documents beside
+their features, as it returns whole documents, which need have no key.)
 
 Edge cases: a null or empty text, or one of white space, has strength of its own and the score
-0; equal texts have equal scores; labels of unknown documents and null labels are ignored; if one class has no example,
-nothing can be learned and every other text has score 0.5; other columns pass through.
+0; equal texts have equal scores; labels of unknown documents and null labels are ignored, and a document labelled
+both ways counts as good; if one class has no example,
+nothing can be learned and every other text has score 0.5; other columns pass through, in ``of_quality`` also those
+that are called like the results.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pixsieve.llm.chunks import text_chunks
+from pixsieve.llm.columns import unused
 from pixsieve.llm.langid import held_out, letter_table
 from pixsieve.session import write_table
 
@@ -135,10 +140,10 @@ def fit(good: np.ndarray, bad: np.ndarray, share_bad: float, seed: int = 7) -> Q
     return model
 
 
-def _with_features(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` without ``text``, plus ``features`` and ``some``."""
-    rest = [f for f in docs.schema if f.name != text]
-    schema = T.StructType([*rest, T.StructField("features", T.ArrayType(T.DoubleType())), T.StructField("some", T.BooleanType())])
+def _with_features(docs: DataFrame, text: str, keep_text: bool = False, into: tuple[str, str] = ("features", "some")) -> DataFrame:
+    """``docs``, without ``text`` unless it is to be kept, plus its features and whether it has words."""
+    rest = [f for f in docs.schema if keep_text or f.name != text]
+    schema = T.StructType([*rest, T.StructField(into[0], T.ArrayType(T.DoubleType())), T.StructField(into[1], T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter, upper = letter_table(), _upper_table()
@@ -182,8 +187,13 @@ def _strengths(labelled: DataFrame, model: QualityModel) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality)."""
+    return _train(_with_features(docs.select("doc_id", "text"), "text"), labels, per_class)
+
+
+def _train(featured: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> QualityModel:
+    """A model from (doc_id, features, some) and the labels."""
     known = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = _with_features(docs.select("doc_id", "text"), "text").filter("some").select("doc_id", "features")
+    rows = featured.filter("some").select("doc_id", "features")
     labelled = write_table(rows.join(known, "doc_id"), "quality-labelled")
     sizes = {r["quality"]: r["n"] for r in labelled.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
@@ -218,16 +228,37 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", keep_text: b
     return kept.mapInArrow(run, schema)
 
 
+def _score_features(rows: DataFrame, model: QualityModel, names: tuple[str, str], into: tuple[str, str]) -> DataFrame:
+    """``rows`` without their features (columns ``names``), plus score and predicted label in the columns ``into``."""
+    rest = [f for f in rows.schema if f.name not in names]
+    schema = T.StructType([*rest, T.StructField(into[0], T.DoubleType()), T.StructField(into[1], T.IntegerType())])
+    shared = rows.sparkSession.sparkContext.broadcast((model.mean, model.spread, model.weights, model.cut, model.learned))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = QualityModel(*shared.value)
+        for batch in batches:
+            values = batch.column(names[0]).flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+            scores = own.score(values, batch.column(names[1]).to_numpy(zero_copy_only=False))
+            columns = [batch.column(f.name) for f in rest]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def of_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are predicted to be good; all of them if nothing could be learned."""
-    model = train(docs, labels.select("doc_id", "quality").filter(~held_out(F.col("doc_id"))))
+    names, into = tuple(unused(docs.columns, "features", "some")), tuple(unused(docs.columns, "score", "predicted"))
+    featured = write_table(_with_features(docs, "text", keep_text=True, into=names), "quality-featured")
+    plain = featured.select("doc_id", F.col(names[0]).alias("features"), F.col(names[1]).alias("some"))
+    model = _train(plain, labels.select("doc_id", "quality").filter(~held_out(F.col("doc_id"))))
     if not model.learned:
         return docs
-    return score(docs, model, keep_text=True).filter(F.col("predicted") == 1).select(*docs.columns)
+    return _score_features(featured, model, names, into).filter(F.col(into[1]) == 1).select(*docs.columns)
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: whether it was held out, its score and the predicted label."""
-    own = docs.select("doc_id", "text")
-    model = train(own, labels.select("doc_id", "quality").filter(~held_out(F.col("doc_id"))))
-    return score(own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text"), model).select("doc_id", "held_out", "score", "predicted")
+    own = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    featured = write_table(_with_features(own, "text"), "quality-featured")
+    model = _train(featured, labels.select("doc_id", "quality").filter(~held_out(F.col("doc_id"))))
+    return _score_features(featured, model, ("features", "some"), ("score", "predicted")).select("doc_id", "held_out", "score", "predicted")

@@ -42,6 +42,18 @@ def test_nearest_by_brute_force(dims, spread):
     assert (number == distances.argmin(axis=1)).all() and (best == distances.min(axis=1)).all()
 
 
+@pytest.mark.parametrize("dense", [0.0, 2.0])
+@pytest.mark.parametrize("spread", [30, 1 << 27])
+def test_both_ways_to_work_out_distances_agree(monkeypatch, dense, spread):
+    """Whole products are only taken while every sum is exact in double precision."""
+    monkeypatch.setattr(centroids, "DENSE", dense)
+    rng = np.random.default_rng(spread)
+    vectors, centers = rng.integers(-spread, spread + 1, (300, 16)), rng.integers(-spread, spread + 1, (12, 16))
+    distances = ((vectors[:, None, :] - centers[None]) ** 2).sum(axis=2)
+    number, best = centroids.nearest(vectors, centers)
+    assert (number == distances.argmin(axis=1)).all() and (best == distances.min(axis=1)).all()
+
+
 def test_walk_stops_early(monkeypatch):
     """Far clusters are never met: gaps are computed for few of the centroids."""
     centers = np.arange(200)[:, None] * 1000 + np.zeros((1, 4), np.int64)

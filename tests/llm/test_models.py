@@ -91,6 +91,52 @@ def test_quality_cut_covers_all_labelled_documents(spark, make_docs):
     assert quality.train(docs, labels.unionByName(unknown), per_class=20).cut == model.cut
 
 
+def test_quality_equals_plain_gradient_descent_on_all_pairs(spark, make_docs):
+    """Same order of documents and same cut as a fit of every pair of a good and a bad one."""
+    rng = np.random.default_rng(11)
+    words = ["The", "river", "walks", "slowly", "past", "us", "|", "##", "77", "BUY", "now", "now"]
+    texts = [" ".join(rng.choice(words[: 6 + 2 * int(rng.integers(4))], int(rng.integers(15, 60)))) for _ in range(140)] + ["", "  "]
+    truth = [int("|" not in t and rng.random() < 0.85) for t in texts]
+    labels = spark.createDataFrame(list(enumerate(truth)), "doc_id long, quality int")
+    model = quality.train(make_docs(texts), labels)
+    rows, some = quality.features(texts, langid.letter_table(), quality._upper_table())
+    x, y = rows[some], np.array(truth)[some]
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6)
+    gaps = (z[y == 1][:, None, :] - z[y == 0][None, :, :]).reshape(-1, z.shape[1])
+    weights = np.zeros(z.shape[1])
+    for _ in range(20_000):
+        p = 1 / (1 + np.exp(gaps @ weights))
+        weights += 0.5 * ((gaps * p[:, None]).mean(axis=0) - quality.RIDGE * weights)
+    want, got = z @ weights, model.strength(x)
+    ranks = [np.argsort(np.argsort(v)) for v in (want, got)]
+    assert np.corrcoef(*ranks)[0, 1] > 0.99
+    assert np.corrcoef(want, got)[0, 1] > 0.995
+    out = quality.scored(make_docs(texts), labels.filter("doc_id >= 0")).toPandas().sort_values("doc_id")
+    order = np.sort(got)
+    assert model.cut == pytest.approx((order[(y == 0).sum() - 1] + order[(y == 0).sum()]) / 2)
+    assert out[~some].score.eq(0).all() and len(out) == len(texts)
+
+
+def test_texts_are_featurised_once(spark, tmp_path, monkeypatch):
+    """Every text of the documents reaches the features once, in the query and in the stage."""
+    import uuid
+
+    plain = quality.features
+
+    def counting(texts, letter, upper):
+        (tmp_path / uuid.uuid4().hex).write_text(str(len(texts)))
+        return plain(texts, letter, upper)
+
+    monkeypatch.setattr(quality, "features", counting)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    for run in (quality.scored, quality.of_quality):
+        run(docs, labels).count()
+        assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == docs.count()
+        for p in tmp_path.iterdir():
+            p.unlink()
+
+
 def test_value_at_a_rank(spark, monkeypatch):
     monkeypatch.setattr(quality, "BINS", 4)
     values = [3.0, -1e9, 2.0, 2.0, 2.0, 2.0 + 1e-15, 0.5, 7e8, 2.5]

@@ -2,6 +2,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pixsieve.llm import langid, lines, ngram_join, packing, quality, queries
@@ -12,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_gives_the_same_rows(spark, name):
     base = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = base.execute(queries.ORACLE_SQL[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()
@@ -42,6 +43,27 @@ def test_stages_do_what_their_operators_say(spark):
     assert packed.groupBy("sequence_id").agg({"length": "sum"}).filter("`sum(length)` > 1024").count() == 0
 
 
+CLASHES = {
+    "score": -5.0, "lang_pred": "mine", "predicted": 9, "n_lines": -1, "n_dropped": "old", "features": "f", "some": 7, "host": "h",
+    "line_keys": "keys", "kept": "k", "host_of_keys": 3, "sid": 4, "n": "n", "root": "r", "component_id": -2, "bit": 0, "task": "t",
+}
+
+
+@pytest.mark.parametrize("stage", [0, 1, 2, 3])
+def test_stages_keep_the_columns_of_their_input(spark, stage):
+    """Columns called like an operator's own come out as they went in."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clashing = docs.withColumns({name: F.concat(F.lit(value), F.col("doc_id")) if isinstance(value, str) else F.col("doc_id") + value for name, value in CLASHES.items()})
+    out = corpus_pipeline.STAGES[stage][1](spark, clashing, SF)
+    assert out.columns == clashing.columns and out.dtypes == clashing.dtypes
+    plain = {r.doc_id for r in corpus_pipeline.STAGES[stage][1](spark, docs, SF).collect()}
+    rows = out.collect()
+    assert {r.doc_id for r in rows} == plain and len(rows) > 50
+    for r in rows:
+        for name, value in CLASHES.items():
+            assert r[name] == (f"{value}{r.doc_id}" if isinstance(value, str) else value + r.doc_id)
+
+
 def test_pipeline_on_awkward_rows_and_on_none(spark, awkward, tmp_path):
     for name, docs in (("odd", awkward), ("none", awkward.limit(0))):
         folder = f"{tmp_path}/{name}"
