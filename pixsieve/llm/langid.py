@@ -5,13 +5,13 @@ characters of the result are hashed into buckets. Tasks add up bucket counts per
 log-probability matrix (languages x buckets, a fixed width) is broadcast; scoring adds up its
 columns over a text's n-grams, many texts at a time in NumPy.
 
-The counts come from a bounded sample of labelled rows: about ``SAMPLE_PER_LANG`` per language, all of
-them where there are fewer, chosen by the hash of ``doc_id``. Whole texts are counted and scored.
+The counts come from the whole texts of all labelled rows: a task adds up its own, so what is shuffled is bounded by buckets and tasks.
 
 The score compares learned languages with each other, so texts in any other language, or of junk, score high
 too. ``in_a_language`` therefore also asks how much likelier than by chance (all buckets alike) an n-gram of the text
-is in its language, on average. The floor of a language is learned from its sampled rows, each without its own
-n-grams: half their median, or their ``LOWEST`` quantile if that is less; texts of few n-grams get ``SPREADS`` standard errors.
+is in its language, on average. The floor of a language is learned from all its labelled rows, each without its own
+n-grams: half their median, or their ``LOWEST`` quantile if that is less, both from a sketch over all rows whose ranks are
+right to 1 / ``RANKS``; texts of few n-grams get ``SPREADS`` standard errors.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0; rows without a language
 teach nothing; with no labelled row at all every text is ``und``, and ``in_a_language`` keeps all documents; equal texts get equal results, and
@@ -34,7 +34,7 @@ from pixsieve.llm.chunks import text_chunks
 from pixsieve.llm.columns import unused
 
 BUCKETS = 1 << 16
-SAMPLE_PER_LANG = 4000
+RANKS = 100_000
 SMOOTHING = 0.5
 LOWEST = 0.001
 SPREADS = 2.0
@@ -118,17 +118,14 @@ class LanguageModel:
         return [self.languages[k] if y else UNDETERMINED for k, y in zip(best, known, strict=True)], np.where(known, score, 0.0)
 
 
-def _sample(docs: DataFrame, text: str, lang: str, key: str, per_lang: int) -> tuple[dict[str, int], DataFrame]:
-    """(labelled rows per language, the (lang, text) to learn from)."""
-    labelled = docs.filter(F.col(lang).isNotNull())
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
-    limit = F.lit(None).cast("long")
-    for name in sizes:
-        limit = F.when(F.col(lang) == name, min(1_000_000, 1 + per_lang * 1_000_000 // sizes[name])).otherwise(limit)
-    return sizes, labelled.filter(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < limit).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+def _labelled(docs: DataFrame, text: str, lang: str) -> tuple[dict[str, int], DataFrame]:
+    """(rows per language, the (lang, text) to learn from): all rows that have a language."""
+    labelled = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    return sizes, labelled
 
 
-def _counts(chosen: DataFrame, names: list[str]) -> np.ndarray:
+def _counts(labelled: DataFrame, names: list[str]) -> np.ndarray:
     """How often each bucket occurs in each language (buckets x languages)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +139,7 @@ def _counts(chosen: DataFrame, names: list[str]) -> np.ndarray:
         data = [lang_of.astype(np.int32), bucket.astype(np.int32), sums[lang_of, bucket]]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in data], names=["lang", "bucket", "n"])
 
-    table = chosen.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = labelled.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     matrix = np.zeros((BUCKETS, len(names)))
     matrix[table["bucket"].to_numpy(), table["lang"].to_numpy()] = table["n"].to_numpy()
     return matrix
@@ -154,9 +151,9 @@ def _model(sizes: dict[str, int], names: list[str], counts: np.ndarray) -> Langu
     return LanguageModel(names, prior, np.log(matrix / matrix.sum(axis=0)))
 
 
-def _floors(chosen: DataFrame, names: list[str], counts: np.ndarray) -> Floors:
+def _floors(labelled: DataFrame, names: list[str], counts: np.ndarray) -> Floors:
     """Learned from the rows that were counted, each as if it had not been."""
-    shared = chosen.sparkSession.sparkContext.broadcast(counts)
+    shared = labelled.sparkSession.sparkContext.broadcast(counts)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letter, own = letter_table(), shared.value
@@ -173,24 +170,22 @@ def _floors(chosen: DataFrame, names: list[str], counts: np.ndarray) -> Floors:
             mean, square = (np.bincount(owner, times * x, len(texts))[some] / n[some] for x in (gain, gain * gain))
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (which[some].astype(np.int32), mean, square - mean * mean)], names=["lang", "mean", "spread"])
 
-    table = chosen.mapInArrow(judge, "lang int, mean double, spread double").toArrow()
-    lang_of, mean, spread = (table[c].to_numpy() for c in ("lang", "mean", "spread"))
+    judged = labelled.mapInArrow(judge, "lang int, mean double, spread double")
     out = Floors(np.full(len(names), -np.inf), np.zeros(len(names)))
-    for k in range(len(names)):
-        own = lang_of == k
-        if own.any():
-            out.least[k] = min(np.median(mean[own]) / 2, np.quantile(mean[own], LOWEST))
-            out.spread[k] = np.sqrt(max(0.0, spread[own].mean()))
+    ranks = F.percentile_approx("mean", F.array(F.lit(0.5), F.lit(LOWEST)), RANKS)
+    for k, (median, lowest), spread in judged.groupBy("lang").agg(ranks, F.avg("spread")).collect():
+        out.least[k] = min(median / 2, lowest)
+        out.spread[k] = np.sqrt(max(0.0, spread))
     return out
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = SAMPLE_PER_LANG) -> LanguageModel:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
     """A model from the rows of ``docs`` that have a language."""
-    sizes, chosen = _sample(docs, text, lang, key, per_lang)
+    sizes, labelled = _labelled(docs, text, lang)
     if not sizes:
         return LanguageModel([], np.zeros(0), np.zeros((BUCKETS, 0), np.float32))
     names = sorted(sizes)
-    return _model(sizes, names, _counts(chosen, names))
+    return _model(sizes, names, _counts(labelled, names))
 
 
 def predict(
@@ -216,13 +211,13 @@ def predict(
 
 def in_a_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents that are in one of the learned languages, with a score of ``least`` or more; all if none was learned."""
-    sizes, chosen = _sample(docs.filter(~held_out(F.col("doc_id"))), "text", "lang", "doc_id", SAMPLE_PER_LANG)
+    sizes, labelled = _labelled(docs.filter(~held_out(F.col("doc_id"))), "text", "lang")
     if not sizes:
         return docs
     names = sorted(sizes)
-    counts = _counts(chosen, names)
+    counts = _counts(labelled, names)
     into = tuple(unused(docs.columns, "lang_pred", "score"))
-    known = predict(docs, _model(sizes, names, counts), keep_text=True, floors=_floors(chosen, names, counts), into=into)
+    known = predict(docs, _model(sizes, names, counts), keep_text=True, floors=_floors(labelled, names, counts), into=into)
     return known.filter((F.col(into[0]) != UNDETERMINED) & (F.col(into[1]) >= least)).select(*docs.columns)
 
 

@@ -161,3 +161,22 @@ def test_stage_rejects_unlearned_languages_and_junk(spark, make_docs):
 def test_stage_keeps_all_when_no_language_was_learned(spark, make_docs):
     docs = make_docs([("some words", None, "s0"), ("123", None, "s0"), (None, None, "s0")])
     assert langid.in_a_language(docs).count() == 3
+
+
+def test_language_counts_and_floors_come_from_all_labelled_rows(spark):
+    """Far more rows of a language than any sample held; one odd word in a few of them."""
+    docs = spark.range(9000).selectExpr("id AS doc_id", "CASE WHEN id % 900 = 1 THEN 'qqq zzz' ELSE 'die katze' END AS text", "'de' AS lang", "'s' AS source")
+    sizes, labelled = langid._labelled(docs, "text", "lang")
+    counts = langid._counts(labelled, ["de"])
+    letter = langid.letter_table()
+    want = sum(n * np.bincount(langid.gram_buckets([t], letter)[0], minlength=langid.BUCKETS) for t, n in (("qqq zzz", 10), ("die katze", 8990)))
+    assert sizes == {"de": 9000} and (counts[:, 0] == want).all()
+    model = langid.train(docs)
+    assert np.allclose(model.likelihood[:, 0], np.log((want + langid.SMOOTHING) / (want + langid.SMOOTHING).sum()))
+    # The lowest thousandth of all rows are odd ones.
+    floors = langid._floors(labelled, ["de"], counts)
+    buckets = langid.gram_buckets(["qqq zzz"], letter)[0]
+    grams, times = np.unique(buckets, return_counts=True)
+    rest = want[grams] - times + langid.SMOOTHING
+    gain = np.log(rest * langid.BUCKETS / (want.sum() - len(buckets) + langid.SMOOTHING * langid.BUCKETS))
+    assert floors.least[0] == pytest.approx((times * gain).sum() / len(buckets))
