@@ -16,6 +16,7 @@ from pixsieve.files import read_listed
 from pixsieve.functions.decode import decode_image
 from pixsieve.functions.pixels import laplacian_variance, to_array, to_gray
 from pixsieve.models import per_worker
+from pixsieve.session import spread
 
 IMAGE_COLUMNS = ["path", "height", "width", "nChannels", "data"]
 
@@ -103,7 +104,7 @@ def measure_listed(
     are gone since they were listed have no row. Without an encoder there is no vector column.
     """
     model = per_worker(make_encoder) if make_encoder else None
-    chosen = listing.join(wanted.select("path"), "path", "left_semi").select("path", "place")
+    chosen = spread(listing.join(wanted.select("path"), "path", "left_semi").select("path", "place"))
 
     def encodes(width: int, height: int, blur: float) -> bool:
         return width >= min_width and height >= min_height and not blur < min_blur
