@@ -1,7 +1,7 @@
 """JSON arrays inside zip files, as a data source: ``spark.read.format("zipped_json").schema(...).load(path)``.
 
-The array is the first member of each zip file. A zip file is one partition; its member is unpacked
-and cut into items while it is read, so no task holds an array. Only the fields of the given
+The array is the first member of each zip file. A zip file is read by one task, many small ones by the same; its member is
+unpacked and cut into items while it is read, so no task holds an array. Only the fields of the given
 schema are kept, at any depth. Two names are filled in by the source: ``zip_file``, where an item comes from, and
 ``zip_item``, its place in the array from 0.
 """
@@ -23,6 +23,7 @@ FILE_FIELD, ITEM_FIELD = "zip_file", "zip_item"
 CHUNK_BYTES = 1 << 18
 BATCH_ITEMS = 4096
 BATCH_CHARS = 4 << 20
+MOST_BYTES, TASKS_PER_CORE = 16 << 20, 8
 _BLANK = " \t\r\n"
 # An item cut off at the end of what was read so far shows as an error this near to it, or as an open string.
 _NEAR_END = 16
@@ -96,25 +97,39 @@ def array_items(chunks: Iterable[bytes]) -> Iterator[tuple[Any, int]]:
         raise ValueError("data after the array")
 
 
-class ZipFile(InputPartition):
-    def __init__(self, place: str):
-        super().__init__(place)
+class ZipFiles(InputPartition):
+    def __init__(self, places: list[str]):
+        super().__init__(places)
+
+
+def packed(files: list[tuple[str, int]], most_bytes: int) -> list[list[str]]:
+    """Names of (name, bytes) in runs, each closed as soon as it has ``most_bytes``."""
+    runs, size = [], 0
+    for name, length in files:
+        if not runs or size >= most_bytes:
+            runs.append([])
+            size = 0
+        runs[-1].append(name)
+        size += length
+    return runs
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict, schema: T.StructType):
         self.schema = schema
-        self.places = json.loads(options["places"])
+        self.runs = json.loads(options["places"])
 
     def partitions(self) -> list[InputPartition]:
-        return [ZipFile(p) for p in self.places] or [ZipFile("")]
+        return [ZipFiles(r) for r in self.runs] or [ZipFiles([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        if not partition.value:
-            return
+        for place in partition.value:
+            yield from self.items(place)
+
+    def items(self, place: str) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        layout, place = to_arrow_schema(self.schema), partition.value
+        layout = to_arrow_schema(self.schema)
         own = {FILE_FIELD: place} if FILE_FIELD in layout.names else {}
         with open_listed(place) as stream, zipfile.ZipFile(stream) as archive:
             names = archive.namelist()
@@ -150,12 +165,15 @@ class ZippedArrays(DataSource):
 def read_zipped_arrays(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
     """The items of the arrays in the zip files under ``path``: ``zip_file, zip_item`` and the fields of ``layout``.
 
-    The driver lists the files, one name each, and opens none.
+    The driver lists the files, name and size each, packs them into partitions by size, and opens none.
     """
     spark.dataSource.register(ZippedArrays)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    places = [r["path"] for r in files.select("path").orderBy("path").collect()]
+    listed = [(r["path"], r["length"]) for r in files.select("path", "length").orderBy("path").collect()]
+    # A few tasks per core as long as they stay small; a task for every file would mostly start and stop.
+    share = sum(length for _, length in listed) // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    runs = packed(listed, min(MOST_BYTES, max(1, share)))
     whole = T.StructType([
         T.StructField(FILE_FIELD, T.StringType()), T.StructField(ITEM_FIELD, T.LongType()), *layout.fields,
     ])
-    return spark.read.format("zipped_json").schema(whole).option("places", json.dumps(places)).load()
+    return spark.read.format("zipped_json").schema(whole).option("places", json.dumps(runs)).load()
