@@ -8,16 +8,19 @@ from pixsieve.functions import format_id, strip
 from pixsieve.session import write_table
 
 
-def number_parts(rows: DataFrame, part: list[str], name: str) -> DataFrame:
+def number_parts(rows: DataFrame, part: list[str], name: str, most_broadcast: int = 100_000) -> DataFrame:
     """Dense 1-based ``name`` over parts in order; ``_id`` rises by one inside a part.
 
-    Only the sizes of the parts pass through one window: one row per file split or partition.
+    Only the sizes of the parts pass through one window: one row per file split or partition. Up to ``most_broadcast`` of them
+    go to the rows, which then need no shuffle.
     """
-    sizes = rows.groupBy(*part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    sizes = write_table(rows.groupBy(*part).agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_size")), "part-sizes")
     before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         *part, (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
     )
+    if sizes.count() <= most_broadcast:
+        starts = F.broadcast(starts)
     numbered = rows.join(starts, part)
     return numbered.withColumn(name, F.col("_shift") + F.col("_id") + 1).drop("_shift", "_id")
 
