@@ -216,14 +216,14 @@ def _heads(size: int, percent: int, shared):
     return run, "token long, sid long, n int, place int"
 
 
-def _segments(size: int, first: int, last: int, kind: type, shared):
+def _segments(size: int, first: int, last: int, kind: type, shared_counts, shared):
     """(sid, fragment, n-grams) of the documents that the bitmap lets pass, for a range of fragments.
 
     N-grams are cut down to the width of ``kind``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, bitmap, cuts = shared.value
+        counts, (bitmap, cuts) = shared_counts.value, shared.value
         for rows, texts in text_chunks(batches, "text", CHUNK_CHARS):
             bit = rows.column("bit").to_numpy(zero_copy_only=False).astype(np.int64)
             wanted = (bitmap[bit >> 5] >> (bit & 31)) & 1
@@ -343,7 +343,8 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
     for chunk, data in zip(summed["chunk"].to_pylist(), summed["counts"].to_pylist(), strict=True):
         counts[chunk * COUNT_CHUNK:(chunk + 1) * COUNT_CHUNK] = np.frombuffer(data, "<u4")
 
-    run, fields = _heads(size, percent, spark.sparkContext.broadcast(counts))
+    shared_counts = spark.sparkContext.broadcast(counts)
+    run, fields = _heads(size, percent, shared_counts)
     in_token = Window.partitionBy("token")
     before = F.lag("sid").over(in_token.orderBy("sid"))
     heads = own.mapInArrow(run, fields).select("*", before.alias("before"), F.min("n").over(in_token).alias("least"))
@@ -362,10 +363,14 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
 
     def segments(sids: DataFrame, first: int, last: int, kind: type) -> DataFrame:
         bitmap = _bitmap(copies.join(sids, "sid", "left_semi").select("doc_id"))
-        run, fields = _segments(size, first, last, kind, spark.sparkContext.broadcast((counts, bitmap, cuts)))
+        shared = spark.sparkContext.broadcast((bitmap, cuts))
+        run, fields = _segments(size, first, last, kind, shared_counts, shared)
         # The bitmap lets pass some other documents too, and not only one of those with equal sets.
         cut = own.select(bit, "text").mapInArrow(run, fields).join(sids, "sid", "left_semi")
-        return write_table(cut.dropDuplicates(["sid", "fragment"]), "ngram-segments")
+        segments = write_table(cut.dropDuplicates(["sid", "fragment"]), "ngram-segments")
+        # Executors would keep the bitmaps of all rounds.
+        shared.unpersist()
+        return segments
 
     light = segments(groups.select("sid").distinct(), 0, 1, np.uint16)
 
@@ -418,6 +423,7 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
         done = others.select("token", F.col("other").alias("sid"))
         left = left.filter(F.col("members") > SMALL_GROUP).join(done, ["token", "sid"], "left_anti").select("token", "sid", "n", "place")
         pivots *= 4
+    shared_counts.unpersist()
 
     labelled = copies.join(roots, copies["sid"] == roots["node"], "left").select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
     least = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"))
