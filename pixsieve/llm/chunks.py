@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK_CHARS = 400_000
 
@@ -18,12 +20,13 @@ def text_chunks(
     its own, never cut. Empty batches give nothing.
     """
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(column)).to_pylist()]
-        start = size = 0
-        for i, text in enumerate(texts):
-            if i > start and size + len(text) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, size = i, 0
-            size += len(text)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column_at = batch.schema.get_field_index(column)
+        sizes = pc.fill_null(pc.utf8_length(batch.column(column_at)), 0).to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        start = 0
+        while start < batch.num_rows:
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, side="right")) - 1)
+            rows = batch.slice(start, stop - start)
+            # Only the texts of a slice are Python objects, never those of the whole batch.
+            yield rows, [t or "" for t in rows.column(column_at).to_pylist()]
+            start = stop

@@ -248,6 +248,16 @@ def _segments(size: int, first: int, last: int, kind: type, shared_counts, share
     return run, "sid long, fragment int, grams binary"
 
 
+def _views(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """The numbers of every value of a binary column, without a copy; null: none."""
+    if column.null_count:
+        column = column.fill_null(b"")
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].tolist() if len(column) else [0]
+    every = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return [every[a:b].view(kind) for a, b in zip(at, at[1:], strict=False)]
+
+
 def _count_overlaps(kind: type):
     """Partial overlap of the two segments of a pair, and their lengths; a missing one is empty.
 
@@ -256,7 +266,7 @@ def _count_overlaps(kind: type):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [[np.frombuffer(x or b"", kind) for x in batch.column(c).to_pylist()] for c in ("a_grams", "b_grams")]
+            sides = [_views(batch.column(c), kind) for c in ("a_grams", "b_grams")]
             common = []
             for x, y in zip(*sides, strict=True):
                 both = np.concatenate((x, y))
