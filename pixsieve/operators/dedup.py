@@ -30,6 +30,7 @@ Rows are never paired with each other, only with rows that were kept. Every roun
 written tables, so lineage stays short and a lost executor costs one stage.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +49,8 @@ TAIL_ROWS = 20_000
 CHUNK_ROWS = 1_000_000
 HOT_ROWS = 100_000
 INFINITE = float("inf")
+NEVER = 2**63 - 1
+NEAR_ROWS = 256
 _PAIR_LAYOUT = (
     "duplicate_idx bigint, kept_idx bigint, similarity double, "
     "duplicate_quality double, kept_quality double"
@@ -276,31 +279,39 @@ def _next_groups(
     )
 
 
-def _replay(
-    rows: DataFrame, contested: DataFrame, near: DataFrame, threshold: float
-) -> DataFrame:
-    """The rule run row by row over the next undecided rows of each component.
+class _Near:
+    """Kept rows that the groups of a replay task neighbour: columns sorted by group and row, not a Python object per row."""
 
-    The caller has bounded the rows of a ``task``, which holds whole runs of components; ``near`` are
-    the kept rows that their groups neighbour. What a task holds of different components is
-    never similar, so they can be replayed together.
-    """
-    given = rows.join(contested.select("gid", "unit"), "gid").select(
-        "task", "idx", "q", "gid", "salt", "comp", "pos", "unit"
-    )
-    tasks = rows.select("gid", "task").distinct()
-    kept = near.join(tasks, "gid").select(F.col("task").alias("for"), "gid", "k", "q_k", "similarity", "dead")
+    def __init__(self, kept: pa.Table, groups: np.ndarray):
+        kept = kept.sort_by([("gid", "ascending"), ("k", "ascending")])
+        self.k, self.q_k, self.similarity = (kept[c].to_numpy() for c in ("k", "q_k", "similarity"))
+        gid = kept["gid"].to_numpy()
+        self.starts, self.ends = np.searchsorted(gid, groups), np.searchsorted(gid, groups, side="right")
+        # A row dies for all groups at once.
+        rows, self.row = np.unique(self.k, return_inverse=True)
+        self.dead = np.empty(len(rows), np.int64)
+        self.dead[self.row] = kept["dead"].fill_null(NEVER).to_numpy()
 
+    def first(self, group: int, idx: int) -> int | None:
+        """Place of the first kept row of a group that lies before ``idx`` and is alive there."""
+        for start in range(self.starts[group], self.ends[group], NEAR_ROWS):
+            part = slice(start, min(start + NEAR_ROWS, self.ends[group]))
+            found = np.flatnonzero((self.k[part] < idx) & (self.dead[self.row[part]] > idx))
+            if len(found):
+                return start + int(found[0])
+        return None
+
+    def dies(self, place: int, idx: int) -> None:
+        self.dead[self.row[place]] = idx
+
+
+def _replay_task(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(rows: pa.Table, kept: pa.Table) -> pa.Table:
         rows = rows.sort_by("idx")
         idx, q, gid = (rows[c].to_numpy() for c in ("idx", "q", "gid"))
-        _, firsts, place = np.unique(gid, return_index=True, return_inverse=True)
+        groups, firsts, place = np.unique(gid, return_index=True, return_inverse=True)
         vectors = sim.matrix_of(rows["unit"].take(pa.array(firsts)))
-        earlier: dict[int, list] = {}
-        dead: dict[int, float] = {}
-        for old in kept.sort_by("k").to_pylist():
-            earlier.setdefault(old["gid"], []).append((old["k"], old["q_k"], old["similarity"]))
-            dead[old["k"]] = np.inf if old["dead"] is None else old["dead"]
+        near = _Near(kept, groups)
         born = np.empty(0, dtype=int)       # rows of this task that were kept and still are
         fates, matches = [], []
         start = 0
@@ -319,11 +330,9 @@ def _replay(
                 if len(found):
                     slot = found[0]
                     match = (idx[rivals[slot]], q[rivals[slot]], sims[r, slot])
-                for old in earlier.get(gid[row], ()):
-                    if old[0] < idx[row] and dead[old[0]] > idx[row]:
-                        if match is None or old[0] < match[0]:
-                            match, slot = old, None
-                        break
+                old = near.first(place[row], idx[row])
+                if old is not None and (match is None or near.k[old] < match[0]):
+                    match, slot = (near.k[old], near.q_k[old], near.similarity[old]), None
                 matches.append(match)
                 if match is not None and not q[row] > match[1]:
                     fates.append("loses")
@@ -333,7 +342,7 @@ def _replay(
                 if slot is not None:
                     standing[slot] = False
                 elif match is not None:
-                    dead[match[0]] = idx[row]
+                    near.dies(old, idx[row])
             born = rivals[standing]
         none = (None, None, None)
         k, q_k, cosine = zip(*(m or none for m in matches))
@@ -343,11 +352,29 @@ def _replay(
             "similarity", pa.array(cosine, pa.float64())
         ).append_column("fate", pa.array(fates, pa.string()))
 
+    return run
+
+
+def _replay(
+    rows: DataFrame, contested: DataFrame, near: DataFrame, threshold: float
+) -> DataFrame:
+    """The rule run row by row over the next undecided rows of each component.
+
+    The caller has bounded the rows of a ``task``, which holds whole runs of components; ``near`` are
+    the kept rows that their groups neighbour. What a task holds of different components is
+    never similar, so they can be replayed together.
+    """
+    given = rows.join(contested.select("gid", "unit"), "gid").select(
+        "task", "idx", "q", "gid", "salt", "comp", "pos", "unit"
+    )
+    tasks = rows.select("gid", "task").distinct()
+    kept = near.join(tasks, "gid").select(F.col("task").alias("for"), "gid", "k", "q_k", "similarity", "dead")
+
     layout = (
         "idx bigint, q double, gid bigint, salt int, comp bigint, pos bigint, k bigint, q_k double, "
         "similarity double, fate string"
     )
-    return given.groupBy("task").cogroup(kept.groupBy("for")).applyInArrow(run, layout)
+    return given.groupBy("task").cogroup(kept.groupBy("for")).applyInArrow(_replay_task(threshold), layout)
 
 
 def _next_rows(undecided: DataFrame, tail_rows: int) -> DataFrame:

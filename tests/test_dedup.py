@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -286,3 +289,28 @@ def test_a_component_with_one_pair_missing_goes_through_rounds(spark, monkeypatc
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     assert (unit @ unit.T >= 0.85).sum() < 40 * 40
     assert pairs == greedy(vectors, quality, 0.85) and rounds >= 1
+
+
+def test_kept_rows_near_a_replay_are_columns():
+    """200,000 kept rows near 100 groups take a few bytes a column, not an object each, and dead ones are passed over."""
+    rng = np.random.default_rng(12)
+    groups = np.arange(100) * 3 + 1_000_000
+    near = pa.table({
+        "gid": np.repeat(groups, 2000), "k": np.tile(rng.permutation(2000), 100), "q_k": np.full(200_000, 0.5),
+        "similarity": np.full(200_000, 0.97), "dead": pa.array(np.full(200_000, 999_000), mask=np.tile(np.arange(2000) % 2 == 0, 100)),
+    })
+    alive = {k for k, d in zip(near["k"].to_pylist()[:2000], near["dead"].to_pylist()[:2000]) if d is None}
+    units = sim._binary(np.eye(100))
+    rows = pa.table({
+        "task": np.zeros(100, np.int64), "idx": groups, "q": np.where(np.arange(100) == 40, 0.9, 0.1), "gid": groups,
+        "salt": pa.array([0] * 100, pa.int32()), "comp": np.zeros(100, np.int64), "pos": np.arange(100), "unit": units,
+    })
+    tracemalloc.start()
+    try:
+        out = dd._replay_task(0.95)(rows, near).to_pylist()
+        assert tracemalloc.get_traced_memory()[1] < 30_000_000
+    finally:
+        tracemalloc.stop()
+    first, second = sorted(alive)[:2]
+    # Row 40 replaces the first kept row that is alive, so that later rows meet the next one.
+    assert [(r["k"], r["fate"]) for r in out] == [(first, "loses")] * 40 + [(first, "wins")] + [(second, "loses")] * 59
