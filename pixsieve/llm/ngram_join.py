@@ -176,11 +176,25 @@ def _order_keys(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _cuts(counts: np.ndarray, fragments: int) -> np.ndarray:
     """Keys that cut the global order into ``fragments`` of equal mass."""
-    order = np.argsort(counts, kind="stable")
-    mass = np.cumsum(counts[order])
-    at = np.searchsorted(mass, mass[-1] * np.arange(1, fragments) / fragments)
-    bucket = order[np.minimum(at, len(order) - 1)]
-    return (counts[bucket].astype(np.int64) << 40) | (bucket.astype(np.int64) << (40 - COUNT_BITS))
+    values, numbers = np.unique(counts, return_counts=True)
+    mass = np.cumsum(values.astype(np.int64) * numbers)
+    cuts = []
+    for target in (mass[-1] * np.arange(1, fragments) / fragments).tolist():
+        at = int(np.searchsorted(mass, target))
+        value, number = int(values[at]), int(numbers[at])
+        nth = -(-(target - (int(mass[at]) - value * number)) // max(1, value))
+        cuts.append(value << 40 | _nth_bucket(counts, value, min(max(1, int(nth)), number)) << (40 - COUNT_BITS))
+    return np.array(cuts, np.int64)
+
+
+def _nth_bucket(counts: np.ndarray, value: int, nth: int) -> int:
+    """The ``nth`` bucket, from 1, with this count; chunk by chunk, since the driver has little room."""
+    for start in range(0, len(counts), COUNT_CHUNK):
+        found = np.flatnonzero(counts[start:start + COUNT_CHUNK] == value)
+        if nth <= len(found):
+            return start + int(found[nth - 1])
+        nth -= len(found)
+    raise ValueError("no such bucket")
 
 
 def _heads(size: int, percent: int, shared):
@@ -350,8 +364,9 @@ def similar_classes(docs: DataFrame, size: int = 5, percent: int = 80, fragments
     sets = scanned.filter(F.col("chunk").isNull()).select("doc_id", "n", "sid")
     summed = scanned.filter(F.col("chunk").isNotNull()).select("chunk", "counts").repartition("chunk").mapInArrow(_sum_counts, "chunk int, counts binary").toArrow()
     counts = np.zeros(1 << COUNT_BITS, np.uint32)
-    for chunk, data in zip(summed["chunk"].to_pylist(), summed["counts"].to_pylist(), strict=True):
-        counts[chunk * COUNT_CHUNK:(chunk + 1) * COUNT_CHUNK] = np.frombuffer(data, "<u4")
+    for chunk, data in zip(summed["chunk"].to_pylist(), summed["counts"], strict=True):
+        counts[chunk * COUNT_CHUNK:(chunk + 1) * COUNT_CHUNK] = np.frombuffer(data.as_buffer(), "<u4")
+    del summed
 
     shared_counts = spark.sparkContext.broadcast(counts)
     run, fields = _heads(size, percent, shared_counts)

@@ -49,3 +49,25 @@ def test_overlaps_are_counted_where_the_segments_lie():
     assert out.column(2).to_pylist() == want and out.column(4).to_pylist() == [0, *[len(s) for s in sets[:38]]]
     empty = nj._count_overlaps(np.uint16)([batch.slice(0, 0)])
     assert [b.num_rows for b in empty] == [0]
+
+
+def test_cuts_of_the_count_table_need_little_room():
+    """Equal mass as by a sort of all buckets, without tables of 64-bit places of the whole."""
+    def by_sorting(counts, fragments):
+        order = np.argsort(counts, kind="stable")
+        mass = np.cumsum(counts[order])
+        bucket = order[np.minimum(np.searchsorted(mass, mass[-1] * np.arange(1, fragments) / fragments), len(order) - 1)]
+        return ((counts[bucket].astype(np.int64) << 40) | (bucket.astype(np.int64) << (40 - nj.COUNT_BITS))).tolist()
+
+    rng = np.random.default_rng(8)
+    for counts in (np.zeros(1000), rng.integers(0, 3, 1000), rng.zipf(1.4, 200_000).clip(0, nj.COUNT_MOST), np.full(70_000, 7), np.arange(5) == 3):
+        counts = counts.astype(np.uint32)
+        assert nj._cuts(counts, 8).tolist() == by_sorting(counts, 8)
+    whole = rng.integers(0, 50, 1 << nj.COUNT_BITS, np.uint32)
+    tracemalloc.start()
+    try:
+        cuts = nj._cuts(whole, 8)
+        assert tracemalloc.get_traced_memory()[1] < 60_000_000
+    finally:
+        tracemalloc.stop()
+    assert cuts.tolist() == by_sorting(whole, 8)
