@@ -314,3 +314,18 @@ def test_kept_rows_near_a_replay_are_columns():
     first, second = sorted(alive)[:2]
     # Row 40 replaces the first kept row that is alive, so that later rows meet the next one.
     assert [(r["k"], r["fate"]) for r in out] == [(first, "loses")] * 40 + [(first, "wins")] + [(second, "loses")] * 59
+
+
+def test_tables_of_a_round_are_no_broadcasts(spark, monkeypatch):
+    plans, write = {}, dd.write_table
+
+    def watched(df, label):
+        plans.setdefault(label, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, label)
+
+    monkeypatch.setattr(dd, "write_table", watched)
+    vectors, quality = clustered(4)
+    assert found(spark, vectors, quality, 0.8, tail_rows=0) == greedy(vectors, quality, 0.8)
+    tables = {"groups", "decided", "kept"}
+    assert tables <= set(plans)
+    assert not [label for label in tables for plan in plans[label] if "BroadcastHashJoin" in plan]
