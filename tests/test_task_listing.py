@@ -44,6 +44,15 @@ def test_images_of_a_folder_are_those_of_the_image_source(spark, folder):
     assert not any(f.endswith(("gray.png", "rgb.png", "text.png")) for f in own.inputFiles())
 
 
+def test_a_listing_is_that_of_the_binary_source(spark, folder):
+    for recursive in (False, True):
+        own = sources.list_images(spark, str(folder), base_dir=str(folder), recursive=recursive)
+        source = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(str(folder))
+        assert sorted((r.place, r.length) for r in own.collect()) == sorted((r.path, r.length) for r in source.select("path", "length").collect())
+        assert {r.path for r in own.collect()} >= {"gray.png", *(["deep/er/rgba.png"] if recursive else [])}
+        assert not any(f.endswith("gray.png") for f in own.inputFiles())
+
+
 def test_wildcards_files_and_missing_folders_as_before(spark, folder):
     assert sources.list_images(spark, f"{folder}/*.bmp").count() == 1
     assert sources.read_images(spark, f"{folder}/rgb.png").first().width == 7
