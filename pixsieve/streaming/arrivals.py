@@ -9,20 +9,46 @@ from pyspark.sql import functions as F
 from pixsieve import schema as S
 from pixsieve.operators.row import resolve_image_path
 from pixsieve.plans.pipeline import QualityPipeline
-from pixsieve.session import scratch_path
-from pixsieve.sources.images import image_features, image_rows
+from pixsieve.session import scratch_path, write_table
+from pixsieve.sources.images import image_features, image_rows, list_images, open_images
 
 MakeChain = Callable[[DataFrame], QualityPipeline]
 
 
-def image_stream(spark: SparkSession, path: str, base_dir: str = "", files_a_batch: int | None = None) -> DataFrame:
-    """The image source as a stream of new files under ``path``."""
+def image_stream(
+    spark: SparkSession, path: str, base_dir: str = "", files_a_batch: int | None = None, listing: str | None = None
+) -> DataFrame:
+    """The image source as a stream of new files under ``path``.
+
+    Spark's source keeps the names of all files it has seen on the driver. With ``listing``, a folder that lasts as long as the stream's
+    progress, their names are kept there instead, and the stream is of the files that are there at this call; call again for later ones.
+    Files are then opened as in ``measure_listed``.
+    """
+    if listing is not None:
+        return _listed_stream(spark, path, base_dir, files_a_batch, listing)
     reader = spark.readStream.format("image").schema(ImageSchema.imageSchema)
     if files_a_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_a_batch)
     return image_rows(reader.load(path), base_dir)
 
 
+def _listed_stream(spark: SparkSession, path: str, base_dir: str, files_a_batch: int | None, listing: str) -> DataFrame:
+    """Each file of names is a micro-batch; names that are new are added, the others stay in the files they are in."""
+    layout = "path string, place string"
+    found = list_images(spark, path, base_dir, recursive=False).select("path", "place")
+    place = spark._jvm.org.apache.hadoop.fs.Path(listing)
+    seen = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    if seen:
+        known = spark.read.schema(layout).parquet(listing).select("place")
+        found = write_table(found.join(known, "place", "left_anti").select("path", "place"), "new-files")
+    if not seen or not found.isEmpty():
+        writer = found.coalesce(1).write.mode("append")
+        if files_a_batch is not None:
+            writer = writer.option("maxRecordsPerFile", files_a_batch)
+        writer.parquet(listing)
+    return open_images(spark.readStream.schema(layout).option("maxFilesPerTrigger", 1).parquet(listing))
+
+
 class ArrivingImages:
     """Judges samples as soon as their file is there.
 

@@ -5,10 +5,11 @@ import struct
 import numpy as np
 import pytest
 
-from pixsieve import sources
+from pixsieve import sources, streaming
 from pixsieve.sources.images import image_rows
 
 from conftest import png
+from test_arrivals import batch_result, chain_of, noise, rows
 from test_listing import filtered_png
 
 
@@ -58,3 +59,30 @@ def test_wildcards_files_and_missing_folders_as_before(spark, folder):
     assert sources.read_images(spark, f"{folder}/rgb.png").first().width == 7
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         sources.read_images(spark, f"{folder}/none")
+
+
+def test_a_listed_stream_takes_every_file_once(spark, make_samples, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ("a.png", "b.png", "c.png"):
+        noise(folder, name)
+    (folder / "flat.png").write_bytes(png(5, 5, 1, bytes(25)))
+    (folder / "text.png").write_text("no image")
+    samples = make_samples(*[{"image_path": n} for n in ("a.png", "b.png", "late.png", "flat.png", "text.png", None, "never.png")])
+
+    def run():
+        arriving = streaming.ArrivingImages(samples, chain_of, str(tmp_path / "out"))
+        stream = streaming.image_stream(spark, str(folder), str(folder), files_a_batch=2, listing=str(tmp_path / "names"))
+        return rows(arriving.run_to_end(stream))
+
+    def batches():
+        return [spark.read.parquet(str(p)).count() for p in sorted((tmp_path / "out" / "features").glob("batch=*"))]
+
+    assert run() == batch_result(spark, folder, samples)
+    assert sorted(batches()) == [1, 2, 2]
+    noise(folder, "late.png", 9)
+    assert run() == batch_result(spark, folder, samples)
+    assert run() == batch_result(spark, folder, samples) and sum(batches()) == 6
+    # What the source has to remember are files of names, not images.
+    assert "names/" in "".join(p.read_text() for p in (tmp_path / "out" / "progress" / "sources" / "0").glob("[0-9]*"))
+    assert "late.png" not in "".join(p.read_text() for p in (tmp_path / "out" / "progress" / "sources" / "0").glob("[0-9]*"))
